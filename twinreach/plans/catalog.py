@@ -190,3 +190,257 @@ def q_label_repeated_dedup(spark, sf_dir):
     a = fx.audience(spark, sf_dir)
     s = fx.seed(spark, sf_dir)
     return sd.label_audience(a, s.unionByName(s), dedupe=True).select("user_id", "label")
+
+
+# -- sampling and splits -----------------------------------------------------
+
+from twinreach.operators import frames as fr  # noqa: E402
+from twinreach.operators import metrics as mt  # noqa: E402
+from twinreach.operators import prep as pp  # noqa: E402
+from twinreach.operators import sampling as sm  # noqa: E402
+
+RULE_GENRES = ("Comedy", "Documentary", "Reality TV")
+
+
+def rule_prediction():
+    """The seed rule without the tier filter, used as a fixed predictor."""
+    return (F.when(F.col("favorite_genre").isin(*RULE_GENRES)
+                   & (F.col("avg_daily_watch_time") > 60)
+                   & (F.col("last_login_date") >= F.to_date(F.lit("2001-02-02"))), F.lit(1))
+            .otherwise(F.lit(0)).cast("int"))
+
+
+def labelled_audience(spark, sf_dir):
+    return sd.label_audience(fx.audience(spark, sf_dir), fx.seed(spark, sf_dir))
+
+
+@query("sample_wr")
+def q_sample_wr(spark, sf_dir):
+    return sm.sample_with_replacement(fx.labelled(spark, sf_dir), 0.30, 1)
+
+
+@query("random_split")
+def q_random_split(spark, sf_dir):
+    train, test = sm.random_split(fx.labelled(spark, sf_dir), (0.7, 0.3), 42)
+    return (train.withColumn("side", F.lit("train"))
+            .unionByName(test.withColumn("side", F.lit("test"))))
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    return fx.labelled(spark, sf_dir).withColumn("side", sm.split_side("user_id", 0.7, 42))
+
+
+@query("undersample")
+def q_undersample(spark, sf_dir):
+    return sm.undersample(fx.labelled(spark, sf_dir), "label", "user_id", seed=42)
+
+
+@query("undersample_copies")
+def q_undersample_copies(spark, sf_dir):
+    """Copies of a key (seed appended twice -> fan-out) are kept together."""
+    a = fx.audience(spark, sf_dir)
+    s = fx.seed(spark, sf_dir)
+    fan = sd.label_audience(a, s.unionByName(s), dedupe=False).select("user_id", "label")
+    return sm.undersample(fan, "label", "user_id", seed=7, bits=4)
+
+
+# -- projections and set operations -----------------------------------------
+
+@query("dedupe_rows")
+def q_dedupe_rows(spark, sf_dir):
+    lab = fx.labelled(spark, sf_dir)
+    return fr.dedupe_rows(lab.unionByName(lab.where(F.col("label") == 1)))
+
+
+def _aligned(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    training = labelled_audience(spark, sf_dir).select(
+        "user_id", "email", "avg_daily_watch_time", "num_children", "label")
+    pseudo = a.select("user_id", "avg_daily_watch_time", "num_children",
+                      rule_prediction().alias("label"), F.lit(0.5).alias("score"))
+    return fr.align_union(fr.align_to(pseudo, training.columns), training)
+
+
+@query("align_union")
+def q_align_union(spark, sf_dir):
+    return _aligned(spark, sf_dir)
+
+
+@query("fill_numeric")
+def q_fill_numeric(spark, sf_dir):
+    return fr.fill_numeric(_aligned(spark, sf_dir), 0)
+
+
+MAP_AGE_GENRE = {"18-24": "Action", "25-34": "Comedy", "55+": "Drama"}
+
+
+@query("map_override")
+def q_map_override(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    a = fr.override_where(a, F.col("age_group").isin("45-54", "55+")
+                          & (F.col("favorite_genre") != "Documentary"),
+                          "favorite_genre", "Documentary")
+    a = fr.map_column(a, "age_group", "favorite_genre", MAP_AGE_GENRE, share=0.7, seed=12345)
+    return a.select("user_id", "age_group", "favorite_genre")
+
+
+CAT = ["subscription_type", "favorite_genre", "age_group", "gender"]
+NUM = ["avg_daily_watch_time", "subscription_length"]
+
+
+@query("drop_helpers")
+def q_drop_helpers(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    encoded = pp.one_hot(CAT).fit(pp.string_index(a, CAT))
+    return fr.drop_helper_columns(encoded.transform(pp.string_index(a, CAT)))
+
+
+@query("limit_ordered")
+def q_limit_ordered(spark, sf_dir):
+    a = fx.audience(spark, sf_dir).select("user_id", "avg_daily_watch_time")
+    return fr.limit_ordered(a, 10, F.col("avg_daily_watch_time").desc(), F.col("user_id"))
+
+
+@query("latest_row")
+def q_latest_row(spark, sf_dir):
+    return fr.latest_row(fx.impressions(spark, sf_dir), "Timestamp", "ImpressionID")
+
+
+# -- metrics -----------------------------------------------------------------
+
+def _rule_scored(spark, sf_dir):
+    return labelled_audience(spark, sf_dir).select("user_id", "label",
+                                                   rule_prediction().alias("prediction"))
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    return mt.class_counts(fx.labelled(spark, sf_dir))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return mt.confusion_matrix(_rule_scored(spark, sf_dir))
+
+
+@query("class_metrics")
+def q_class_metrics(spark, sf_dir):
+    return mt.classification_metrics(_rule_scored(spark, sf_dir))
+
+
+# -- feature preparation -----------------------------------------------------
+
+@query("string_index")
+def q_string_index(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    return pp.string_index(a, CAT).select("user_id", *pp.index_cols(CAT))
+
+
+@query("impute_mean")
+def q_impute_mean(spark, sf_dir):
+    out = pp.impute_mean(fx.audience(spark, sf_dir).select("user_id", *NUM), NUM)
+    return out.select("user_id", *[F.round(c, 9).alias(c) for c in NUM])
+
+
+STD_COLS = ["avg_daily_watch_time", "subscription_length", "ad_interaction_rate"]
+
+
+@query("standardize")
+def q_standardize(spark, sf_dir):
+    out = pp.standardize(fx.audience(spark, sf_dir).select("user_id", *STD_COLS), STD_COLS)
+    return out.select("user_id", *[F.round(c, 9).alias(c) for c in STD_COLS])
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    a = pp.string_index(fx.audience(spark, sf_dir), CAT)
+    out = pp.one_hot(CAT).fit(a).transform(a)
+    return pp.vector_as_array(out.select("user_id", *pp.vec_cols(CAT)), *pp.vec_cols(CAT))
+
+
+@query("assemble")
+def q_assemble(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+
+    a = pp.impute_mean(fx.audience(spark, sf_dir), NUM + ["num_children"])
+    out = VectorAssembler(inputCols=NUM + ["num_children"], outputCol="num_features").transform(a)
+    return pp.vector_as_array(out.select("user_id", "num_features"), "num_features")
+
+
+# -- models ------------------------------------------------------------------
+
+from twinreach.operators import models as md  # noqa: E402
+from twinreach.plans import training as tr  # noqa: E402
+
+
+def _training(spark, sf_dir):
+    return tr.training_frame(features_frame(spark, sf_dir), fx.seed(spark, sf_dir))
+
+
+@query("features_vector")
+def q_features_vector(spark, sf_dir):
+    from pyspark.ml import Pipeline
+
+    data = _training(spark, sf_dir)
+    cat, num = fr.split_columns(data.schema)
+    d = pp.cast_numeric(data, num)
+    out = Pipeline(stages=pp.feature_stages(cat, num)).fit(d).transform(d)
+    return pp.vector_as_array(out.select("user_id", "label", "features"), "features")
+
+
+@query("gbt_score")
+def q_gbt_score(spark, sf_dir):
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    return md.score(res.model, res.test, res.numeric, keep=["user_id", "label"])
+
+
+@query("score_rounded")
+def q_score_rounded(spark, sf_dir):
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    return md.score(res.model, res.test, res.numeric,
+                    keep=["user_id", "label", "age_group", "favorite_genre", "avg_daily_watch_time"],
+                    digits=2)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    metrics, _models, _c, _n, _t = tr.compare(_training(spark, sf_dir))
+    return metrics
+
+
+@query("best_model")
+def q_best_model(spark, sf_dir):
+    metrics, _models, _c, _n, _t = tr.compare(_training(spark, sf_dir))
+    return md.best_of(metrics)
+
+
+@query("pseudo_label")
+def q_pseudo_label(spark, sf_dir):
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
+    return md.pseudo_label(res.model, unl, res.numeric).select("user_id", "label")
+
+
+@query("augment_training")
+def q_augment_training(spark, sf_dir):
+    data = _training(spark, sf_dir)
+    res = tr.fit_gbt(data)
+    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
+    return md.semi_supervised_frame(res.model, data, unl, res.numeric)
+
+
+@query("semi_supervised")
+def q_semi_supervised(spark, sf_dir):
+    data = _training(spark, sf_dir)
+    res = tr.fit_gbt(data)
+    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
+    _m2, metrics, _test = md.semi_supervised_fit(res.model, data, unl, res.categorical, res.numeric)
+    return metrics
+
+
+@query("positives")
+def q_positives(spark, sf_dir):
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    return md.score_audience(res.model, tr.unlabelled_frame(features_frame(spark, sf_dir)),
+                             res.numeric)

@@ -116,3 +116,93 @@ oracle("label_audience", "SELECT a.user_id, a.favorite_genre, l.label FROM audie
 oracle("label_fanout", "SELECT a.user_id, CAST(CASE WHEN s.user_id_seed IS NOT NULL THEN 1 ELSE 0 END AS INT) AS label "
        "FROM audience a LEFT JOIN (SELECT * FROM seed UNION ALL SELECT * FROM seed) s ON a.user_id = s.user_id_seed")
 oracle("label_repeated_dedup", "SELECT user_id, label FROM labelled")
+
+# -- sampling and splits -----------------------------------------------------
+SHARE70 = 3006477107  # int(0.7 * 2**32)
+
+
+def md5_bucket_sql(key: str, salt: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat({q(salt)}, {key})), 1, 8)) AS BIGINT)"
+
+
+def hash60_sql(key: str, salt: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat({q(salt)}, {key})), 1, 15)) AS BIGINT)"
+
+
+oracle("hash_split", f"SELECT user_id, label, CASE WHEN {md5_bucket_sql('user_id', '42')} < {SHARE70} "
+       "THEN 'train' ELSE 'test' END AS side FROM labelled")
+
+
+def undersample_sql(source: str, seed: str) -> str:
+    return ("SELECT user_id, label FROM (SELECT user_id, label, "
+            "rank() OVER (PARTITION BY label ORDER BY h, user_id) AS r, min(cnt) OVER () AS k "
+            f"FROM (SELECT user_id, label, {hash60_sql('user_id', seed)} AS h, "
+            f"count(*) OVER (PARTITION BY label) AS cnt FROM {source}) x) y WHERE r <= k")
+
+
+oracle("undersample", undersample_sql("labelled", "42"))
+oracle("undersample_copies", undersample_sql(
+    "(SELECT a.user_id, CAST(CASE WHEN s.user_id_seed IS NOT NULL THEN 1 ELSE 0 END AS INT) AS label "
+    "FROM audience a LEFT JOIN (SELECT * FROM seed UNION ALL SELECT * FROM seed) s "
+    "ON a.user_id = s.user_id_seed) fan", "7"))
+
+# -- projections and set operations -----------------------------------------
+RULE = ("CAST(CASE WHEN favorite_genre IN ('Comedy','Documentary','Reality TV') AND avg_daily_watch_time > 60 "
+        "AND last_login_date >= DATE '2001-02-02' THEN 1 ELSE 0 END AS INT)")
+oracle("dedupe_rows", "SELECT DISTINCT user_id, label FROM (SELECT * FROM labelled UNION ALL "
+       "SELECT * FROM labelled WHERE label = 1) u")
+ALIGNED = (f"SELECT user_id, CAST(NULL AS VARCHAR) AS email, avg_daily_watch_time, num_children, {RULE} AS label "
+           "FROM audience UNION ALL SELECT a.user_id, a.email, a.avg_daily_watch_time, a.num_children, l.label "
+           "FROM audience a JOIN labelled l USING (user_id)")
+oracle("align_union", ALIGNED)
+oracle("fill_numeric", "SELECT user_id, email, coalesce(avg_daily_watch_time, 0) AS avg_daily_watch_time, "
+       f"coalesce(num_children, 0) AS num_children, coalesce(label, 0) AS label FROM ({ALIGNED}) u")
+oracle("map_override", "SELECT user_id, age_group, CASE WHEN "
+       f"{md5_bucket_sql('user_id', '12345')} < {SHARE70} AND m IS NOT NULL THEN m ELSE g1 END AS favorite_genre "
+       "FROM (SELECT user_id, age_group, CASE WHEN age_group IN ('45-54', '55+') AND favorite_genre <> 'Documentary' "
+       "THEN 'Documentary' ELSE favorite_genre END AS g1, CASE age_group WHEN '18-24' THEN 'Action' "
+       "WHEN '25-34' THEN 'Comedy' WHEN '55+' THEN 'Drama' END AS m FROM audience) t")
+oracle("drop_helpers", "SELECT * FROM audience")
+oracle("limit_ordered", "SELECT user_id, avg_daily_watch_time FROM audience "
+       "ORDER BY avg_daily_watch_time DESC NULLS LAST, user_id LIMIT 10")
+oracle("latest_row", "SELECT * FROM impressions ORDER BY Timestamp DESC, ImpressionID DESC LIMIT 1")
+
+# -- metrics -----------------------------------------------------------------
+SCORED = f"(SELECT a.user_id, l.label, {RULE} AS prediction FROM audience a JOIN labelled l USING (user_id))"
+oracle("class_counts", "SELECT label, count(*) AS n FROM labelled GROUP BY label")
+oracle("confusion_matrix", "SELECT label, count(*) FILTER (WHERE prediction = 0) AS pred_0, "
+       f"count(*) FILTER (WHERE prediction = 1) AS pred_1 FROM {SCORED} s GROUP BY label")
+oracle("class_metrics", f"""
+SELECT round(sum(tp) / sum(act), 10) AS accuracy,
+       round(sum(prec * act) / sum(act), 10) AS weighted_precision,
+       round(sum(rec * act) / sum(act), 10) AS weighted_recall,
+       round(sum(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END * act) / sum(act), 10) AS f1
+FROM (SELECT a.label, a.act, a.tp,
+             CASE WHEN coalesce(p.pred, 0) = 0 THEN 0.0 ELSE a.tp / p.pred END AS prec,
+             a.tp / a.act AS rec
+      FROM (SELECT label, CAST(count(*) AS DOUBLE) AS act,
+                   CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) AS tp
+            FROM {SCORED} s GROUP BY label) a
+      LEFT JOIN (SELECT prediction, CAST(count(*) AS DOUBLE) AS pred FROM {SCORED} s GROUP BY prediction) p
+      ON a.label = p.prediction) per_class""")
+
+# -- feature preparation -----------------------------------------------------
+CAT = ["subscription_type", "favorite_genre", "age_group", "gender"]
+
+
+def index_sql(col: str) -> str:
+    return (f"coalesce((SELECT CAST(i AS DOUBLE) FROM (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS i "
+            f"FROM (SELECT {col} AS v, count(*) AS n FROM audience WHERE {col} IS NOT NULL GROUP BY 1) c) r "
+            f"WHERE r.v = a.{col}), (SELECT CAST(count(DISTINCT {col}) AS DOUBLE) FROM audience)) AS {col}_index")
+
+
+oracle("string_index", "SELECT a.user_id, " + ", ".join(index_sql(c) for c in CAT) + " FROM audience a")
+NUM = ["avg_daily_watch_time", "subscription_length"]
+oracle("impute_mean", "SELECT user_id, " + ", ".join(
+    f"round(coalesce({c}, (SELECT avg({c}) FROM audience)), 9) AS {c}" for c in NUM) + " FROM audience")
+STD = ["avg_daily_watch_time", "subscription_length", "ad_interaction_rate"]
+oracle("standardize", "SELECT user_id, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 9) AS {c}" for c in STD)
+    + " FROM (SELECT user_id, " + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM audience)) AS {c}" for c in STD)
+    + " FROM audience) imp")
