@@ -444,3 +444,126 @@ def q_positives(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
     return md.score_audience(res.model, tr.unlabelled_frame(features_frame(spark, sf_dir)),
                              res.numeric)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Scores of a fitted pipeline before and after save / load."""
+    from twinreach.session import scratch_path
+
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    path = scratch_path(spark, "model")
+    md.save_model(res.model, path)
+    again = md.load_model(path)
+    a = md.score(res.model, res.test, res.numeric, keep=["user_id"])
+    b = md.score(again, res.test, res.numeric, keep=["user_id"]).select(
+        "user_id", F.col("prediction").alias("prediction_reloaded"),
+        F.col("probability").alias("probability_reloaded"))
+    return a.join(b, "user_id")
+
+
+# -- streams and sinks -------------------------------------------------------
+
+from twinreach.session import scratch_path  # noqa: E402
+from twinreach.sources import tables as tb  # noqa: E402
+from twinreach.streaming import ingest as ing  # noqa: E402
+
+ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def _stream_once(spark, df, schema, batches=1, rescue=True):
+    """Land ``df`` as JSON files ``batches`` times, ingesting after each."""
+    land, target, ckpt = (scratch_path(spark, n) for n in ("landing", "bronze", "stream-ckpt"))
+    for _ in range(batches):
+        tb.write_json(df, land)
+        ing.ingest_json_stream(spark, land, target, ckpt, schema, rescue=rescue)
+        ing.ingest_json_stream(spark, land, target, ckpt, schema, rescue=rescue)  # adds nothing
+    return spark.read.parquet(target)
+
+
+def _bronze_audience(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    land = scratch_path(spark, "landing")
+    tb.write_json(a, land)
+    schema = ing.infer_json_schema(spark, land, strings=True)
+    target, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    return spark.read.parquet(target)
+
+
+@query("ingest_strings")
+def q_ingest_strings(spark, sf_dir):
+    return _bronze_audience(spark, sf_dir)
+
+
+@query("ingest_conformed")
+def q_ingest_conformed(spark, sf_dir):
+    return cf.conform(_bronze_audience(spark, sf_dir), cf.AUDIENCE_SILVER_SCHEMA, missing="drop")
+
+
+def _impressions_json(spark, sf_dir):
+    return fx.impressions(spark, sf_dir).withColumn("Timestamp", F.date_format("Timestamp", ISO_Z))
+
+
+@query("ingest_typed")
+def q_ingest_typed(spark, sf_dir):
+    imp = _impressions_json(spark, sf_dir)
+    land = scratch_path(spark, "landing")
+    tb.write_json(imp, land)
+    schema = ing.infer_json_schema(spark, land)
+    target, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    return spark.read.parquet(target).drop(cf.RESCUED)
+
+
+@query("ingest_appended")
+def q_ingest_appended(spark, sf_dir):
+    """Seed files appended twice; each file is ingested exactly once."""
+    s = fx.seed(spark, sf_dir)
+    return _stream_once(spark, s, cf.SEED_SCHEMA, batches=2).drop(cf.RESCUED)
+
+
+def _rescue_lines(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    cols = [c for c in a.columns if c != "avg_daily_watch_time"]
+    extra = F.when(F.col("gender") == "U", F.lit("unknown")).alias("extra_note")
+    good = F.to_json(F.struct(*cols, "avg_daily_watch_time", extra))
+    bad = F.to_json(F.struct(*cols, F.lit("n/a").alias("avg_daily_watch_time"), extra))
+    return a.select(F.when(F.col("avg_daily_watch_time").isNull(), bad).otherwise(good).alias("value"))
+
+
+@query("rescue_records")
+def q_rescue_records(spark, sf_dir):
+    land = scratch_path(spark, "landing")
+    _rescue_lines(spark, sf_dir).write.text(land)
+    schema = fx.audience(spark, sf_dir).schema
+    target, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    return spark.read.parquet(target).select("user_id", "avg_daily_watch_time", "gender", cf.RESCUED)
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    a = fx.audience(spark, sf_dir)
+    path = scratch_path(spark, "json")
+    tb.write_json(a, path, files=4)
+    return spark.read.schema(a.schema).option("dateFormat", "yyyy-MM-dd").json(path)
+
+
+@query("publish_latest")
+def q_publish_latest(spark, sf_dir):
+    lab = fx.labelled(spark, sf_dir)
+    root = scratch_path(spark, "published")
+    tb.publish_snapshot(lab.where(F.col("label") == 0), root, 1)
+    tb.publish_snapshot(lab.where(F.col("label") == 1), root, 2)
+    return tb.read_snapshot(spark, root)
+
+
+@query("predictions_sink")
+def q_predictions_sink(spark, sf_dir):
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    positives = md.score_audience(res.model, tr.unlabelled_frame(features_frame(spark, sf_dir)),
+                                  res.numeric)
+    path = scratch_path(spark, "lal_predictions")
+    tb.write_table(positives, path)
+    return spark.read.parquet(path)

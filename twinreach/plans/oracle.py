@@ -206,3 +206,15 @@ oracle("standardize", "SELECT user_id, " + ", ".join(
     + " FROM (SELECT user_id, " + ", ".join(
     f"coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM audience)) AS {c}" for c in STD)
     + " FROM audience) imp")
+
+# -- streams and sinks -------------------------------------------------------
+oracle("ingest_conformed", f"SELECT {SILVER_COLS} FROM audience")
+oracle("ingest_typed", "SELECT ImpressionID, strftime(Timestamp, '%Y-%m-%dT%H:%M:%SZ') AS Timestamp, UserID, "
+       "WinningPrice, CAST(ClickThrough AS BIGINT) AS ClickThrough FROM impressions")
+oracle("ingest_appended", "SELECT user_id_seed FROM seed UNION ALL SELECT user_id_seed FROM seed")
+oracle("rescue_records", "SELECT user_id, avg_daily_watch_time, gender, CASE "
+       "WHEN avg_daily_watch_time IS NULL AND gender = 'U' THEN '{\"avg_daily_watch_time\":\"n/a\",\"extra_note\":\"unknown\"}' "
+       "WHEN avg_daily_watch_time IS NULL THEN '{\"avg_daily_watch_time\":\"n/a\"}' "
+       "WHEN gender = 'U' THEN '{\"extra_note\":\"unknown\"}' END AS _rescued_data FROM audience")
+oracle("json_roundtrip", "SELECT * FROM audience")
+oracle("publish_latest", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 1")
