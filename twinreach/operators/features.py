@@ -23,14 +23,15 @@ PERCENTILES = {
 
 
 def lal_features(silver: DataFrame, as_of=None, prices=PRICES_AS_PUBLISHED,
-                 churn_days: int = CHURN_DAYS, rank_method: str = "distributed",
+                 churn_days: int = CHURN_DAYS, rank_method: str = "auto",
                  buckets: int | None = None) -> DataFrame:
     """Silver audience -> feature table.
 
     Adds population percent ranks of ad rate, watch time and subscription
     length; days since the last session (relative to ``as_of``, default
     today); the churn flag; and the monthly subscription revenue by tier.
-    Percentiles of columns the input lacks are skipped.
+    Percentiles of columns the input lacks are skipped.  ``rank_method``:
+    see ``add_percent_ranks`` ('auto' checks the population size first).
     """
     ranks = {s: o for s, o in PERCENTILES.items() if s in silver.columns}
     out = add_percent_ranks(silver, ranks, method=rank_method, buckets=buckets)

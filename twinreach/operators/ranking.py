@@ -83,13 +83,34 @@ def global_percent_rank(df: DataFrame, col: str, out: str, buckets: int | None =
     return (df.join(ranks, F.col(col).eqNullSafe(ranks[_V]), "left").drop(_V))
 
 
-def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "distributed",
-                      buckets: int | None = None) -> DataFrame:
+# Largest population ranked in a single task by ``method='auto'``: one sort of
+# this many rows is a few seconds on one core and tens of MB of memory.
+SINGLE_TASK_ROWS = 2_000_000
+
+
+def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A bounded probe: every task stops after ``max_rows + 1`` rows (local
+    limit) and only one number reaches the driver.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "auto",
+                      buckets: int | None = None,
+                      max_single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Add ``{source column: output column}`` percent ranks.
 
-    ``method='distributed'`` (default) scales with the cluster;
-    ``method='window'`` is the built-in single-task form.
+    ``method='distributed'`` scales with the cluster; ``method='window'`` is
+    the built-in single-task form; ``method='auto'`` (default) checks the
+    row count with a bounded probe and uses the window only when the whole
+    population fits one task, the distributed form beyond that.
     """
+    spread = False
+    if method == "auto":
+        method = "window" if fits_one_task(df, max_single_task_rows) else "distributed"
+        spread = method == "window"
     for src, out in columns.items():
         if method == "window":
             df = percent_rank_window(df, src, out)
@@ -97,4 +118,8 @@ def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "dis
             df = global_percent_rank(df, src, out, buckets)
         else:
             raise ValueError(f"unknown method {method!r}")
+    if spread:
+        # the window leaves every row in one partition; spread the (bounded)
+        # result again so later stages run in parallel
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     return df

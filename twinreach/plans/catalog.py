@@ -567,3 +567,46 @@ def q_predictions_sink(spark, sf_dir):
     path = scratch_path(spark, "lal_predictions")
     tb.write_table(positives, path)
     return spark.read.parquet(path)
+
+
+# -- end-to-end plans --------------------------------------------------------
+
+from twinreach.plans import activation as act  # noqa: E402
+from twinreach.plans import feature_pipeline as fp  # noqa: E402
+
+
+def _pipeline(spark, sf_dir):
+    landing = {n: scratch_path(spark, f"landing-{n}") for n in ("audience", "seed", "impressions")}
+    tb.write_json(fx.audience(spark, sf_dir), landing["audience"])
+    tb.write_json(fx.seed(spark, sf_dir), landing["seed"])
+    tb.write_json(_impressions_json(spark, sf_dir), landing["impressions"])
+    rules = ql.load_rules(ql.rules_frame(spark), "audience_team")
+    return fp.run_feature_pipeline(spark, landing, scratch_path(spark, "pipeline"), rules,
+                                   as_of=fx.AS_OF)
+
+
+@query("pipeline_features")
+def q_pipeline_features(spark, sf_dir):
+    return _pipeline(spark, sf_dir).features
+
+
+@query("pipeline_kpi")
+def q_pipeline_kpi(spark, sf_dir):
+    return _pipeline(spark, sf_dir).kpi
+
+
+@query("seed_window")
+def q_seed_window(spark, sf_dir):
+    """Second seed form: no tier filter, recency as a window before as_of."""
+    return sd.select_seed(fx.audience(spark, sf_dir), genres=fx.SEED_GENRES,
+                          min_watch=fx.SEED_MIN_WATCH, as_of=fx.AS_OF, window_days=181)
+
+
+@query("activation")
+def q_activation(spark, sf_dir):
+    """Fit, then publish the positives twice; the second publication is v2."""
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    root = scratch_path(spark, "lal_predictions")
+    feats = features_frame(spark, sf_dir)
+    act.activate(res.model, feats, res.numeric, root)
+    return act.activate(res.model, feats, res.numeric, root)

@@ -218,3 +218,8 @@ oracle("rescue_records", "SELECT user_id, avg_daily_watch_time, gender, CASE "
        "WHEN gender = 'U' THEN '{\"extra_note\":\"unknown\"}' END AS _rescued_data FROM audience")
 oracle("json_roundtrip", "SELECT * FROM audience")
 oracle("publish_latest", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 1")
+
+# -- end-to-end plans --------------------------------------------------------
+oracle("pipeline_features", f"SELECT * FROM {FEATURES} f")
+ORACLE["pipeline_kpi"] = ORACLE["kpi"]
+oracle("seed_window", "SELECT user_id AS user_id_seed FROM audience WHERE favorite_genre IN ('Comedy','Documentary','Reality TV') AND avg_daily_watch_time > 60 AND last_login_date >= DATE '2001-02-02'")

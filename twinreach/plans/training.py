@@ -23,8 +23,16 @@ from twinreach.session import ensure_checkpoint_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (eager)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (eager).
+
+    A frame with fewer partitions than the cluster has cores is spread first,
+    so that the iterative fits reading it use every core.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
     return df.checkpoint(eager=True)
 
 
