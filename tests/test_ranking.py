@@ -41,3 +41,24 @@ def test_plan_has_no_single_partition_sort_of_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only single-partition exchanges are over per-bucket totals / cut points
     assert "percent_rank" not in plan
+
+
+def test_several_columns_in_one_pass_match_the_window(spark):
+    rnd = random.Random(11)
+    rows = [(i, None if rnd.random() < 0.05 else rnd.random(), float(rnd.randint(0, 5)),
+             None if rnd.random() < 0.2 else float(rnd.randint(0, 500)))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, a float, b double, c double")
+    cols = {"a": "pa", "b": "pb", "c": "pc"}
+    want = rk.add_percent_ranks(df, cols, method="window")
+    got = rk.add_percent_ranks(df, cols, method="distributed", buckets=5)
+    key = lambda r: (r.id, r.pa, r.pb, r.pc)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_auto_picks_by_size(spark):
+    df = spark.range(50).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"))
+    assert rk.fits_one_task(df, 50) and not rk.fits_one_task(df, 49)
+    small = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=100)
+    large = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=10)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))

@@ -1,8 +1,9 @@
 """Look-alike classifiers on Spark ML.
 
 The reference trains single-machine models on a pandas copy; here fitting,
-scoring and evaluation are Spark ML jobs over partitioned data.  Training
-frames are persisted (memory and disk) while iterative fits read them.
+scoring and evaluation are Spark ML jobs over partitioned data.  Prepared
+feature vectors are persisted (memory and disk) while iterative fits read
+them; the frames they come from are checkpointed by the training plan.
 """
 
 from __future__ import annotations
@@ -83,17 +84,21 @@ def compare_classifiers(train: DataFrame, test: DataFrame, cat, num, candidates=
     fitted models by name.
     """
     candidates = candidates or candidate_classifiers(label)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # preparation is shared: fitted once, its vectors kept while the
+    # candidates iterate over them
+    typed = cast_numeric(train, num)
+    prep = Pipeline(stages=feature_stages(cat, num)).fit(typed)
+    vectors = prep.transform(typed).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     models, rows = {}, None
     try:
         for name, est in candidates.items():
-            m = fit(train, est, cat, num)
+            m = PipelineModel(stages=list(prep.stages) + [est.fit(vectors)])
             models[name] = m
             r = evaluate(m, test, num, label).select(F.lit(name).alias("model"), "*")
             rows = r if rows is None else rows.unionByName(r)
     finally:
         # fits are done; the metrics plan reads only the test rows
-        train.unpersist()
+        vectors.unpersist()
     return rows, models
 
 

@@ -9,7 +9,7 @@ strictly before it, and joins that back:
 1. ``groupBy(value).count()``: map-side partial aggregation, so a value held
    by a third of all rows is one row after the first stage.
 2. ``percentile_approx`` over the distinct values gives ``B - 1`` cut points
-   (a scalar subquery: one row of B numbers); each distinct value gets the
+   (one row per ranked column, broadcast); each distinct value gets the
    bucket ``#cut points < value``.  Buckets hold about equal numbers of
    distinct values whatever the skew of the rows.
 3. Per-bucket row totals (at most B + 1 rows) give each bucket's offset and
@@ -22,6 +22,8 @@ strictly before it, and joins that back:
    value null-safely.  The join's build side has one row per distinct value;
    AQE splits a hot value's partition on the probe side (skew join).
 
+Several columns are ranked in the same pass: their values are stacked as
+``(column, value)`` pairs and every step above is keyed by the column too.
 Nulls sort first (Spark's ascending default): they form bucket -1, rank 0.
 Results equal the built-in exactly, ties included.
 """
@@ -31,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_V, _N, _B, _OFF, _TOT, _BELOW = "_pr_v", "_pr_n", "_pr_b", "_pr_off", "_pr_tot", "_pr_below"
+_C, _V, _N, _B, _OFF, _TOT, _BELOW = "_pr_c", "_pr_v", "_pr_n", "_pr_b", "_pr_off", "_pr_tot", "_pr_below"
 
 
 def percent_rank_window(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -39,48 +41,67 @@ def percent_rank_window(df: DataFrame, col: str, out: str) -> DataFrame:
     return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(col).asc_nulls_first())))
 
 
-def value_ranks(df: DataFrame, col: str, buckets: int | None = None,
+def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
                 accuracy: int = 10000) -> DataFrame:
-    """Distinct values of ``col`` with ``below`` (rows strictly before) and
-    ``total`` (all rows): columns ``_pr_v, _pr_below, _pr_tot``."""
+    """For every ranked column and each of its distinct values: rows of that
+    column strictly before the value and the column's row total.
+
+    Columns ``_pr_c`` (index into ``columns``), ``_pr_v`` (value as double),
+    ``_pr_below``, ``_pr_tot``.  All columns share one pass: the values are
+    stacked as ``(column, value)`` pairs, so one partial aggregation, one
+    grouped ``percentile_approx`` and one bucket window serve all of them.
+    """
     spark = df.sparkSession
-    b = int(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    b = max(b, 1)
-    counts = df.groupBy(F.col(col).alias(_V)).agg(F.count(F.lit(1)).alias(_N))
+    b = max(int(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), 1)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias(_C), F.col(c).cast("double").alias(_V))
+        for i, c in enumerate(columns)])).alias("_pr_p")).select("_pr_p.*")
+    counts = pairs.groupBy(_C, _V).agg(F.count(F.lit(1)).alias(_N))
     v = F.col(_V)
     if b > 1:
-        cuts = (counts.where(v.isNotNull())
-                .agg(F.percentile_approx(_V, [i / b for i in range(1, b)], accuracy).alias("c"))
-                .scalar())
-        bucketed = (counts.withColumn("_pr_cuts", cuts)
+        # one row of B - 1 cut points per ranked column: bounded broadcast
+        cuts = (counts.where(v.isNotNull()).groupBy(_C)
+                .agg(F.percentile_approx(_V, [i / b for i in range(1, b)], accuracy).alias("_pr_cuts")))
+        bucketed = (counts.join(F.broadcast(cuts), _C, "left")
                     .withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(
                         F.coalesce(F.size(F.filter(F.col("_pr_cuts"), lambda c: c < v)), F.lit(0))))
                     .drop("_pr_cuts"))
     else:
         bucketed = counts.withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    all_buckets = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before_bucket = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    # at most B + 1 rows: the single-partition window here is bounded by B
-    offsets = (bucketed.groupBy(_B).agg(F.sum(_N).alias("_pr_bn"))
-               .select(_B,
-                       F.coalesce(F.sum("_pr_bn").over(before_bucket), F.lit(0)).alias(_OFF),
-                       F.sum("_pr_bn").over(all_buckets).alias(_TOT)))
-    in_bucket = Window.partitionBy(_B).orderBy(v.asc_nulls_first()).rowsBetween(
+    per_col = Window.partitionBy(_C).orderBy(_B)
+    # at most (B + 1) rows per ranked column: bounded, broadcast below
+    offsets = (bucketed.groupBy(_C, _B).agg(F.sum(_N).alias("_pr_bn"))
+               .select(_C, _B,
+                       F.coalesce(F.sum("_pr_bn").over(
+                           per_col.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF),
+                       F.sum("_pr_bn").over(per_col.rowsBetween(
+                           Window.unboundedPreceding, Window.unboundedFollowing)).alias(_TOT)))
+    in_bucket = Window.partitionBy(_C, _B).orderBy(v.asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1)
-    return (bucketed.join(F.broadcast(offsets), _B)
-            .select(_V,
+    return (bucketed.join(F.broadcast(offsets), [_C, _B])
+            .select(_C, _V,
                     (F.col(_OFF) + F.coalesce(F.sum(_N).over(in_bucket), F.lit(0))).alias(_BELOW),
                     F.col(_TOT)))
 
 
-def global_percent_rank(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
-    """``percent_rank()`` over the whole table ordered by ``col`` ascending,
-    nulls first, computed without a single-partition step."""
-    ranks = value_ranks(df, col, buckets).select(
-        _V,
+def global_percent_ranks(df: DataFrame, columns: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """``percent_rank()`` over the whole table for each ``{source: output}``
+    column (ascending, nulls first), without a single-partition step."""
+    srcs = list(columns)
+    ranks = value_ranks(df, srcs, buckets).select(
+        _C, _V,
         F.when(F.col(_TOT) <= 1, F.lit(0.0))
-         .otherwise(F.col(_BELOW).cast("double") / (F.col(_TOT) - 1).cast("double")).alias(out))
-    return (df.join(ranks, F.col(col).eqNullSafe(ranks[_V]), "left").drop(_V))
+         .otherwise(F.col(_BELOW).cast("double") / (F.col(_TOT) - 1).cast("double")).alias("_pr_p"))
+    out = df
+    for i, src in enumerate(srcs):
+        r = ranks.where(F.col(_C) == i).select(F.col(_V).alias("_pr_k"), F.col("_pr_p").alias(columns[src]))
+        out = out.join(r, F.col(src).cast("double").eqNullSafe(r["_pr_k"]), "left").drop("_pr_k")
+    return out
+
+
+def global_percent_rank(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
+    """Single-column form of ``global_percent_ranks``."""
+    return global_percent_ranks(df, {col: out}, buckets)
 
 
 # Largest population ranked in a single task by ``method='auto'``: one sort of
@@ -107,19 +128,12 @@ def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "aut
     row count with a bounded probe and uses the window only when the whole
     population fits one task, the distributed form beyond that.
     """
-    spread = False
     if method == "auto":
         method = "window" if fits_one_task(df, max_single_task_rows) else "distributed"
-        spread = method == "window"
+    if method == "distributed":
+        return global_percent_ranks(df, columns, buckets)
+    if method != "window":
+        raise ValueError(f"unknown method {method!r}")
     for src, out in columns.items():
-        if method == "window":
-            df = percent_rank_window(df, src, out)
-        elif method == "distributed":
-            df = global_percent_rank(df, src, out, buckets)
-        else:
-            raise ValueError(f"unknown method {method!r}")
-    if spread:
-        # the window leaves every row in one partition; spread the (bounded)
-        # result again so later stages run in parallel
-        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        df = percent_rank_window(df, src, out)
     return df

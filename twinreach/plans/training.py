@@ -22,17 +22,18 @@ from twinreach.operators.seed import label_audience
 from twinreach.session import ensure_checkpoint_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, key: str | None = None) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (eager).
 
-    A frame with fewer partitions than the cluster has cores is spread first,
-    so that the iterative fits reading it use every core.
+    With ``key`` the rows are first hash-partitioned by it without a fixed
+    partition count, so AQE sizes the partitions by bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): iterative fits then
+    run one task per reasonably sized block, few tasks for small frames and
+    many for large ones.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    ensure_checkpoint_dir(df.sparkSession)
+    if key is not None:
+        df = df.repartition(F.col(key))
     return df.checkpoint(eager=True)
 
 
@@ -58,7 +59,7 @@ class TrainingResult:
 def fit_gbt(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
             checkpoint: bool = True) -> TrainingResult:
     """Hash split, then preparation + GBT (10 rounds) fitted on the train side."""
-    data = cut_lineage(labelled) if checkpoint else labelled
+    data = cut_lineage(labelled, key) if checkpoint else labelled
     cat, num = split_columns(data.schema)
     train, test = hash_split(data, key, share, seed)
     model = md.fit(train, md.gbt(), cat, num)
@@ -68,7 +69,7 @@ def fit_gbt(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed:
 def compare(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
             candidates=None):
     """Five candidates on one split: ``(metrics frame, models, cat, num, test)``."""
-    data = cut_lineage(labelled)
+    data = cut_lineage(labelled, key)
     cat, num = split_columns(data.schema)
     train, test = hash_split(data, key, share, seed)
     metrics, models = md.compare_classifiers(train, test, cat, num, candidates)
