@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinreach.session import cut_lineage
+
 _C, _V, _N, _B, _OFF, _TOT, _BELOW = "_pr_c", "_pr_v", "_pr_n", "_pr_b", "_pr_off", "_pr_tot", "_pr_below"
 
 
@@ -42,7 +44,7 @@ def percent_rank_window(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
-                accuracy: int = 10000) -> DataFrame:
+                accuracy: int | None = None) -> DataFrame:
     """For every ranked column and each of its distinct values: rows of that
     column strictly before the value and the column's row total.
 
@@ -53,6 +55,9 @@ def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
     """
     spark = df.sparkSession
     b = max(int(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), 1)
+    # cut points only balance the buckets: an error of 1/accuracy of the
+    # distinct values is a fraction of one bucket
+    accuracy = accuracy or max(1000, 10 * b)
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias(_C), F.col(c).cast("double").alias(_V))
         for i, c in enumerate(columns)])).alias("_pr_p")).select("_pr_p.*")
@@ -84,14 +89,22 @@ def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
                     F.col(_TOT)))
 
 
-def global_percent_ranks(df: DataFrame, columns: dict[str, str], buckets: int | None = None) -> DataFrame:
+def global_percent_ranks(df: DataFrame, columns: dict[str, str], buckets: int | None = None,
+                         materialize: bool = True) -> DataFrame:
     """``percent_rank()`` over the whole table for each ``{source: output}``
-    column (ascending, nulls first), without a single-partition step."""
+    column (ascending, nulls first), without a single-partition step.
+
+    With ``materialize`` (default) the rank table (one row per distinct value
+    and column) is written once as a table in the shared checkpoint folder, so the
+    per-column join-backs read it instead of recomputing it from the input.
+    """
     srcs = list(columns)
     ranks = value_ranks(df, srcs, buckets).select(
         _C, _V,
         F.when(F.col(_TOT) <= 1, F.lit(0.0))
          .otherwise(F.col(_BELOW).cast("double") / (F.col(_TOT) - 1).cast("double")).alias("_pr_p"))
+    if materialize:
+        ranks = cut_lineage(ranks)
     out = df
     for i, src in enumerate(srcs):
         r = ranks.where(F.col(_C) == i).select(F.col(_V).alias("_pr_k"), F.col("_pr_p").alias(columns[src]))

@@ -610,3 +610,15 @@ def q_activation(spark, sf_dir):
     feats = features_frame(spark, sf_dir)
     act.activate(res.model, feats, res.numeric, root)
     return act.activate(res.model, feats, res.numeric, root)
+
+
+LINEITEM_RANKS = {"l_quantity": "quantity_pct", "l_extendedprice": "price_pct", "l_discount": "discount_pct"}
+
+
+@query("pct_lineitem")
+def q_pct_lineitem(spark, sf_dir):
+    """W1 at the size of the largest table: three distributed percent ranks
+    over all of ``lineitem`` (few distinct quantities and discounts: every
+    value is hot)."""
+    li = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_RANKS)
+    return rk.add_percent_ranks(li, LINEITEM_RANKS, method="distributed")

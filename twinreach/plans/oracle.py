@@ -223,3 +223,8 @@ oracle("publish_latest", "SELECT user_id, label, 2 AS version FROM labelled WHER
 oracle("pipeline_features", f"SELECT * FROM {FEATURES} f")
 ORACLE["pipeline_kpi"] = ORACLE["kpi"]
 oracle("seed_window", "SELECT user_id AS user_id_seed FROM audience WHERE favorite_genre IN ('Comedy','Documentary','Reality TV') AND avg_daily_watch_time > 60 AND last_login_date >= DATE '2001-02-02'")
+ORACLE["pct_lineitem"] = (
+    "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+    "percent_rank() OVER (ORDER BY l_quantity ASC NULLS FIRST) AS quantity_pct, "
+    "percent_rank() OVER (ORDER BY l_extendedprice ASC NULLS FIRST) AS price_pct, "
+    "percent_rank() OVER (ORDER BY l_discount ASC NULLS FIRST) AS discount_pct FROM lineitem")

@@ -19,22 +19,7 @@ from twinreach.operators import models as md
 from twinreach.operators.frames import split_columns
 from twinreach.operators.sampling import hash_split
 from twinreach.operators.seed import label_audience
-from twinreach.session import ensure_checkpoint_dir
-
-
-def cut_lineage(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (eager).
-
-    With ``key`` the rows are first hash-partitioned by it without a fixed
-    partition count, so AQE sizes the partitions by bytes
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): iterative fits then
-    run one task per reasonably sized block, few tasks for small frames and
-    many for large ones.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    if key is not None:
-        df = df.repartition(F.col(key))
-    return df.checkpoint(eager=True)
+from twinreach.session import cut_lineage  # noqa: F401  (re-exported)
 
 
 def training_frame(features: DataFrame, seed: DataFrame, key: str = "user_id") -> DataFrame:

@@ -75,3 +75,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "twinreach", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cut_lineage(df, key: str | None = None):
+    """Write ``df`` as a parquet table under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a scan of it (eager).
+
+    The lineage is cut: a lost executor re-reads the table instead of
+    recomputing the plan, and the planner sees the table's real size.
+    Parquet rather than ``DataFrame.checkpoint`` (Java-serialised rows):
+    columnar, compressed, vectorised to read.  With ``key`` the rows are
+    hash-partitioned by it without a fixed partition count, so AQE sizes
+    the files by bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    and later iterative readers run one task per reasonably sized block.
+    """
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "lineage")
+    if key is not None:
+        df = df.repartition(F.col(key))
+    df.write.parquet(path)
+    return spark.read.parquet(path)
