@@ -24,7 +24,8 @@ from twinreach.functions.columns import positive_probability
 from twinreach.operators.frames import align_to, drop_helper_columns, fill_numeric
 from twinreach.operators.metrics import classification_metrics
 from twinreach.operators.prep import cast_numeric, feature_stages
-from twinreach.operators.sampling import hash_split
+from twinreach.operators.sampling import hash_split, undersample
+from twinreach.session import cut_lineage
 
 MODEL_OUTPUTS = ("features", "num_features", "num_scaled", "rawPrediction", "probability",
                  "prediction")
@@ -132,12 +133,19 @@ def semi_supervised_frame(model: PipelineModel, labelled: DataFrame, unlabelled:
 
 def semi_supervised_fit(model: PipelineModel, labelled: DataFrame, unlabelled: DataFrame,
                         cat, num, estimator=None, key: str = "user_id", label: str = "label",
-                        share: float = 0.7, seed: int = 1):
+                        share: float = 0.7, seed: int = 1, balance: bool = True):
     """Retrain on labelled + pseudo-labelled rows; evaluate the returned model.
 
+    With ``balance`` (default, as the reference's final model) the classes
+    are first undersampled to the minority size (exact, distributed).
     Returns ``(model_2, metrics_on_test, test)``.
     """
     combined = semi_supervised_frame(model, labelled, unlabelled, num, key, label)
+    if balance:
+        combined = undersample(combined, label, key, seed=seed)
+    # the fit reads its input many times: write it once instead of
+    # re-running scoring and undersampling on every pass
+    combined = cut_lineage(combined, key)
     train, test = hash_split(combined, key, share, seed)
     model_2 = fit(train, estimator or gbt(label), cat, num)
     return model_2, evaluate(model_2, test, num, label), test
