@@ -62,3 +62,15 @@ def test_auto_picks_by_size(spark):
     small = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=100)
     large = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=10)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float),
+                                 st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=60),
+       buckets=st.integers(1, 6))
+def test_property_distributed_equals_window(spark, values, buckets):
+    _compare(spark, values, buckets)
