@@ -39,3 +39,21 @@ def test_column_roles_exclude_ids_and_pii(spark):
     assert "last_login_date" not in num  # a date until it is turned into epoch seconds
     helpers = entry.queries()["drop_helpers"](spark, SF_SMALL).columns
     assert not [c for c in helpers if c.lower().endswith(("index", "vec"))]
+
+
+def test_scoring_frame_reuses_training_table(spark):
+    """The audience read back from the training table equals the feature
+    table in model-input form, row for row."""
+    from twinreach.plans import catalog as cat
+    from twinreach.plans import training as tr
+    from twinreach.sources import fixtures as fx
+
+    feats = cat.features_frame(spark, SF_SMALL)
+    res = tr.fit_gbt(tr.training_frame(feats, fx.seed(spark, SF_SMALL)))
+    reused = res.audience()
+    fresh = tr.unlabelled_frame(feats)
+    assert sorted(reused.columns) == sorted(fresh.columns)
+    fresh = fresh.select(*reused.columns)
+    assert reused.count() == fresh.count()
+    assert reused.exceptAll(fresh).count() == 0
+    assert fresh.exceptAll(reused).count() == 0

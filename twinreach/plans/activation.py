@@ -28,11 +28,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def activate(model: PipelineModel, features: DataFrame, num, root: str,
-             version: int | None = None, key: str = "user_id") -> DataFrame:
+             version: int | None = None, key: str = "user_id",
+             prepared: bool = False) -> DataFrame:
     """Publish the ids the model predicts positive; returns the published
-    version as read back (partition-pruned to that version)."""
+    version as read back (partition-pruned to that version).
+
+    ``features`` is the feature table, or with ``prepared`` a frame already
+    in model-input form (e.g. ``TrainingResult.audience()``).
+    """
     spark = features.sparkSession
     version = version or next_version(spark, root)
-    positives = score_audience(model, unlabelled_frame(features), num, key)
+    frame = features if prepared else unlabelled_frame(features)
+    positives = score_audience(model, frame, num, key)
     publish_snapshot(positives, root, version)
     return read_snapshot(spark, root, version)

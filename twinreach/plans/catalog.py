@@ -418,32 +418,27 @@ def q_best_model(spark, sf_dir):
 @query("pseudo_label")
 def q_pseudo_label(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
-    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
-    return md.pseudo_label(res.model, unl, res.numeric).select("user_id", "label")
+    return md.pseudo_label(res.model, res.audience(), res.numeric).select("user_id", "label")
 
 
 @query("augment_training")
 def q_augment_training(spark, sf_dir):
-    data = _training(spark, sf_dir)
-    res = tr.fit_gbt(data)
-    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
-    return md.semi_supervised_frame(res.model, data, unl, res.numeric)
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    return md.semi_supervised_frame(res.model, res.data, res.audience(), res.numeric)
 
 
 @query("semi_supervised")
 def q_semi_supervised(spark, sf_dir):
-    data = _training(spark, sf_dir)
-    res = tr.fit_gbt(data)
-    unl = tr.unlabelled_frame(features_frame(spark, sf_dir))
-    _m2, metrics, _test = md.semi_supervised_fit(res.model, data, unl, res.categorical, res.numeric)
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    _m2, metrics, _test = md.semi_supervised_fit(res.model, res.data, res.audience(),
+                                                 res.categorical, res.numeric)
     return metrics
 
 
 @query("positives")
 def q_positives(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
-    return md.score_audience(res.model, tr.unlabelled_frame(features_frame(spark, sf_dir)),
-                             res.numeric)
+    return md.score_audience(res.model, res.audience(), res.numeric)
 
 
 @query("model_roundtrip")
@@ -562,8 +557,7 @@ def q_publish_latest(spark, sf_dir):
 @query("predictions_sink")
 def q_predictions_sink(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
-    positives = md.score_audience(res.model, tr.unlabelled_frame(features_frame(spark, sf_dir)),
-                                  res.numeric)
+    positives = md.score_audience(res.model, res.audience(), res.numeric)
     path = scratch_path(spark, "lal_predictions")
     tb.write_table(positives, path)
     return spark.read.parquet(path)
@@ -607,9 +601,8 @@ def q_activation(spark, sf_dir):
     """Fit, then publish the positives twice; the second publication is v2."""
     res = tr.fit_gbt(_training(spark, sf_dir))
     root = scratch_path(spark, "lal_predictions")
-    feats = features_frame(spark, sf_dir)
-    act.activate(res.model, feats, res.numeric, root)
-    return act.activate(res.model, feats, res.numeric, root)
+    act.activate(res.model, res.audience(), res.numeric, root, prepared=True)
+    return act.activate(res.model, res.audience(), res.numeric, root, prepared=True)
 
 
 LINEITEM_RANKS = {"l_quantity": "quantity_pct", "l_extendedprice": "price_pct", "l_discount": "discount_pct"}

@@ -39,6 +39,20 @@ class TrainingResult:
     categorical: list
     numeric: list
     model: PipelineModel
+    # the whole labelled frame the split came from (a written table when
+    # checkpointed): every audience row once, in model-input form
+    data: DataFrame
+    label: str = "label"
+
+    def audience(self) -> DataFrame:
+        """The whole audience in model-input form, without the label.
+
+        Equal to ``unlabelled_frame(features)`` row for row (the labelling is
+        a left join to distinct seed ids), but read from the table written
+        before the fit, so the feature plan (percent ranks, joins) is not
+        computed a second time for scoring.
+        """
+        return self.data.drop(self.label)
 
 
 def fit_gbt(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
@@ -48,7 +62,7 @@ def fit_gbt(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed:
     cat, num = split_columns(data.schema)
     train, test = hash_split(data, key, share, seed)
     model = md.fit(train, md.gbt(), cat, num)
-    return TrainingResult(train, test, cat, num, model)
+    return TrainingResult(train, test, cat, num, model, data)
 
 
 def compare(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
