@@ -125,10 +125,13 @@ SINGLE_TASK_ROWS = 2_000_000
 def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    A bounded probe: every task stops after ``max_rows + 1`` rows (local
-    limit) and only one number reaches the driver.
+    A plain distributed count: the scan reads no columns and every task
+    sends one partial count, so only one number reaches the driver.  (A
+    ``limit(max_rows + 1).count()`` probe looks cheaper but plans an
+    ``Exchange SinglePartition``: each task ships up to ``max_rows + 1``
+    rows to one task, which on a table of many partitions is every row.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "auto",
@@ -138,7 +141,7 @@ def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "aut
 
     ``method='distributed'`` scales with the cluster; ``method='window'`` is
     the built-in single-task form; ``method='auto'`` (default) checks the
-    row count with a bounded probe and uses the window only when the whole
+    row count (a distributed count) and uses the window only when the whole
     population fits one task, the distributed form beyond that.
     """
     if method == "auto":
