@@ -48,3 +48,23 @@ def test_hash_split_is_disjoint_and_stable(spark):
     assert not (ta & tb) and len(ta) + len(tb) == 2000
     assert ta == {r.user_id for r in a2.collect()}
     assert 0.65 < len(ta) / 2000 < 0.75
+
+
+def test_undersample_three_classes_hot_key_and_edges(spark):
+    """Three classes, one key holding a third of all rows, several bucket
+    widths; one class alone keeps everything; no rows gives no rows."""
+    rnd = random.Random(11)
+    rows = [("hot", 2)] * 150
+    for i in range(300):
+        lab = rnd.choice([0, 0, 1, 2])
+        rows += [(f"k{i}", lab)] * (1 + (rnd.random() < 0.15))
+    df = spark.createDataFrame(rows, "user_id string, label int")
+    hashed = df.withColumn("h", hash60("user_id", salt="5")).toPandas()
+    want = _brute(hashed[["user_id", "label"]], hashed["h"].values)
+    for bits in (1, 4, 16):
+        got = sorted(tuple(r) for r in
+                     sm.undersample(df, seed=5, bits=bits).select("user_id", "label").collect())
+        assert got == want, bits
+    one = df.where(F.col("label") == 1)
+    assert sm.undersample(one, seed=5).count() == one.count()
+    assert sm.undersample(df.where(F.lit(False)), seed=5).count() == 0
