@@ -64,9 +64,9 @@ def undersample(df: DataFrame, label: str = "label", key: str = "user_id",
     per_key = keyed.groupBy(label, b, h, key).agg(F.count(F.lit(1)).alias("_us_n"))
     buckets = per_key.groupBy(label, b).agg(F.sum("_us_n").alias("_us_bn"))
     in_class = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    # k = the smallest class total, from the bucket totals inside the plan (no
-    # driver action, no second pass over the input); the unpartitioned window
-    # sees at most classes x 2**bits rows
+    # k = the smallest class total, from the bucket totals already in the plan
+    # (no subquery aggregating the input again); the unpartitioned window sees
+    # at most classes x 2**bits rows
     k = F.min(F.sum("_us_bn").over(Window.partitionBy(label))).over(Window.partitionBy())
     boundary = (buckets
                 .withColumn("_us_before", F.coalesce(F.sum("_us_bn").over(in_class), F.lit(0)))
