@@ -65,7 +65,12 @@ def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
     v = F.col(_V)
     if b > 1:
         # one row of B - 1 cut points per ranked column: bounded broadcast
-        cuts = (counts.where(v.isNotNull()).groupBy(_C)
+        # the filter reads the count, so the optimizer keeps the very same
+        # aggregate as the main branch and reuses its shuffle (a bare distinct
+        # would scan, explode and shuffle the input a second time); nulls are
+        # skipped by percentile_approx itself (a null filter here would be
+        # pushed below the aggregate and break the reuse)
+        cuts = (counts.where(F.col(_N) > 0).groupBy(_C)
                 .agg(F.percentile_approx(_V, [i / b for i in range(1, b)], accuracy).alias("_pr_cuts")))
         bucketed = (counts.join(F.broadcast(cuts), _C, "left")
                     .withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(
