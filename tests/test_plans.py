@@ -34,6 +34,16 @@ def test_snapshot_read_is_pruned_to_newest_version(spark):
     assert "PartitionFilters: [isnotnull(version" in plan and "Subquery" in plan
 
 
+def test_republishing_a_version_replaces_it(spark):
+    lab = fx.labelled(spark, SF_SMALL)
+    root = scratch_path(spark, "snap")
+    tb.publish_snapshot(lab, root, 1)
+    tb.publish_snapshot(lab.where("label = 1"), root, 2)
+    tb.publish_snapshot(lab.where("label = 1"), root, 2)  # a re-run of the same publication
+    assert tb.read_snapshot(spark, root, 2).count() == lab.where("label = 1").count()
+    assert tb.read_snapshot(spark, root, 1).count() == lab.count()  # other versions kept
+
+
 def test_json_sink_writes_no_marker_files(spark):
     path = scratch_path(spark, "json").replace("file:", "")
     tb.write_json(fx.seed(spark, SF_SMALL), path, files=3)

@@ -85,9 +85,15 @@ def write_table(df: DataFrame, name_or_path: str, mode: str = "overwrite") -> No
 # default; partition pruning keeps a read to that one folder.
 
 def publish_snapshot(df: DataFrame, root: str, version: int) -> None:
-    """Add ``df`` as version ``version`` under ``root`` (other versions kept)."""
+    """Write ``df`` as version ``version`` under ``root`` (other versions kept).
+
+    Dynamic partition overwrite replaces only the ``version=N`` folder, so a
+    publication that is run again (after a failed or lost job) leaves one
+    copy of that version, not two.
+    """
     (df.withColumn("version", F.lit(int(version)).cast("int"))
-       .write.mode("append").partitionBy("version").parquet(root))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("version").parquet(root))
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
