@@ -74,3 +74,35 @@ from hypothesis import strategies as st  # noqa: E402
        buckets=st.integers(1, 6))
 def test_property_distributed_equals_window(spark, values, buckets):
     _compare(spark, values, buckets)
+
+
+def test_count_below_equals_a_linear_count(spark):
+    """The two-level search over ascending cut points, against counting."""
+    import random as _r
+
+    rnd = _r.Random(4)
+    cases = []
+    for m in (1, 2, 3, 5, 8, 9, 10, 17, 63, 64, 65, 200, 1001):
+        cuts = sorted(float(rnd.randint(0, 40)) for _ in range(m))  # many repeats
+        for v in [rnd.uniform(-2, 42) for _ in range(25)] + cuts[:3] + cuts[-3:] + [-5.0, 50.0]:
+            cases.append((m, cuts, float(v)))
+    df = spark.createDataFrame(cases, "m int, cuts array<double>, v double")
+    got = []
+    for m in sorted({c[0] for c in cases}):
+        part = df.where(F.col("m") == m)
+        coarse = rk.coarse_cuts(F.col("cuts"), m)
+        got += part.select("m", "cuts", "v", rk.count_below(F.col("cuts"), coarse, F.col("v"), m)
+                           .alias("n")).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        assert r.n == sum(1 for c in r.cuts if c < r.v), (r.m, r.v)
+
+
+def test_many_buckets_use_the_two_level_search(spark):
+    """More cut points than the linear limit: still equal to the window."""
+    rnd = random.Random(8)
+    vals = [None if rnd.random() < 0.05 else float(rnd.randint(0, 400)) for _ in range(1500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
+    got = rk.global_percent_ranks(df, {"x": "p"}, buckets=rk.LINEAR_CUTS * 3).select("id", "p")
+    want = rk.percent_rank_window(df, "x", "p").select("id", "p")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())

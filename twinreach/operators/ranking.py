@@ -30,7 +30,9 @@ Results equal the built-in exactly, ties included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinreach.session import cut_lineage
@@ -38,6 +40,40 @@ from twinreach.session import cut_lineage
 _C, _V, _N, _B, _OFF, _TOT, _BELOW = "_pr_c", "_pr_v", "_pr_n", "_pr_b", "_pr_off", "_pr_tot", "_pr_below"
 
 
+def block_size(m: int) -> int:
+    """Stride of the coarse cut points for ``m`` cut points (about sqrt(m))."""
+    return math.isqrt(max(m - 1, 0)) + 1
+
+
+def coarse_cuts(cuts: Column, m: int) -> Column:
+    """Every ``block_size(m)``-th entry of an ascending array of ``m`` cut
+    points, from the first (computed once per ranked column)."""
+    s = block_size(m)
+    return F.filter(cuts, lambda _c, i: i % s == 0)
+
+
+# Up to this many cut points a plain count is cheaper than two searches.
+LINEAR_CUTS = 64
+
+
+def count_below(cuts: Column, coarse: Column | None, v: Column, m: int) -> Column:
+    """Entries of the ascending array ``cuts`` (``m`` entries) strictly below
+    ``v``.
+
+    Up to ``LINEAR_CUTS`` entries they are counted.  Beyond, about 2*sqrt(m)
+    comparisons replace m: ``coarse`` is ``coarse_cuts(cuts, m)``; if j coarse
+    points lie below v, every entry up to the (j-1)-th coarse point does too,
+    none from the j-th on does, and only the block between them is searched.
+    """
+    if m <= LINEAR_CUTS:
+        return F.size(F.filter(cuts, lambda c: c < v))
+    s = block_size(m)
+    j = F.size(F.filter(coarse, lambda c: c < v))
+    block = F.slice(cuts, (j - 1) * s + 2, F.lit(s - 1))
+    return F.when(j == 0, F.lit(0)).otherwise(
+        (j - 1) * s + 1 + F.size(F.filter(block, lambda c: c < v)))
+
+
 def percent_rank_window(df: DataFrame, col: str, out: str) -> DataFrame:
     """The built-in form (one task holds all rows). For small tables only."""
     return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(col).asc_nulls_first())))
@@ -70,12 +106,19 @@ def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
         # would scan, explode and shuffle the input a second time); nulls are
         # skipped by percentile_approx itself (a null filter here would be
         # pushed below the aggregate and break the reuse)
+        m = b - 1
         cuts = (counts.where(F.col(_N) > 0).groupBy(_C)
                 .agg(F.percentile_approx(_V, [i / b for i in range(1, b)], accuracy).alias("_pr_cuts")))
+        coarse = None
+        if m > LINEAR_CUTS:
+            cuts = cuts.withColumn("_pr_coarse", coarse_cuts(F.col("_pr_cuts"), m))
+            coarse = F.col("_pr_coarse")
+        # bucket = cut points below the value (ascending cuts: with many
+        # buckets a two-level search, O(sqrt B) per distinct value)
         bucketed = (counts.join(F.broadcast(cuts), _C, "left")
                     .withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(
-                        F.coalesce(F.size(F.filter(F.col("_pr_cuts"), lambda c: c < v)), F.lit(0))))
-                    .drop("_pr_cuts"))
+                        F.coalesce(count_below(F.col("_pr_cuts"), coarse, v, m), F.lit(0))))
+                    .drop("_pr_cuts", "_pr_coarse"))
     else:
         bucketed = counts.withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0)))
     per_col = Window.partitionBy(_C).orderBy(_B)
