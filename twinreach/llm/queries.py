@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import exact_dedup, sharding, token_counts
+from twinreach.llm import decontaminate, exact_dedup, line_dedup, sharding, token_counts
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,19 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -34,10 +43,25 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_exact_dedup, op9_sharding, op10_token_counts)
+    f.__name__: f for f in (op2_line_dedup, op5_exact_dedup, op8_decontamination, op9_sharding,
+                          op10_token_counts)
 }
 
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+        l AS (
+            SELECT r, doc_id, unnest(string_split(body, chr(10))) AS line,
+                   generate_subscripts(string_split(body, chr(10)), 1) AS pos FROM d),
+        k AS (
+            SELECT r, doc_id, pos, line, translate(
+                regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (f.key IS NULL), ''))
+                   AS kept_sha256
+        FROM k LEFT JOIN f USING (key) GROUP BY r, doc_id""",
     "op5_exact_dedup": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(length(text), 0) AS points,
