@@ -26,80 +26,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinreach.llm.common import numbered, stored
+from twinreach.llm.words import ALNUM, Words, slices
 
 SPAN = 10
 BITMAP_BITS = 1 << 23
 CHUNK = 32768  # bits of one piece of Spark's bitmap functions
-SLICE = 1 << 20
-
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-# bytes that make words after lower-casing: digits, a-z, all of non-ASCII
-_IS_WORD = np.zeros(256, dtype=bool)
-_IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = True
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_STEP = _RNG.integers(1, 1 << 63, SPAN + 1, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
-class Words:
-    """Words of some texts: start, end and text number of each, and hashes."""
-
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        self.data = _LOWER[data]
-        inside = _IS_WORD[self.data]
-        before = np.empty_like(inside)
-        before[:1], before[1:] = False, inside[:-1]
-        edges = bounds[:-1][bounds[:-1] < len(data)]
-        before[edges] = False
-        self.start = np.flatnonzero(inside & ~before)
-        after = np.empty_like(inside)
-        after[-1:], after[:-1] = False, inside[1:]
-        after[edges[edges > 0] - 1] = False
-        self.end = np.flatnonzero(inside & ~after) + 1
-        self.text = np.searchsorted(bounds[1:], self.start, side="right")
-        size = self.end - self.start
-        if len(size) == 0:
-            self.hash = np.empty(0, np.uint64)
-            return
-        first = np.concatenate(([0], np.cumsum(size)[:-1]))
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        powers = np.cumprod(np.full(int(size.max()), _BASE, np.uint64))
-        self.hash = _mix(np.add.reduceat(_BYTE[self.data[inside]] * powers[place], first)
-                         + size.astype(np.uint64))
-
-    def joined(self, first: int, last: int) -> str:
-        raw = self.data.tobytes() if not hasattr(self, "raw") else self.raw
-        self.raw = raw
-        return b" ".join(raw[s:e] for s, e in zip(
-            self.start[first:last].tolist(), self.end[first:last].tolist())).decode("utf-8")
-
-    def spans(self, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of every run of ``span`` words in one text: its first word, the
-        word where its smallest k-gram begins, and that k-gram's hash."""
-        n = len(self.hash) - span + 1
-        if n <= 0:
-            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
-        k = (span + 1) // 2
-        grams = len(self.hash) - k + 1
-        h = np.zeros(grams, np.uint64)
-        for j in range(k):
-            h += self.hash[j:j + grams] * _STEP[j]
-        h = _mix(h + np.uint64(span))
-        places = span - k + 1
-        least, at = h[:n].copy(), np.arange(n)
-        for j in range(1, places):
-            less = h[j:j + n] < least
-            least[less] = h[j:j + n][less]
-            at[less] = np.flatnonzero(less) + j
-        whole = self.text[:n] == self.text[span - 1:span - 1 + n]
-        return np.flatnonzero(whole), at[whole], least[whole]
+
+def smallest(words: Words, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every run of ``span`` words in one text: its first word, the word
+    where its smallest k-gram begins, and that k-gram's hash."""
+    n = len(words.hash) - span + 1
+    if n <= 0:
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
+    k = (span + 1) // 2
+    h = words.grams(k)
+    least, at = h[:n].copy(), np.arange(n)
+    for j in range(1, span - k + 1):
+        less = h[j:j + n] < least
+        least[less] = h[j:j + n][less]
+        at[less] = np.flatnonzero(less) + j
+    whole = words.text[:n] == words.text[span - 1:span - 1 + n]
+    return np.flatnonzero(whole), at[whole], least[whole]
 
 
 OUT = "row long, id long, n_words long, fp long, span int, first long, runs int, words string"
@@ -108,32 +55,18 @@ _ARROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("n_words", pa.int6
                     ("runs", pa.int32()), ("words", pa.string())])
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, bounds) of runs of about SLICE bytes, a row at least."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[
-        column.offset:column.offset + len(column) + 1].astype(np.int64)
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    row = 0
-    while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE, side="right")) - 1
-        end = min(max(end, row + 1), len(column))
-        bounds = offsets[row:end + 1]
-        yield row, data[bounds[0]:bounds[-1]], bounds - bounds[0]
-        row = end
-
-
-def fingerprinted(lengths: list[int], bitmap: bytes | None, short_only: bool = False):
+def fingerprinted(lengths: list[int], bitmap: bytes | None, own_most: int | None = None):
     """Rows of OUT: one per text with its number of words, and one per run of
     spans with the same smallest k-gram, if the bit map has its hash.  With
-    ``short_only`` (items) a text shorter than SPAN gives its own length."""
+    ``own_most`` (items) only spans of that length, or a shorter text's own."""
     bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "row"))
+            rows = batch.column("row").to_numpy(zero_copy_only=False)
             id_list = batch.column("id")
-            for base, data, bounds in _slices(batch.column("body")):
-                words = Words(data, bounds)
+            for base, data, bounds in slices(batch.column("body")):
+                words = Words(data, bounds, ALNUM)
                 texts = len(bounds) - 1
                 counts = np.bincount(words.text, minlength=texts)
                 starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -144,10 +77,10 @@ def fingerprinted(lengths: list[int], bitmap: bytes | None, short_only: bool = F
                      *(nothing.cast(f.type) for f in list(_ARROW)[3:])], schema=_ARROW)
                 found = {name: [] for name in _ARROW.names}
                 for span in lengths:
-                    first, at, fp = words.spans(span)
+                    first, at, fp = smallest(words, span)
                     keep = np.ones(len(fp), bool)
-                    if short_only:
-                        keep &= np.minimum(counts[words.text[first]], SPAN) == span
+                    if own_most is not None:
+                        keep &= np.minimum(counts[words.text[first]], own_most) == span
                     if bits is not None:
                         b = fp % np.uint64(BITMAP_BITS)
                         keep &= (bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -193,11 +126,9 @@ def hits(docs: DataFrame, items: DataFrame, span: int = SPAN
          ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three stored tables: documents (row, id, n_words), verified spans (row,
     first, span, window) and the items of each window (window, item_id)."""
-    if span != SPAN:
-        raise ValueError(f"the hash constants are laid out for spans of {SPAN} words")
-    lengths = list(range(1, SPAN + 1))
+    lengths = list(range(1, span + 1))
     bench = stored(_prepared(items, "item_id").mapInArrow(
-        fingerprinted(lengths, None, short_only=True), OUT), "items-fingerprints")
+        fingerprinted(lengths, None, span), OUT), "items-fingerprints")
     item_ids = bench.where("fp is null").select("row", F.col("id").alias("item_id"))
     prints = bench.where("fp is not null")
     windows = _spans(prints)

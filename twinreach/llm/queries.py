@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import decontaminate, exact_dedup, line_dedup, sharding, token_counts
+from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, sharding,
+                           token_counts)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,10 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark"))
@@ -43,8 +48,8 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op5_exact_dedup, op8_decontamination, op9_sharding,
-                          op10_token_counts)
+    f.__name__: f for f in (op2_line_dedup, op5_exact_dedup, op6_ngram_jaccard_join,
+                          op8_decontamination, op9_sharding, op10_token_counts)
 }
 
 ORACLE: dict[str, str] = {
