@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, sharding,
-                           token_counts)
+                           token_counts, toxicity)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op5_exact_dedup, op6_ngram_jaccard_join,
+    f.__name__: f for f in (op2_line_dedup, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
                           op8_decontamination, op9_sharding, op10_token_counts)
 }
 
