@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, sharding,
-                           token_counts, toxicity)
+from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, packing,
+                           sharding, token_counts, toxicity, warc)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark, sf_dir):
+    return warc.warc_report(table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,11 +60,20 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
+    f.__name__: f for f in (op1_warc, op2_line_dedup, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
                           op8_decontamination, op9_sharding, op10_token_counts)
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        q AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS best FROM q)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END
+                   AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+        FROM r""",
     "op2_line_dedup": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
         l AS (
