@@ -1,11 +1,75 @@
-"""Training-data pipeline over ``documents``."""
+"""Training-data pipeline over ``documents``: five stages, each written as a
+Parquet table in the shared checkpoint folder and read again by the next.
+
+Every stage but the last returns the columns of ``documents``.  No SQL text
+is given: learned scores, tokenizers and packing are outside of SQL; the
+stages are tested against brute-force versions.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinreach.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
+from twinreach.llm.common import has_rows, stored, table
+from twinreach.llm.queries import vocabulary_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in many documents go; every document stays, maybe empty."""
+    out = line_dedup.without_repeated_lines(docs)
+    return out.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c)
+                        for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays,
+    once.  Rows with a null id are in no group and stay."""
+    groups = stored(ngram_join.near_groups(docs), "near-groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    repeated = stored(groups.where("doc_id is not null").groupBy("doc_id").count()
+                      .where("count > 1").select("doc_id"), "near-repeated")
+    if not has_rows(repeated):
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(
+        once.select(docs.columns))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go.  A row with a
+    null id is judged by its text alone like any other."""
+    items = table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items)
+    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct(),
+                  "contaminated")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, vocabulary_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

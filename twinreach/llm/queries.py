@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, packing,
-                           sharding, token_counts, toxicity, warc)
+                           sharding, token_counts, toxicity,
+                           url_lists, warc)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def op6_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_url_lists(spark, sf_dir):
+    return url_lists.url_report(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark"))
@@ -61,7 +66,7 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
-                          op8_decontamination, op9_sharding, op10_token_counts)
+                          op7_url_lists, op8_decontamination, op9_sharding, op10_token_counts)
 }
 
 ORACLE: dict[str, str] = {
@@ -97,4 +102,33 @@ ORACLE: dict[str, str] = {
                count(*) OVER (PARTITION BY body) AS group_size,
                r = first_value(r) OVER w AS kept, sha256(body) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY body ORDER BY points DESC, doc_id)""",
+    "op7_url_lists": r"""
+        WITH c AS (
+            SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS u,
+                   1704067200 + ('0x' || substr(md5(page_id::VARCHAR), 1, 7))::BIGINT % (366 * 86400)
+                       AS fetched FROM pages),
+        h AS (
+            SELECT *, lower(regexp_replace(regexp_extract(u,
+                       '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '[.]+$', '')) AS host,
+                   regexp_extract(u, '^[^:/?#]+://[^/?#]*/([^/?#]+)', 1) AS seg FROM c),
+        a AS (
+            SELECT r, fetched, array_to_string(list_slice(string_split(host, '.'), i,
+                       len(string_split(host, '.'))), '.') AS entry
+            FROM (SELECT *, unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS i
+                  FROM h WHERE host <> '')
+            UNION
+            SELECT r, fetched, host || '/' || seg FROM h WHERE host <> '' AND seg <> ''),
+        l AS (
+            SELECT entry, n FROM (SELECT DISTINCT entry, ('0x' || substr(md5('list ' || entry), 1, 7))::BIGINT
+                                  AS n FROM a) WHERE n % 3 = 0),
+        v AS (
+            SELECT entry, 1704067200 + n % (366 * 86400 // 2) + k * 86400 * (10 + n % 61) AS since,
+                   1704067200 + n % (366 * 86400 // 2) + (k + 1) * 86400 * (10 + n % 61) AS until
+            FROM l, (VALUES (0), (2)) t(k)),
+        b AS (
+            SELECT r, count(*) AS n_active, first(entry ORDER BY length(entry) DESC, entry) AS entry,
+                   first(since ORDER BY length(entry) DESC, entry) AS since
+            FROM a JOIN v USING (entry) WHERE since <= fetched AND fetched < until GROUP BY r)
+        SELECT page_id, host, fetched, b.r IS NOT NULL AS blocked, coalesce(n_active, 0) AS n_active,
+               entry, since FROM h LEFT JOIN b USING (r)""",
 }
