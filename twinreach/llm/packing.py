@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinreach.llm.common import numbered, ranked_within
-from twinreach.llm.token_counts import PieceEncoder, grouped, vocabulary
+from twinreach.llm.token_counts import PieceEncoder, vocabulary
 
 CAPACITY = 2048
 GRAIN = 8
@@ -41,23 +41,26 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("leng
 def cut_pieces(raw: bytes, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
-    def ids_bytes(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = PieceEncoder(raw, ids_bytes)
+        encode = PieceEncoder(raw, keep_ids=True)
         step = 4 * capacity
         for batch in batches:
             docs = iter(batch.column("doc_id").to_pylist())
             out = [], [], [], [], []
-            for part in grouped(batch.column("body").to_pylist()):
-                for values in encode(part):
-                    ids = b"".join(values) + end
+            for texts, words, sizes, begins in encode(batch.column("body")):
+                before = np.cumsum(sizes) - sizes
+                places = np.repeat(begins - before, sizes) + np.arange(int(sizes.sum()))
+                ids = encode.ids[places].astype("<u4")
+                per_text = np.bincount(words.text, sizes, texts).astype(np.int64) * 4
+                raw_ids, begin = ids.tobytes(), 0
+                for n in per_text.tolist():
+                    own = raw_ids[begin:begin + n] + end
+                    begin += n
                     doc = next(docs)
-                    for at in range(0, len(ids), step):
-                        piece = ids[at:at + step]
+                    for at in range(0, len(own), step):
+                        piece = own[at:at + step]
                         for c, v in zip(out, (doc, at // 4, len(piece) // 4, zlib.crc32(piece),
-                                              len(ids) // 4)):
+                                              len(own) // 4)):
                             c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              schema=_PIECES_ARROW)
@@ -188,6 +191,6 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACI
     one.  Each id lies in exactly one piece.  Repeated rows are packed as
     often as they occur; a null id stays null.  Other columns are not read.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("body"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
     pieces = rows.mapInArrow(cut_pieces(vocabulary(vocabulary_path), capacity, end_id), _PIECES)
     return packed(pieces, capacity, grain)

@@ -9,9 +9,9 @@ Normalising collapses runs of the white-space that the vocabulary's own
 pattern drops.  Only digests and ids are shuffled for the lookup; texts are
 shuffled once, for the rows that stand for a missing content.
 
-Inside a task a text is encoded piece by piece between blanks: the
-vocabulary's split pattern never crosses white-space, so the pieces' ids in
-a row are the text's ids.  A bounded memo keeps the ids of pieces seen.
+Inside a task a text is encoded piece by piece: the vocabulary's split
+pattern never crosses white-space, so the pieces' ids in a row are the
+text's ids.  A bounded memo keeps the ids of pieces seen.
 """
 
 from __future__ import annotations
@@ -20,17 +20,19 @@ import hashlib
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinreach.llm.common import stored
+from twinreach.llm.words import PIECE, Words, slices
 from twinreach.session import scratch_path
 
 # a vocabulary file is sent to the tasks; one beyond this is refused
 MAX_VOCABULARY = 64 << 20
-MEMO_PIECES = 400_000
+MEMO_PIECES = 3_000_000
 
 
 def vocabulary(path: str) -> bytes:
@@ -48,57 +50,79 @@ def version_digest(raw: bytes) -> str:
 
 
 class PieceEncoder:
-    """Ids of texts, by pieces between blanks, line ends and tabs.
-
-    A special string holds no blank, so it is recognised inside its piece as
-    the library does it.  When the memo is full it starts anew.
+    """Ids of texts, by pieces between blanks, line ends and tabs, and between
+    an ASCII letter or digit and a mark such as a comma: the vocabulary's
+    split pattern begins anew at all of these.
+
+    Pieces are told apart by 64-bit hashes.  The memo holds the hashes in
+    order, and where the ids of each piece lie in one long array (without
+    ``keep_ids``, only how many there are).  It takes some 30 bytes a piece
+    and starts anew when it is full.
     """
 
-    def __init__(self, raw: bytes, value, memo: int = MEMO_PIECES):
+    def __init__(self, raw: bytes, keep_ids: bool, most: int = MEMO_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
-        self.value, self.memo, self.most = value, {}, memo
-
-    def __call__(self, texts: list[str]) -> list[list]:
-        """The memo's values of every text's pieces, in order."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                 for t in texts]
-        memo = self.memo
-        if len(memo) > self.most:
-            memo.clear()
-        new = list({p for pieces in split for p in pieces if p not in memo})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[p] = self.value(e.ids)
-        return [[memo[p] for p in pieces] for pieces in split]
-
-
-def grouped(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` characters together, at least one each."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+        self.keep_ids, self.most = keep_ids, most
+        self._reset()
+
+    def _reset(self) -> None:
+        self.keys = np.empty(0, np.uint64)
+        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        """Encode new pieces; ``keys`` are in order."""
+        sizes, ids = [], []
+        for at in range(0, len(pieces), 4096):
+            for e in self.tokenizer.encode_batch_fast(pieces[at:at + 4096], add_special_tokens=False):
+                sizes.append(len(e.ids))
+                if self.keep_ids:
+                    ids.extend(e.ids)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        self.ids[self.used:self.used + len(ids)] = ids
+        new = np.array(sizes, np.int64)
+        begins = self.used + np.cumsum(new) - new
+        self.used += len(ids)
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begins = np.insert(self.begins, at, begins)
+        self.sizes = np.insert(self.sizes, at, new)
+
+    def __call__(self, column: pa.Array) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
+        """(number of texts, words, ids per word, where a word's ids begin in
+        ``self.ids``) for runs of the column's texts, in order."""
+        for _, data, bounds in slices(column):
+            # special strings are known by their case, so it is kept near one
+            special = b"<|" in data.tobytes()
+            words = Words(data, bounds, PIECE, lower=not special, parted=True)
+            if len(self.keys) > self.most:
+                self._reset()
+            keys, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
+            at = np.searchsorted(self.keys, keys)
+            known = np.zeros(len(keys), bool)
+            inner = at < len(self.keys)
+            known[inner] = self.keys[at[inner]] == keys[inner]
+            if not known.all():
+                raw, new = words.raw(), first[~known]
+                self._learn(keys[~known], [raw[s:e].decode("utf-8") for s, e in zip(
+                    words.start[new].tolist(), words.end[new].tolist())])
+                at = np.searchsorted(self.keys, keys)
+            yield len(bounds) - 1, words, self.sizes[at][place], self.begins[at][place]
 
 
 def count_batches(raw: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = PieceEncoder(raw, len)
+        encode = PieceEncoder(raw, keep_ids=False)
         for batch in batches:
-            counts = []
-            texts = batch.column("body").to_pylist()
-            for part in grouped(texts):
-                counts += [sum(v) for v in encode(part)]
+            counts = [np.empty(0, np.int64)]
+            for texts, words, sizes, _ in encode(batch.column("body")):
+                counts.append(np.bincount(words.text, sizes, texts).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("content"), pa.array(counts, pa.int64())], ["content", "n_tokens"])
+                [batch.column("content"), pa.array(np.concatenate(counts))], ["content", "n_tokens"])
 
     return run
 
@@ -127,6 +151,7 @@ def counted(docs: DataFrame, vocabulary_path: str, cache_path: str,
               .join(known, "_content", "left_anti"))
     texts = docs.select(F.col("doc_id").alias("_id"), body.alias("body"),
                         F.sha2(body, 256).alias("content"))
+    texts = texts.withColumn("body", F.col("body").cast("binary"))
     misses = texts.join(firsts, texts["_id"].eqNullSafe(firsts["_first"])
                         & (texts["content"] == firsts["_content"]), "left_semi")
     fresh = (misses.select("content", "body")

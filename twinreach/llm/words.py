@@ -21,6 +21,14 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 # bytes of words between white-space
 NONBLANK = np.ones(256, dtype=bool)
 NONBLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+MARKS = b'.,;:!?"()[]'
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(MARKS)] = True
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[0x30:0x3A] = _PLAIN[0x41:0x5B] = _PLAIN[0x61:0x7B] = True
+# bytes of pieces between the blanks that every vocabulary splits at
+PIECE = np.ones(256, dtype=bool)
+PIECE[[0x20, 0x09, 0x0A, 0x0D]] = False
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 STEP = _RNG.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
@@ -33,20 +41,29 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words of some texts: start, end and text number of each, and hashes."""
+    """Words of some texts: start, end and text number of each, and hashes.
+    ASCII is lower-cased first, unless ``lower`` is false.  With ``parted``
+    a word also ends between an ASCII letter or digit and a mark of MARKS."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, kind: np.ndarray):
-        self.data = _LOWER[data]
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, kind: np.ndarray,
+                 lower: bool = True, parted: bool = False):
+        self.data = _LOWER[data] if lower else data
         self._raw = None
         inside = kind[self.data]
         before = np.empty_like(inside)
         before[:1], before[1:] = False, inside[:-1]
         edges = bounds[:-1][bounds[:-1] < len(data)]
         before[edges] = False
+        if parted:
+            mark, plain = _MARK[self.data], _PLAIN[self.data]
+            cut = (mark[1:] & plain[:-1]) | (plain[1:] & mark[:-1])
+            before[1:] &= ~cut
         self.start = np.flatnonzero(inside & ~before)
         after = np.empty_like(inside)
         after[-1:], after[:-1] = False, inside[1:]
         after[edges[edges > 0] - 1] = False
+        if parted:
+            after[:-1] &= ~cut
         self.end = np.flatnonzero(inside & ~after) + 1
         self.text = np.searchsorted(bounds[1:], self.start, side="right")
         size = self.end - self.start
@@ -59,11 +76,14 @@ class Words:
         self.hash = mix(np.add.reduceat(_BYTE[self.data[inside]] * powers[place], first)
                          + size.astype(np.uint64))
 
-    def joined(self, first: int, last: int) -> str:
-        """The words from ``first`` up to ``last``, lower-cased, one blank apart."""
+    def raw(self) -> bytes:
         if self._raw is None:
             self._raw = self.data.tobytes()
-        raw = self._raw
+        return self._raw
+
+    def joined(self, first: int, last: int) -> str:
+        """The words from ``first`` up to ``last``, lower-cased, one blank apart."""
+        raw = self.raw()
         return b" ".join(raw[s:e] for s, e in zip(
             self.start[first:last].tolist(), self.end[first:last].tolist())).decode("utf-8")
 
