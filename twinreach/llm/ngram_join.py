@@ -9,9 +9,8 @@ threshold; the result is the connected components of the links.
 2. *Rare-first prefix.*  n-grams are ordered by (count of the bucket, hash).
    A set of n needs one of its first n - ceil(t n) + 1 n-grams in common with
    any set it links to.  These prefixes are shuffled by n-gram, as packed
-   arrays, and those of n-grams that two documents hold in their prefixes are
-   written as the table of shared postings.
-3. *Pairs.*  Two nodes with a shared posting are a candidate pair if their
+   arrays; postings that can belong to a candidate pair are written out.
+3. *Pairs.*  Two nodes that share a prefix n-gram are a candidate pair if their
    sizes allow the threshold (length filter) and so many n-grams can follow
    the shared one in both (positional filter).  Pairs are not listed per
    group: in a star round the nodes of an n-gram are paired with one node of
@@ -159,32 +158,56 @@ def prefixes(ngram: int, threshold: int, rank: np.ndarray, parts: int):
 _SHARED = "gram long, id long, n int, pos int"
 
 
-def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by part: postings of n-grams with at least two ids."""
+def possible(n, pos, m, at, threshold: int):
+    """Length and positional filter of two postings of one n-gram: their
+    sizes may differ so much, and enough n-grams can follow in both."""
+    small, large = np.minimum(n, m), np.maximum(n, m)
+    most = np.minimum(n - pos, m - at)
+    return (100 * small >= threshold * large) & ((100 + threshold) * most >= threshold * (n + m))
+
+
+def shared(threshold: int, near: int = 64):
+    """Of rows sorted by part: postings that can belong to a candidate pair.
+    Each is held against the others of its n-gram; postings of an n-gram with
+    more than ``near`` are all kept."""
     kinds = ("<u4", "<i8", "<u4", "<u4")
-    part, held = None, ([], [], [], [])
 
-    def close():
-        gram, ids, size, place = (np.frombuffer(b"".join(c), k) for c, k in zip(held, kinds))
+    def close(part: int, held) -> pa.RecordBatch:
+        gram, ids, size, place = (np.frombuffer(b"".join(c), k).astype(np.int64)
+                                  for c, k in zip(held, kinds))
         order = np.lexsort((ids, gram))
         gram, ids, size, place = gram[order], ids[order], size[order], place[order]
         edges = np.concatenate(([0], np.flatnonzero(gram[1:] != gram[:-1]) + 1, [len(gram)]))
-        two = np.repeat(ids[edges[:-1]] != ids[edges[1:] - 1], np.diff(edges))
-        name = (np.int64(part) << np.int64(32)) | gram[two].astype(np.int64)
+        many = np.repeat(np.diff(edges), np.diff(edges))
+        keep = (many > near) & np.repeat(ids[edges[:-1]] != ids[edges[1:] - 1], np.diff(edges))
+        open_ = np.flatnonzero((many > 1) & (many <= near))
+        for step in range(1, near):
+            i = open_[open_ + step < len(gram)]
+            i = i[gram[i + step] == gram[i]]
+            if not len(i):
+                break
+            j = i + step
+            pair = (ids[i] != ids[j]) & possible(size[i], place[i], size[j], place[j], threshold)
+            keep[i[pair]] = keep[j[pair]] = True
+        name = (np.int64(part) << np.int64(32)) | gram[keep]
         return pa.RecordBatch.from_arrays(
-            [pa.array(name), pa.array(ids[two]), pa.array(size[two].astype(np.int32)),
-             pa.array(place[two].astype(np.int32))], ["gram", "id", "n", "pos"])
+            [pa.array(name), pa.array(ids[keep]), pa.array(size[keep].astype(np.int32)),
+             pa.array(place[keep].astype(np.int32))], ["gram", "id", "n", "pos"])
 
-    for batch in batches:
-        for i, p in enumerate(batch.column("part").to_pylist()):
-            if part is not None and p != part:
-                yield close()
-                held = ([], [], [], [])
-            part = p
-            for c, name in zip(held, ("grams", "ids", "sizes", "places")):
-                c.append(batch.column(name)[i].as_py())
-    if part is not None:
-        yield close()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, ([], [], [], [])
+        for batch in batches:
+            for i, p in enumerate(batch.column("part").to_pylist()):
+                if part is not None and p != part:
+                    yield close(part, held)
+                    held = ([], [], [], [])
+                part = p
+                for c, name in zip(held, ("grams", "ids", "sizes", "places")):
+                    c.append(batch.column(name)[i].as_py())
+        if part is not None:
+            yield close(part, held)
+
+    return run
 
 
 def collected(ngram: int):
@@ -297,7 +320,7 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     packed = source.where("id is not null").mapInArrow(
         prefixes(ngram, threshold, rank, parts), _PACKED)
     found = stored(packed.repartition("part").sortWithinPartitions("part")
-                   .mapInArrow(shared, _SHARED), "gram-postings")
+                   .mapInArrow(shared(threshold), _SHARED), "gram-postings")
     # ids to nodes; copies in different tasks meet here
     known = nodes.where("rep is not null").select("id", "n", "rep").distinct()
     found = found.join(known, ["id", "n"]).select("gram", "rep", "n", "pos").distinct()
