@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name like ``base`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add a unique long to every row and store the result, so that the
     numbers stay fixed for every later reader."""

@@ -115,6 +115,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("z"),
                        F.col("id").alias("id"), F.col("row").alias("row"))).alias("best"))
+    # as a table, so that a group held by many rows can be split in the join
+    best = stored(best, "block-groups")
     return rows.join(best, ["level", "name"]).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))

@@ -220,12 +220,12 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
         F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
     joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_id"])
                        & (_text_hash(docs["text"]) == maps["_hash"]), "left")
-    joined = joined.withColumn("_new", _applied(F.when(F.col("_keep").isNotNull(), F.col("text")),
-                                                F.col("_keep")))
-    lines = F.octet_length(F.col("text")) - F.octet_length(F.replace(F.col("text"), F.lit("\n"))) + 1
-    columns = [F.coalesce("_new", "text").alias(c) if c == "text" else F.col(c) for c in docs.columns]
+    text = docs["text"]
+    new = _applied(F.when(maps["_keep"].isNotNull(), text), maps["_keep"])
+    lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"))) + 1
+    columns = [F.coalesce(new, text).alias(c) if c == "text" else docs[c] for c in docs.columns]
     return joined.select(*columns, F.coalesce(lines, F.lit(1)).cast("long").alias("n_lines"),
-                         F.coalesce("_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+                         F.coalesce(maps["_dropped"], F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def line_report(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:

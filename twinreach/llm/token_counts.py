@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import stored
+from twinreach.llm.common import free_name, stored
 from twinreach.llm.words import PIECE, Words, slices
 from twinreach.session import scratch_path
 
@@ -140,8 +140,8 @@ def counted(docs: DataFrame, vocabulary_path: str, cache_path: str,
     raw = vocabulary(vocabulary_path)
     version = version_digest(raw)
     body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09\x0A\x0D]+", " ")
-    digested = docs.withColumn("_content", F.sha2(body, 256))
-    narrow = stored(digested.select("doc_id", "_content"), "token-digests")
+    content = F.sha2(body, 256)
+    narrow = stored(docs.select("doc_id", content.alias("_content")), "token-digests")
 
     cache = _cache(spark, cache_path)
     known = (cache.where(F.col("version") == version)
@@ -162,7 +162,12 @@ def counted(docs: DataFrame, vocabulary_path: str, cache_path: str,
         "append").parquet(cache_path)
     known = (_cache(spark, cache_path).where(F.col("version") == version)
              .groupBy(F.col("content").alias("_content")).agg(F.max("n_tokens").alias("n_tokens")))
-    return digested.drop("n_tokens").join(known, "_content").drop("_content")
+    # as a table, so that contents held by many rows can be split in the join
+    known = stored(known, "token-known")
+    docs = docs.drop("n_tokens")
+    key = free_name(docs, "content")
+    return docs.withColumn(key, content).join(
+        known.withColumnRenamed("_content", key), key).select(*docs.columns, "n_tokens")
 
 
 def _cache(spark, path: str) -> DataFrame:

@@ -291,9 +291,12 @@ def archive_round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT,
             .select("archive", F.col("_all.number").alias("numbers"),
                     F.col("_all.refers").alias("refers")))
     # an archive is a task's work: spread them over all tasks
-    index = stored(todo.repartition(_tasks(spark, todo)).mapInArrow(
-        normalise(mono, members), _INDEX), "warc-index")
-    by_place = index.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    tasks = _tasks(spark, todo)
+    index = stored(todo.repartition(tasks).mapInArrow(normalise(mono, members), _INDEX),
+                   "warc-index")
+    # index rows are small and what they point to is not, so tasks follow archives
+    by_place = (index.repartitionByRange(tasks, "archive", "offset")
+                .sortWithinPartitions("archive", "offset"))
     return index, by_place.select("archive", "offset", "length").mapInArrow(
         read_records(members), _READ)
 
