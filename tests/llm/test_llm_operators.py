@@ -240,8 +240,15 @@ def test_patterns_use_up_the_demand(seed):
     plan = packing.patterns(sizes, demand, 64)
     assert (sum(c * n for c, n in plan) == demand).all()
     assert all(c @ sizes <= 64 for c, _ in plan)
-    large = demand[sizes > 32].sum()
-    assert sum(n for _, n in plan) <= max(sizes @ demand / 64 * 1.05, large) + 12
+    # no worse than first-fit decreasing
+    bins = []
+    for size in sorted(np.repeat(sizes, demand).tolist(), reverse=True):
+        at = next((i for i, room in enumerate(bins) if room >= size), None)
+        if at is None:
+            bins.append(64 - size)
+        else:
+            bins[at] -= size
+    assert sum(n for _, n in plan) <= len(bins) + 1
 
 
 # -- 4 --------------------------------------------------------------------------
@@ -279,7 +286,8 @@ def test_grammar_reads_clauses():
     assert matched("you are a zorkling") == {"insult aimed"}
     assert matched("not a zorkling") == {"insult negated"}
     assert matched("not here. a zorkling") == {"insult"}
-    assert matched("he said that zorkling") == {"insult reported"}
+    assert matched("it was said: zorkling") == {"insult"}
+    assert matched("it was said that zorkling") == {"insult reported"}
     assert matched("I will hurt you") == {"threat", "aimed"}
     assert matched("nothing of the kind") == set()
 

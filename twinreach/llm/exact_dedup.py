@@ -62,8 +62,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col(id_col).alias("id"),
         F.coalesce(F.char_length(F.col(text_col)), F.lit(0)).cast("long").alias("points"),
         normalised(F.col(text_col)).alias("body"))
-    base = base.withColumn("sha", F.sha2("body", 256))
-    blocks = (base.select("id", "sha", "points", F.monotonically_increasing_id().alias("row"),
+    # numbered before it is cut: the number is the row's, not the block's
+    base = base.withColumn("sha", F.sha2("body", 256)).withColumn(
+        "row", F.monotonically_increasing_id())
+    blocks = (base.select("id", "sha", "points", "row",
                           F.posexplode(cut_blocks(F.col("body"), block)).alias("pos", "block"))
               .withColumn("fp", fingerprint(F.col("block"))))
     # written at once, so the row numbers handed out here hold from now on
