@@ -140,6 +140,9 @@ def test_lines_edge_cases(spark, edge, none):
     assert (4, 1, 1, brute.sha(b"")) in got and (5, 3, 2, brute.sha(b"b ")) in got
     assert got.count((8, 1, 0, brute.sha(b"sametext,here"))) == 2
     assert rows_of(line_dedup.line_report(none)) == []
+    maps = rows_of(line_dedup.keep_bitmaps(edge, min_docs=2))
+    assert {(m[0], m[2], m[3], tuple(line_dedup.stays(m[4], m[2]))) for m in maps} == {
+        (4, 1, 1, (0,)), (5, 3, 2, (0, 1, 0))}
     out = line_dedup.without_repeated_lines(edge, min_docs=2)
     assert {r["_keep"] for r in out.collect()} == {"own _keep"}
 

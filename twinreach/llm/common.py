@@ -17,11 +17,23 @@ from twinreach.session import scratch_path
 WHITESPACE = r"[\x20\x09-\x0D]"
 
 
+# rows of a batch sent to Python; texts are long, and a batch is held whole on
+# both sides
+BATCH_ROWS = 2000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder; return its scan."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

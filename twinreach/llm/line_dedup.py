@@ -11,7 +11,7 @@ may go on in the next one: its rows, if undecided, and its count go out as
 open, and are settled by adding up the counts (at most two per partition).
 
 Drops are gathered per document into a compressed bit map of the lines that
-stay.  Texts are read again only to apply the bit maps.
+stay.  Texts are read again only to apply the bit maps, without Python.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from twinreach.llm.common import stored
 
@@ -143,22 +142,39 @@ def streamed(min_docs: int):
 
 
 _MAPS = "id long, text_hash long, n_lines long, n_dropped long, keep binary"
-_MAPS_ARROW = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("n_lines", pa.int64()),
-                         ("n_dropped", pa.int64()), ("keep", pa.binary())])
+_WORDS = "id long, text_hash long, n_lines long, n_dropped long, keep array<long>"
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        dropped, keeps = [], []
-        totals = batch.column("total").to_pylist()
-        for total, lists in zip(totals, batch.column("lists")):
-            stay = np.ones(total, np.uint8)
-            stay[np.frombuffer(b"".join(lists.as_py()), "<u4")] = 0
-            dropped.append(total - int(stay.sum()))
-            keeps.append(zlib.compress(np.packbits(stay).tobytes(), 6))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("text_hash"), pa.array(totals, pa.int64()),
-             pa.array(dropped, pa.int64()), pa.array(keeps, pa.binary())], schema=_MAPS_ARROW)
+def _mapped(pack, kind: pa.DataType):
+    """A row per document from its lists of dropped lines; ``pack`` makes the
+    column ``keep`` from an array with 1 for each line that stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dropped, keeps = [], []
+            totals = batch.column("total").to_pylist()
+            for total, lists in zip(totals, batch.column("lists")):
+                stay = np.ones(total, np.uint8)
+                stay[np.frombuffer(b"".join(lists.as_py()), "<u4")] = 0
+                dropped.append(total - int(stay.sum()))
+                keeps.append(pack(stay))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_hash"), pa.array(totals, pa.int64()),
+                 pa.array(dropped, pa.int64()), pa.array(keeps, kind)],
+                ["id", "text_hash", "n_lines", "n_dropped", "keep"])
+
+    return run
+
+
+def _compressed(stay: np.ndarray) -> bytes:
+    return zlib.compress(np.packbits(stay).tobytes(), 6)
+
+
+def _longs(stay: np.ndarray) -> list[int]:
+    """64 lines a number, for Spark's ``getbit``."""
+    bits = np.zeros(-(-len(stay) // 64) * 64, np.uint8)
+    bits[:len(stay)] = stay
+    return np.packbits(bits, bitorder="little").view("<i8").tolist()
 
 
 def stays(keep: bytes, total: int) -> np.ndarray:
@@ -175,6 +191,11 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     """``id, text_hash, n_lines, n_dropped, keep`` of the documents that lose
     a line; ``keep`` is a compressed bit per line.  A document is a pair of
     id and text, so an exactly repeated row is the same document."""
+    return _dropped(docs, min_docs, min_chars).mapInArrow(_mapped(_compressed, pa.binary()), _MAPS)
+
+
+def _dropped(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
+    """``id, text_hash, total, lists`` (of dropped lines) per document."""
     text = F.col("text")
     rows = docs.select(F.col("doc_id").alias("id"), _text_hash(text).alias("text_hash"),
                        F.coalesce(text, F.lit("")).cast("binary").alias("body"))
@@ -188,19 +209,16 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     columns = ["id", "text_hash", "lines", "total"]
     drops = marks.where(F.col("kind") == DROP).select(columns).unionByName(late.select(columns))
     return drops.groupBy("id", "text_hash").agg(
-        F.max("total").alias("total"), F.collect_list("lines").alias("lists")
-    ).mapInArrow(_bitmaps, _MAPS)
+        F.max("total").alias("total"), F.collect_list("lines").alias("lists"))
 
 
-@F.pandas_udf(StringType())
-def _applied(text, keep):
-    def one(t, k):
-        if t is None or k is None:
-            return None
-        lines = t.split("\n")
-        return "\n".join(x for x, s in zip(lines, stays(k, len(lines))) if s)
+def _kept(text: Column, words: Column) -> Column:
+    """The lines of ``text`` whose bit is set, joined again."""
+    def stays_in(_, i):
+        word = F.element_at(words, F.floor(i / 64).cast("int") + 1)
+        return F.getbit(word, i % 64) == 1
 
-    return type(text)([one(t, k) for t, k in zip(text, keep)], dtype=object)
+    return F.array_join(F.filter(F.split(text, "\n"), stays_in), "\n")
 
 
 def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
@@ -215,13 +233,14 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
     columns; columns named like the added ones are replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    maps = keep_bitmaps(docs, min_docs, min_chars).select(
-        F.col("id").alias("_id"), F.col("text_hash").alias("_hash"),
-        F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
+    maps = stored(_dropped(docs, min_docs, min_chars).mapInArrow(
+        _mapped(_longs, pa.list_(pa.int64())), _WORDS), "line-maps")
+    maps = maps.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"),
+                       F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_words"))
     joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_id"])
                        & (_text_hash(docs["text"]) == maps["_hash"]), "left")
     text = docs["text"]
-    new = _applied(F.when(maps["_keep"].isNotNull(), text), maps["_keep"])
+    new = F.when(maps["_words"].isNotNull(), _kept(text, maps["_words"]))
     lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"))) + 1
     columns = [F.coalesce(new, text).alias(c) if c == "text" else docs[c] for c in docs.columns]
     return joined.select(*columns, F.coalesce(lines, F.lit(1)).cast("long").alias("n_lines"),
