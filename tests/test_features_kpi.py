@@ -34,7 +34,7 @@ def test_feature_types_and_nulls(spark):
 
 def test_kpi_empty_impressions_is_null(spark):
     a = fx.audience(spark, SF_SMALL)
-    f = feat.lal_features(a, as_of=fx.AS_OF, rank_method="window")
+    f = feat.lal_features(a, as_of=fx.AS_OF)
     imp = fx.impressions(spark, SF_SMALL).where(F.lit(False))
     row = kp.kpi(f, imp).collect()[0]
     assert row.ad_revenue is None and row.churned_users >= 0 and row.sub_revenue > 0

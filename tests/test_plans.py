@@ -20,7 +20,7 @@ def test_pipeline_materialises_every_stage(spark):
         "churned_users": "int", "sub_revenue": "float", "ad_revenue": "float"}
 
 
-def test_snapshot_read_is_pruned_to_newest_version(spark):
+def test_snapshot_read_is_of_the_newest_folder_only(spark):
     lab = fx.labelled(spark, SF_SMALL)
     root = scratch_path(spark, "snap")
     assert next_version(spark, root) == 1
@@ -30,8 +30,19 @@ def test_snapshot_read_is_pruned_to_newest_version(spark):
     newest = tb.read_snapshot(spark, root)
     assert newest.count() == lab.where("label = 1").count()
     assert tb.read_snapshot(spark, root, 1).count() == lab.count()
-    plan = newest._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(version" in plan and "Subquery" in plan
+    assert {"/versions/2-" in f for f in newest.inputFiles()} == {True}
+
+
+def test_an_empty_publication_is_the_newest(spark):
+    lab = fx.labelled(spark, SF_SMALL)
+    root = scratch_path(spark, "snap")
+    tb.publish_snapshot(lab, root, 1)
+    tb.publish_snapshot(lab.where("label = 7"), root, 2)
+    assert next_version(spark, root) == 3
+    newest = tb.read_snapshot(spark, root)
+    assert newest.count() == 0 and newest.columns == [*lab.columns, "version"]
+    tb.publish_snapshot(lab.where("label = 7"), root, 1)  # replaces the rows of version 1
+    assert tb.read_snapshot(spark, root, 1).count() == 0
 
 
 def test_republishing_a_version_replaces_it(spark):

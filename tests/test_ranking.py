@@ -3,15 +3,21 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from twinreach.operators import ranking as rk
 
 
+def window_form(df, col, out):
+    """The built-in form: one task holds all rows."""
+    return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(col).asc_nulls_first())))
+
+
 def _compare(spark, values, buckets):
     rows = [(i, v) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "id long, v double")
-    want = {r.id: r.p for r in rk.percent_rank_window(df, "v", "p").collect()}
+    want = {r.id: r.p for r in window_form(df, "v", "p").collect()}
     got = {r.id: r.p for r in rk.global_percent_rank(df, "v", "p", buckets=buckets).collect()}
     assert got == want
 
@@ -35,12 +41,32 @@ def test_single_row_and_all_null(spark):
     _compare(spark, [None, None, None], 4)
 
 
-def test_plan_has_no_single_partition_sort_of_rows(spark):
+def test_no_rows_go_to_one_task(spark, tmp_path):
+    """The only single-partition exchanges are over totals of ranges."""
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 97).cast("double").alias("v"))
-    out = rk.global_percent_rank(df, "v", "p", buckets=8)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchanges are over per-bucket totals / cut points
-    assert "percent_rank" not in plan
+    plan = rk.global_percent_rank(df, "v", "p", buckets=8)._jdf.queryExecution().executedPlan().toString()
+    assert "percent_rank" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("long", [2**53 + i for i in range(4)] + [None, 2**53]),
+    ("decimal(38,2)", ["12345678901234567890.01", "12345678901234567890.02", None]),
+    ("date", ["2024-01-01", "2024-01-02", "2024-01-01", None]),
+    ("string", ["b", "a", "ä", "", None, "a"]),
+    ("float", ["NaN", "-0.0", "0.0", "Infinity", "-Infinity", None]),
+])
+def test_values_rank_in_their_own_type(spark, kind, values):
+    rows = [(i, None if v is None else str(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id long, s string").select("id", F.col("s").cast(kind).alias("v"))
+    want = {r.id: r.p for r in window_form(df, "v", "p").collect()}
+    assert {r.id: r.p for r in rk.global_percent_rank(df, "v", "p").collect()} == want
+
+
+def test_empty_table_and_repeated_rows(spark):
+    df = spark.createDataFrame([], "id long, v double")
+    assert rk.global_percent_rank(df, "v", "p").collect() == []
+    df = spark.createDataFrame([(1, 2.0)] * 3 + [(1, 3.0)], "id long, v double")
+    assert sorted(r.p for r in rk.global_percent_rank(df, "v", "p").collect()) == [0.0, 0.0, 0.0, 1.0]
 
 
 def test_several_columns_in_one_pass_match_the_window(spark):
@@ -50,20 +76,14 @@ def test_several_columns_in_one_pass_match_the_window(spark):
             for i in range(700)]
     df = spark.createDataFrame(rows, "id long, a float, b double, c double")
     cols = {"a": "pa", "b": "pb", "c": "pc"}
-    want = rk.add_percent_ranks(df, cols, method="window")
-    got = rk.add_percent_ranks(df, cols, method="distributed", buckets=5)
+    want = df
+    for source, out in cols.items():
+        want = window_form(want, source, out)
+    got = rk.global_percent_ranks(df, cols, buckets=5)
     key = lambda r: (r.id, r.pa, r.pb, r.pc)
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
 
 
-def test_auto_picks_by_size(spark):
-    df = spark.range(50).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"))
-    assert rk.fits_one_task(df, 50) and not rk.fits_one_task(df, 49)
-    small = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=100)
-    large = rk.add_percent_ranks(df, {"v": "p"}, method="auto", max_single_task_rows=10)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-
-
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
@@ -74,35 +94,3 @@ from hypothesis import strategies as st  # noqa: E402
        buckets=st.integers(1, 6))
 def test_property_distributed_equals_window(spark, values, buckets):
     _compare(spark, values, buckets)
-
-
-def test_count_below_equals_a_linear_count(spark):
-    """The two-level search over ascending cut points, against counting."""
-    import random as _r
-
-    rnd = _r.Random(4)
-    cases = []
-    for m in (1, 2, 3, 5, 8, 9, 10, 17, 63, 64, 65, 200, 1001):
-        cuts = sorted(float(rnd.randint(0, 40)) for _ in range(m))  # many repeats
-        for v in [rnd.uniform(-2, 42) for _ in range(25)] + cuts[:3] + cuts[-3:] + [-5.0, 50.0]:
-            cases.append((m, cuts, float(v)))
-    df = spark.createDataFrame(cases, "m int, cuts array<double>, v double")
-    got = []
-    for m in sorted({c[0] for c in cases}):
-        part = df.where(F.col("m") == m)
-        coarse = rk.coarse_cuts(F.col("cuts"), m)
-        got += part.select("m", "cuts", "v", rk.count_below(F.col("cuts"), coarse, F.col("v"), m)
-                           .alias("n")).collect()
-    assert len(got) == len(cases)
-    for r in got:
-        assert r.n == sum(1 for c in r.cuts if c < r.v), (r.m, r.v)
-
-
-def test_many_buckets_use_the_two_level_search(spark):
-    """More cut points than the linear limit: still equal to the window."""
-    rnd = random.Random(8)
-    vals = [None if rnd.random() < 0.05 else float(rnd.randint(0, 400)) for _ in range(1500)]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
-    got = rk.global_percent_ranks(df, {"x": "p"}, buckets=rk.LINEAR_CUTS * 3).select("id", "p")
-    want = rk.percent_rank_window(df, "x", "p").select("id", "p")
-    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())

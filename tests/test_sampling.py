@@ -68,3 +68,35 @@ def test_undersample_three_classes_hot_key_and_edges(spark):
     one = df.where(F.col("label") == 1)
     assert sm.undersample(one, seed=5).count() == one.count()
     assert sm.undersample(df.where(F.lit(False)), seed=5).count() == 0
+
+
+def test_undersample_null_keys_are_one_key(spark):
+    """A null key hashes as the empty text; null labels are left out."""
+    rows = [(None, 0)] * 4 + [(f"a{i}", 0) for i in range(20)] + [(None, 1)] * 3 + [
+        (f"b{i}", 1) for i in range(5)] + [("c", None)]
+    df = spark.createDataFrame(rows, "user_id string, label int")
+    got = [tuple(r) for r in sm.undersample(df, seed=2).select("user_id", "label").collect()]
+    hashed = {r.user_id: r.h for r in df.select("user_id", hash60("user_id", salt="2").alias("h")).collect()}
+    want = []
+    for label in (0, 1):
+        keys = sorted((hashed[k], k or "", k) for k in {u for u, lab in rows if lab == label})
+        n = 0
+        for _, _, k in keys:
+            if n < 8:
+                copies = rows.count((k, label))
+                want += [(k, label)] * copies
+                n += copies
+    assert sorted(got, key=str) == sorted(want, key=str)
+    train, test = sm.hash_split(spark.createDataFrame([(None,)] * 7, "user_id string"), "user_id")
+    assert {train.count(), test.count()} == {0, 7}
+
+
+def test_undersample_shuffles_no_key_before_the_boundary(spark):
+    """The totals' exchange carries (class, bucket) only."""
+    df = spark.range(100).select(F.col("id").cast("string").alias("user_id"),
+                                 (F.col("id") % 2).cast("int").alias("label"))
+    plan = sm.undersample(df)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines()
+            if "Aggregate [" in line]
+    assert any("_us_b#" in k and "user_id" not in k for k in keys)
+    assert all("_us_cut" in k for k in keys if "user_id" in k)

@@ -70,15 +70,17 @@ def md5_bucket(c, salt: str = "") -> Column:
     """First 32 bits of md5(salt || text) as a non-negative bigint.
 
     Stable across runs, partitionings and engines: DuckDB gives the same
-    number with ``('0x' || substr(md5(s), 1, 8))::BIGINT``.
+    number with ``('0x' || substr(md5(s), 1, 8))::BIGINT``.  A null counts as
+    the empty text, so null keys fall on both sides of a split as one key does.
     """
-    text = F.concat(F.lit(salt), _col(c).cast("string"))
+    text = F.concat(F.lit(salt), F.coalesce(_col(c).cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def hash60(c, salt: str = "") -> Column:
-    """First 60 bits of md5(salt || text) as a non-negative bigint."""
-    text = F.concat(F.lit(salt), _col(c).cast("string"))
+    """First 60 bits of md5(salt || text) as a non-negative bigint; a null
+    counts as the empty text."""
+    text = F.concat(F.lit(salt), F.coalesce(_col(c).cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 

@@ -12,7 +12,7 @@ from twinreach.functions.columns import (
     days_since,
     subscription_revenue,
 )
-from twinreach.operators.ranking import add_percent_ranks
+from twinreach.operators.ranking import global_percent_ranks
 
 # Source column -> percentile column.
 PERCENTILES = {
@@ -23,18 +23,17 @@ PERCENTILES = {
 
 
 def lal_features(silver: DataFrame, as_of=None, prices=PRICES_AS_PUBLISHED,
-                 churn_days: int = CHURN_DAYS, rank_method: str = "auto",
+                 churn_days: int = CHURN_DAYS,
                  buckets: int | None = None) -> DataFrame:
     """Silver audience -> feature table.
 
     Adds population percent ranks of ad rate, watch time and subscription
     length; days since the last session (relative to ``as_of``, default
     today); the churn flag; and the monthly subscription revenue by tier.
-    Percentiles of columns the input lacks are skipped.  ``rank_method``:
-    see ``add_percent_ranks`` ('auto' checks the population size first).
+    Percentiles of columns the input lacks are skipped.
     """
     ranks = {s: o for s, o in PERCENTILES.items() if s in silver.columns}
-    out = add_percent_ranks(silver, ranks, method=rank_method, buckets=buckets)
+    out = global_percent_ranks(silver, ranks, buckets)
     return (out
             .withColumn("days_since_last_session", days_since("last_login_date", as_of).cast("int"))
             .withColumn("is_churn", churn_flag("days_since_last_session", churn_days))

@@ -2,8 +2,9 @@
 
 One plan, no driver round trip: each input is reduced to one row with
 map-side partial aggregation, the two rows are stacked and folded into the
-KPI row.  Money is summed as ``decimal(18,2)`` so the total does not depend
-on summation order, then cast to the declared ``float``.
+KPI row.  Money is summed as a wide decimal, so amounts below a cent count
+and the total does not depend on summation order; only the total is cast, to
+the declared ``float``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
 
 
 def churn_count(features: DataFrame, churn_col: str = "is_churn") -> DataFrame:

@@ -1,203 +1,93 @@
 """Percent rank over a whole table.
 
 ``percent_rank().over(Window.orderBy(c))`` without a partition moves every
-row into one task (Exchange SinglePartition) and sorts it there; that is the
-reference's plan and it does not survive a large population.  The
-distributed form computes, for each distinct value, how many rows sort
-strictly before it, and joins that back:
+row into one task.  The distributed form is the only one here; it computes,
+for each distinct value, how many rows sort strictly before it:
 
 1. ``groupBy(value).count()``: map-side partial aggregation, so a value held
    by a third of all rows is one row after the first stage.
-2. ``percentile_approx`` over the distinct values gives ``B - 1`` cut points
-   (one row per ranked column, broadcast); each distinct value gets the
-   bucket ``#cut points < value``.  Buckets hold about equal numbers of
-   distinct values whatever the skew of the rows.
-3. Per-bucket row totals (at most B + 1 rows) give each bucket's offset and
-   the table total with a window over that tiny frame; it is broadcast, its
-   size bounded by B.
-4. Inside each bucket a running sum over the ordered values adds the rows
-   before the value: ``below = offset + running``.  This window is
-   partitioned by bucket, so B tasks share the work.
-5. ``percent_rank = below / (n - 1)`` (0 when n <= 1), joined back on the
-   value null-safely.  The join's build side has one row per distinct value;
-   AQE splits a hot value's partition on the probe side (skew join).
-
-Several columns are ranked in the same pass: their values are stacked as
-``(column, value)`` pairs and every step above is keyed by the column too.
-Nulls sort first (Spark's ascending default): they form bucket -1, rank 0.
-Results equal the built-in exactly, ties included.
+2. The distinct values are range-partitioned (Spark samples the bounds),
+   sorted and written with their place, in their own type.  Values keep
+   their type throughout: large integers, decimals, dates and strings rank
+   as they compare.
+3. Inside each range a running sum gives the rows before a value; totals of
+   the ranges (at most ranges + columns rows) give each range's offset.
+4. ``percent_rank = below / (n - 1)`` (0 when n <= 1) goes back by the value,
+   null-safely, to narrow (row, column, value) rows.  The ranks of a row are
+   gathered and joined to the wide table once, by row.
+
+Columns of one type share every step above.  Nulls sort first (Spark's
+ascending default).  Results equal the built-in exactly, ties included.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinreach.session import cut_lineage
 
-_C, _V, _N, _B, _OFF, _TOT, _BELOW = "_pr_c", "_pr_v", "_pr_n", "_pr_b", "_pr_off", "_pr_tot", "_pr_below"
-
-
-def block_size(m: int) -> int:
-    """Stride of the coarse cut points for ``m`` cut points (about sqrt(m))."""
-    return math.isqrt(max(m - 1, 0)) + 1
-
-
-def coarse_cuts(cuts: Column, m: int) -> Column:
-    """Every ``block_size(m)``-th entry of an ascending array of ``m`` cut
-    points, from the first (computed once per ranked column)."""
-    s = block_size(m)
-    return F.filter(cuts, lambda _c, i: i % s == 0)
-
-
-# Up to this many cut points a plain count is cheaper than two searches.
-LINEAR_CUTS = 64
-
-
-def count_below(cuts: Column, coarse: Column | None, v: Column, m: int) -> Column:
-    """Entries of the ascending array ``cuts`` (``m`` entries) strictly below
-    ``v``.
-
-    Up to ``LINEAR_CUTS`` entries they are counted.  Beyond, about 2*sqrt(m)
-    comparisons replace m: ``coarse`` is ``coarse_cuts(cuts, m)``; if j coarse
-    points lie below v, every entry up to the (j-1)-th coarse point does too,
-    none from the j-th on does, and only the block between them is searched.
-    """
-    if m <= LINEAR_CUTS:
-        return F.size(F.filter(cuts, lambda c: c < v))
-    s = block_size(m)
-    j = F.size(F.filter(coarse, lambda c: c < v))
-    block = F.slice(cuts, (j - 1) * s + 2, F.lit(s - 1))
-    return F.when(j == 0, F.lit(0)).otherwise(
-        (j - 1) * s + 1 + F.size(F.filter(block, lambda c: c < v)))
-
-
-def percent_rank_window(df: DataFrame, col: str, out: str) -> DataFrame:
-    """The built-in form (one task holds all rows). For small tables only."""
-    return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(col).asc_nulls_first())))
+_ROW, _C, _V, _N, _AT, _RANGE, _P = "_pr_row", "_pr_c", "_pr_v", "_pr_n", "_pr_at", "_pr_range", "_pr_p"
 
 
-def value_ranks(df: DataFrame, columns: list[str], buckets: int | None = None,
-                accuracy: int | None = None) -> DataFrame:
-    """For every ranked column and each of its distinct values: rows of that
-    column strictly before the value and the column's row total.
-
-    Columns ``_pr_c`` (index into ``columns``), ``_pr_v`` (value as double),
-    ``_pr_below``, ``_pr_tot``.  All columns share one pass: the values are
-    stacked as ``(column, value)`` pairs, so one partial aggregation, one
-    grouped ``percentile_approx`` and one bucket window serve all of them.
-    """
-    spark = df.sparkSession
-    b = max(int(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), 1)
-    # cut points only balance the buckets: an error of 1/accuracy of the
-    # distinct values is a fraction of one bucket
-    accuracy = accuracy or max(1000, 10 * b)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias(_C), F.col(c).cast("double").alias(_V))
-        for i, c in enumerate(columns)])).alias("_pr_p")).select("_pr_p.*")
+def value_ranks(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``_pr_c, _pr_v, _pr_p`` for (column number, value) rows: the percent
+    rank of every distinct value among its column's rows, in a written table.
+    ``buckets`` is the number of ranges (by default Spark's choice)."""
     counts = pairs.groupBy(_C, _V).agg(F.count(F.lit(1)).alias(_N))
-    v = F.col(_V)
-    if b > 1:
-        # one row of B - 1 cut points per ranked column: bounded broadcast
-        # the filter reads the count, so the optimizer keeps the very same
-        # aggregate as the main branch and reuses its shuffle (a bare distinct
-        # would scan, explode and shuffle the input a second time); nulls are
-        # skipped by percentile_approx itself (a null filter here would be
-        # pushed below the aggregate and break the reuse)
-        m = b - 1
-        cuts = (counts.where(F.col(_N) > 0).groupBy(_C)
-                .agg(F.percentile_approx(_V, [i / b for i in range(1, b)], accuracy).alias("_pr_cuts")))
-        coarse = None
-        if m > LINEAR_CUTS:
-            cuts = cuts.withColumn("_pr_coarse", coarse_cuts(F.col("_pr_cuts"), m))
-            coarse = F.col("_pr_coarse")
-        # bucket = cut points below the value (ascending cuts: with many
-        # buckets a two-level search, O(sqrt B) per distinct value)
-        bucketed = (counts.join(F.broadcast(cuts), _C, "left")
-                    .withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(
-                        F.coalesce(count_below(F.col("_pr_cuts"), coarse, v, m), F.lit(0))))
-                    .drop("_pr_cuts", "_pr_coarse"))
-    else:
-        bucketed = counts.withColumn(_B, F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    per_col = Window.partitionBy(_C).orderBy(_B)
-    # at most (B + 1) rows per ranked column: bounded, broadcast below
-    offsets = (bucketed.groupBy(_C, _B).agg(F.sum(_N).alias("_pr_bn"))
-               .select(_C, _B,
-                       F.coalesce(F.sum("_pr_bn").over(
-                           per_col.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF),
-                       F.sum("_pr_bn").over(per_col.rowsBetween(
-                           Window.unboundedPreceding, Window.unboundedFollowing)).alias(_TOT)))
-    in_bucket = Window.partitionBy(_C, _B).orderBy(v.asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return (bucketed.join(F.broadcast(offsets), [_C, _B])
-            .select(_C, _V,
-                    (F.col(_OFF) + F.coalesce(F.sum(_N).over(in_bucket), F.lit(0))).alias(_BELOW),
-                    F.col(_TOT)))
-
-
-def global_percent_ranks(df: DataFrame, columns: dict[str, str], buckets: int | None = None,
-                         materialize: bool = True) -> DataFrame:
+    spread = (counts.repartitionByRange(buckets, _C, _V) if buckets
+              else counts.repartitionByRange(_C, _V))
+    # upper bits: the range's number, lower bits: the place in it
+    placed = cut_lineage(spread.sortWithinPartitions(_C, _V)
+                         .withColumn(_AT, F.monotonically_increasing_id()))
+    placed = placed.withColumn(_RANGE, F.shiftright(_AT, 33))
+    earlier = Window.partitionBy(_C).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(_C)
+    totals = placed.groupBy(_C, _RANGE).agg(F.sum(_N).alias("_pr_in"))
+    totals = totals.select(_C, _RANGE,
+                           F.coalesce(F.sum("_pr_in").over(earlier), F.lit(0)).alias("_pr_before"),
+                           F.sum("_pr_in").over(whole).alias("_pr_all"))
+    inside = Window.partitionBy(_C, _RANGE).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_pr_before") + F.coalesce(F.sum(_N).over(inside), F.lit(0))
+    # one row per range and column
+    ranked = placed.join(F.broadcast(totals), [_C, _RANGE])
+    return cut_lineage(ranked.select(
+        _C, _V, F.when(F.col("_pr_all") <= 1, F.lit(0.0)).otherwise(
+            below.cast("double") / (F.col("_pr_all") - 1).cast("double")).alias(_P)))
+
+
+def global_percent_ranks(df: DataFrame, columns: dict[str, str],
+                         buckets: int | None = None) -> DataFrame:
     """``percent_rank()`` over the whole table for each ``{source: output}``
     column (ascending, nulls first), without a single-partition step.
 
-    With ``materialize`` (default) the rank table (one row per distinct value
-    and column) is written once as a table in the shared checkpoint folder, so the
-    per-column join-backs read it instead of recomputing it from the input.
+    The input is written once to the shared checkpoint folder with a row
+    number, so that the numbers hold for both the ranks and the rows.
     """
-    srcs = list(columns)
-    ranks = value_ranks(df, srcs, buckets).select(
-        _C, _V,
-        F.when(F.col(_TOT) <= 1, F.lit(0.0))
-         .otherwise(F.col(_BELOW).cast("double") / (F.col(_TOT) - 1).cast("double")).alias("_pr_p"))
-    if materialize:
-        ranks = cut_lineage(ranks)
-    out = df
-    for i, src in enumerate(srcs):
-        r = ranks.where(F.col(_C) == i).select(F.col(_V).alias("_pr_k"), F.col("_pr_p").alias(columns[src]))
-        out = out.join(r, F.col(src).cast("double").eqNullSafe(r["_pr_k"]), "left").drop("_pr_k")
-    return out
+    if not columns:
+        return df
+    wide = cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    kinds: dict[str, list[str]] = {}
+    for source in columns:
+        kinds.setdefault(wide.schema[source].dataType.simpleString(), []).append(source)
+    number = {source: i for i, source in enumerate(columns)}
+    found = None
+    for sources in kinds.values():
+        pairs = wide.select(_ROW, F.explode(F.array(*[
+            F.struct(F.lit(number[c]).alias(_C), F.col(c).alias(_V)) for c in sources])).alias("_pr_s")
+        ).select(_ROW, "_pr_s.*")
+        ranks = value_ranks(pairs.select(_C, _V), buckets).select(
+            F.col(_C).alias("_pr_d"), F.col(_V).alias("_pr_w"), _P)
+        here = pairs.join(ranks, (F.col(_C) == F.col("_pr_d"))
+                          & F.col(_V).eqNullSafe(F.col("_pr_w"))).select(_ROW, _C, _P)
+        found = here if found is None else found.unionByName(here)
+    by_row = found.groupBy(_ROW).agg(*[
+        F.max(F.when(F.col(_C) == i, F.col(_P))).alias(columns[c]) for c, i in number.items()])
+    # an output that replaces a column of the same name takes its place
+    kept = [c for c in df.columns if c not in columns.values()]
+    return wide.select(_ROW, *kept).join(by_row, _ROW).drop(_ROW)
 
 
 def global_percent_rank(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
     """Single-column form of ``global_percent_ranks``."""
     return global_percent_ranks(df, {col: out}, buckets)
-
-
-# Largest population ranked in a single task by ``method='auto'``: one sort of
-# this many rows is a few seconds on one core and tens of MB of memory.
-SINGLE_TASK_ROWS = 2_000_000
-
-
-def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain distributed count: the scan reads no columns and every task
-    sends one partial count, so only one number reaches the driver.  (A
-    ``limit(max_rows + 1).count()`` probe looks cheaper but plans an
-    ``Exchange SinglePartition``: each task ships up to ``max_rows + 1``
-    rows to one task, which on a table of many partitions is every row.)
-    """
-    return df.count() <= max_rows
-
-
-def add_percent_ranks(df: DataFrame, columns: dict[str, str], method: str = "auto",
-                      buckets: int | None = None,
-                      max_single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Add ``{source column: output column}`` percent ranks.
-
-    ``method='distributed'`` scales with the cluster; ``method='window'`` is
-    the built-in single-task form; ``method='auto'`` (default) checks the
-    row count (a distributed count) and uses the window only when the whole
-    population fits one task, the distributed form beyond that.
-    """
-    if method == "auto":
-        method = "window" if fits_one_task(df, max_single_task_rows) else "distributed"
-    if method == "distributed":
-        return global_percent_ranks(df, columns, buckets)
-    if method != "window":
-        raise ValueError(f"unknown method {method!r}")
-    for src, out in columns.items():
-        df = percent_rank_window(df, src, out)
-    return df

@@ -47,26 +47,27 @@ def undersample(df: DataFrame, label: str = "label", key: str = "user_id",
 
     Within each class rows are ordered by ``(hash60(seed || key), key)`` and a
     row is kept when fewer than ``k`` rows of its class come before it, ``k``
-    being the smallest class count (copies of one key tie, so they are kept
-    or dropped together).  Without a per-class sort of all rows:
-
-    1. copies are pre-aggregated per ``(class, hash, key)``;
-    2. the top ``bits`` bits of the uniform hash cut each class into equal
-       buckets; bucket totals (at most classes x 2**bits rows) locate the
-       bucket holding the k-th row;
-    3. only that bucket is ordered exactly, giving one threshold per class;
-    4. rows are kept by comparing with their class threshold (a broadcast of
+    being the smallest class count.  Copies of one key tie, so they are kept
+    or dropped together; all null keys are one key, which hashes as the empty
+    text and sorts first.  Rows without a label are left out.  Without a
+    per-class sort of all rows:
+
+    1. the top ``bits`` bits of the uniform hash cut each class into equal
+       buckets; their totals, combined on the map side (at most classes x
+       2**bits rows are shuffled per task), locate the one that holds the
+       k-th row;
+    2. only that bucket's rows are aggregated by key and ordered exactly,
+       giving one threshold per class;
+    3. rows are kept by comparing with their class threshold (a broadcast of
        one row per class), a narrow filter over the input.
     """
     h, b = "_us_h", "_us_b"
-    keyed = df.withColumn(h, hash60(key, salt=str(seed))) \
-              .withColumn(b, F.shiftright(F.col(h), 60 - bits))
-    per_key = keyed.groupBy(label, b, h, key).agg(F.count(F.lit(1)).alias("_us_n"))
-    buckets = per_key.groupBy(label, b).agg(F.sum("_us_n").alias("_us_bn"))
+    keyed = (df.where(F.col(label).isNotNull()).withColumn(h, hash60(key, salt=str(seed)))
+             .withColumn(b, F.shiftright(F.col(h), 60 - bits)))
+    buckets = keyed.groupBy(label, b).agg(F.count(F.lit(1)).alias("_us_bn"))
     in_class = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    # k = the smallest class total, from the bucket totals already in the plan
-    # (no subquery aggregating the input again); the unpartitioned window sees
-    # at most classes x 2**bits rows
+    # k = the smallest class total, from the bucket totals already in the plan;
+    # the unpartitioned window sees at most classes x 2**bits rows
     k = F.min(F.sum("_us_bn").over(Window.partitionBy(label))).over(Window.partitionBy())
     boundary = (buckets
                 .withColumn("_us_before", F.coalesce(F.sum("_us_bn").over(in_class), F.lit(0)))
@@ -75,9 +76,13 @@ def undersample(df: DataFrame, label: str = "label", key: str = "user_id",
                        & (F.col("_us_before") + F.col("_us_bn") >= F.col("_us_k")))
                 .select(label, F.col(b).alias("_us_cut"),
                         (F.col("_us_k") - F.col("_us_before")).alias("_us_need")))
-    in_bucket = Window.partitionBy(label).orderBy(h, key).rowsBetween(Window.unboundedPreceding, -1)
-    thresholds = (per_key.join(F.broadcast(boundary), label)
-                  .where(F.col(b) == F.col("_us_cut"))
+    # the filter goes before the shuffle: only the boundary bucket moves
+    per_key = (keyed.select(label, b, h, key).join(F.broadcast(boundary), label)
+               .where(F.col(b) == F.col("_us_cut"))
+               .groupBy(label, "_us_cut", "_us_need", h, key).agg(F.count(F.lit(1)).alias("_us_n")))
+    in_bucket = Window.partitionBy(label).orderBy(h, F.col(key).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    thresholds = (per_key
                   .withColumn("_us_prev", F.coalesce(F.sum("_us_n").over(in_bucket), F.lit(0)))
                   .where(F.col("_us_prev") < F.col("_us_need"))
                   .groupBy(label, "_us_cut")

@@ -5,33 +5,22 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from twinreach.operators.models import score_audience
 from twinreach.plans.training import unlabelled_frame
-from twinreach.sources.tables import publish_snapshot, read_snapshot
+from twinreach.sources.tables import newest_version, publish_snapshot, read_snapshot
 
 
 def next_version(spark: SparkSession, root: str) -> int:
     """1 + the newest published version (1 when nothing is published)."""
-    if not path_exists(spark, root):
-        return 1
-    row = spark.read.parquet(root).select(F.max("version")).first()
-    return int(row[0] or 0) + 1
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its (Hadoop) file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return (newest_version(spark, root) or 0) + 1
 
 
 def activate(model: PipelineModel, features: DataFrame, num, root: str,
              version: int | None = None, key: str = "user_id",
              prepared: bool = False) -> DataFrame:
     """Publish the ids the model predicts positive; returns the published
-    version as read back (partition-pruned to that version).
+    version as read back (that publication's folder only).
 
     ``features`` is the feature table, or with ``prepared`` a frame already
     in model-input form (e.g. ``TrainingResult.audience()``).

@@ -102,8 +102,8 @@ QUERIES["pct_sub"] = _pct("subscription_length", "subscription_length_percentile
 def q_pct_distributed(spark, sf_dir):
     """All three ranks with few buckets on a table of many rows per bucket."""
     a = fx.audience(spark, sf_dir)
-    return rk.add_percent_ranks(a.select("user_id", *feat.PERCENTILES), feat.PERCENTILES,
-                                method="distributed", buckets=3)
+    return rk.global_percent_ranks(a.select("user_id", *feat.PERCENTILES), feat.PERCENTILES,
+                                   buckets=3)
 
 
 @query("features")
@@ -121,6 +121,14 @@ def q_kpi(spark, sf_dir):
     return kp.kpi(features_frame(spark, sf_dir), fx.impressions(spark, sf_dir))
 
 
+@query("kpi_subcent")
+def q_kpi_subcent(spark, sf_dir):
+    """Ad prices of a fraction of a cent, one per line item."""
+    prices = tb.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_discount").cast("double") / 25).alias("WinningPrice"))
+    return kp.kpi(features_frame(spark, sf_dir), prices)
+
+
 @query("epoch_login")
 def q_epoch_login(spark, sf_dir):
     a = fx.audience(spark, sf_dir)
@@ -614,4 +622,39 @@ def q_pct_lineitem(spark, sf_dir):
     over all of ``lineitem`` (few distinct quantities and discounts: every
     value is hot)."""
     li = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_RANKS)
-    return rk.add_percent_ranks(li, LINEITEM_RANKS, method="distributed")
+    return rk.global_percent_ranks(li, LINEITEM_RANKS)
+
+
+@query("pct_bigint")
+def q_pct_bigint(spark, sf_dir):
+    """Integers beyond 2**53, which a cast to double would tie."""
+    li = tb.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_orderkey").cast("long") + F.lit(9007199254740992)).alias("big"))
+    return rk.global_percent_rank(li, "big", "big_pct")
+
+
+@query("pct_date")
+def q_pct_date(spark, sf_dir):
+    """A date and a string column, each ranked in its own type."""
+    o = tb.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority")
+    return rk.global_percent_ranks(o, {"day": "day_pct", "o_orderpriority": "priority_pct"})
+
+
+@query("undersample_null_keys")
+def q_undersample_null_keys(spark, sf_dir):
+    """A ninth of the keys is null: they count as copies of one key."""
+    lab = fx.labelled(spark, sf_dir).select(
+        F.when(F.col("user_id").cast("long") % 9 != 4, F.col("user_id")).alias("user_id"), "label")
+    return sm.undersample(lab, seed=42)
+
+
+@query("publish_empty")
+def q_publish_empty(spark, sf_dir):
+    """A publication without rows is the newest one all the same."""
+    lab = fx.labelled(spark, sf_dir)
+    root = scratch_path(spark, "published")
+    tb.publish_snapshot(lab, root, 1)
+    tb.publish_snapshot(lab.where(F.col("label") == 7), root, 2)
+    return tb.read_snapshot(spark, root)

@@ -43,8 +43,7 @@ def _bronze(spark: SparkSession, landing: str, root: str, name: str, strings: bo
 
 def run_feature_pipeline(spark: SparkSession, landing: dict[str, str], root: str,
                          rules: dict[str, str] | None = None, as_of=None,
-                         prices=PRICES_AS_PUBLISHED, expectation_action: str = "warn",
-                         rank_method: str = "auto") -> PipelineTables:
+                         prices=PRICES_AS_PUBLISHED, expectation_action: str = "warn") -> PipelineTables:
     """Run every stage once.
 
     ``landing`` maps 'audience', 'seed' and 'impressions' to JSON folders.
@@ -62,7 +61,7 @@ def run_feature_pipeline(spark: SparkSession, landing: dict[str, str], root: str
         silver, obs = ql.apply_expectations(silver, rules, expectation_action, "audience_data_silver")
     silver = materialize(silver, os.path.join(root, "audience_data_silver"))
 
-    features = materialize(lal_features(silver, as_of=as_of, prices=prices, rank_method=rank_method),
+    features = materialize(lal_features(silver, as_of=as_of, prices=prices),
                            os.path.join(root, "lal_features"))
     kpi_table = materialize(kpi(features, bronze_i), os.path.join(root, "kpi_data"))
     return PipelineTables(bronze_a, bronze_s, bronze_i, silver, features, kpi_table, obs)

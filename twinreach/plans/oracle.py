@@ -92,8 +92,11 @@ oracle("features", f"SELECT * FROM {FEATURES} f")
 oracle("churn_count", f"SELECT CAST(count(*) FILTER (WHERE is_churn = 1) AS BIGINT) AS churned_users, "
        f"CAST(count(*) AS BIGINT) AS n_users FROM {FEATURES} f")
 oracle("kpi", f"SELECT (SELECT CAST(count(*) FILTER (WHERE is_churn = 1) AS INT) FROM {FEATURES} f) AS churned_users, "
-       f"CAST((SELECT sum(CAST(monthly_subscription_revenue AS DECIMAL(18,2))) FROM {FEATURES} f) AS FLOAT) AS sub_revenue, "
-       f"CAST((SELECT sum(CAST(WinningPrice AS DECIMAL(18,2))) FROM impressions) AS FLOAT) AS ad_revenue")
+       f"CAST((SELECT sum(monthly_subscription_revenue) FROM {FEATURES} f) AS FLOAT) AS sub_revenue, "
+       f"CAST((SELECT sum(WinningPrice) FROM impressions) AS FLOAT) AS ad_revenue")
+oracle("kpi_subcent", f"SELECT (SELECT CAST(count(*) FILTER (WHERE is_churn = 1) AS INT) FROM {FEATURES} f) AS churned_users, "
+       f"CAST((SELECT sum(monthly_subscription_revenue) FROM {FEATURES} f) AS FLOAT) AS sub_revenue, "
+       "CAST((SELECT sum(CAST(l_discount AS DOUBLE) / 25) FROM lineitem) AS FLOAT) AS ad_revenue")
 oracle("epoch_login", "SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', last_login_date) AS BIGINT) * 86400 "
        "AS last_login_date FROM audience")
 
@@ -141,6 +144,9 @@ def undersample_sql(source: str, seed: str) -> str:
 
 
 oracle("undersample", undersample_sql("labelled", "42"))
+oracle("undersample_null_keys", undersample_sql(
+    "(SELECT CASE WHEN CAST(user_id AS BIGINT) % 9 <> 4 THEN user_id END AS user_id, label FROM labelled) n",
+    "42").replace("ORDER BY h, user_id", "ORDER BY h, user_id NULLS FIRST"))
 oracle("undersample_copies", undersample_sql(
     "(SELECT a.user_id, CAST(CASE WHEN s.user_id_seed IS NOT NULL THEN 1 ELSE 0 END AS INT) AS label "
     "FROM audience a LEFT JOIN (SELECT * FROM seed UNION ALL SELECT * FROM seed) s "
@@ -217,6 +223,7 @@ oracle("rescue_records", "SELECT user_id, avg_daily_watch_time, gender, CASE "
        "WHEN avg_daily_watch_time IS NULL THEN '{\"avg_daily_watch_time\":\"n/a\"}' "
        "WHEN gender = 'U' THEN '{\"extra_note\":\"unknown\"}' END AS _rescued_data FROM audience")
 oracle("json_roundtrip", "SELECT * FROM audience")
+oracle("publish_empty", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 7")
 oracle("publish_latest", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 1")
 
 # -- end-to-end plans --------------------------------------------------------
@@ -228,3 +235,10 @@ ORACLE["pct_lineitem"] = (
     "percent_rank() OVER (ORDER BY l_quantity ASC NULLS FIRST) AS quantity_pct, "
     "percent_rank() OVER (ORDER BY l_extendedprice ASC NULLS FIRST) AS price_pct, "
     "percent_rank() OVER (ORDER BY l_discount ASC NULLS FIRST) AS discount_pct FROM lineitem")
+ORACLE["pct_bigint"] = (
+    "SELECT l_orderkey, l_linenumber, big, percent_rank() OVER (ORDER BY big ASC NULLS FIRST) AS big_pct "
+    "FROM (SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS BIGINT) + 9007199254740992 AS big FROM lineitem) t")
+ORACLE["pct_date"] = (
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority, "
+    "percent_rank() OVER (ORDER BY CAST(o_orderdate AS DATE) ASC NULLS FIRST) AS day_pct, "
+    "percent_rank() OVER (ORDER BY o_orderpriority ASC NULLS FIRST) AS priority_pct FROM orders")

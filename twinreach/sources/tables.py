@@ -7,6 +7,11 @@ writer; nothing is collected to the driver.
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,30 +85,52 @@ def write_table(df: DataFrame, name_or_path: str, mode: str = "overwrite") -> No
 
 
 # -- published snapshots -----------------------------------------------------
-# Results for downstream readers, kept with their history: each publication is
-# one ``version=N`` partition of a parquet dataset.  Readers get the newest by
-# default; partition pruning keeps a read to that one folder.
+# Results for downstream readers, kept with their history.  Each publication
+# is a folder of its own, and becomes visible by a row in the manifest, which
+# is written last: a publication may be empty, may be repeated, and two
+# publishers never write to the same folder.
+
+MANIFEST = "version int, published_at long, folder string, n_rows long, columns string"
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """One row per publication under ``root`` (none when there is no manifest)."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
 
 def publish_snapshot(df: DataFrame, root: str, version: int) -> None:
-    """Write ``df`` as version ``version`` under ``root`` (other versions kept).
+    """Publish ``df`` as version ``version`` under ``root``.
 
-    Dynamic partition overwrite replaces only the ``version=N`` folder, so a
-    publication that is run again (after a failed or lost job) leaves one
-    copy of that version, not two.
+    Other versions are kept.  Publishing a version again replaces it for
+    readers, also by a publication without rows.
     """
-    (df.withColumn("version", F.lit(int(version)).cast("int"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("version").parquet(root))
+    spark = df.sparkSession
+    folder = f"versions/{int(version)}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{root}/{folder}")
+    n = spark.read.schema(df.schema).parquet(f"{root}/{folder}").count()
+    row = (int(version), time.time_ns(), folder, n, df.schema.json())
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
-def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Read one version; the newest when ``version`` is None.
+def newest_version(spark: SparkSession, root: str) -> int | None:
+    """The newest published version, read from the manifest alone."""
+    return manifest(spark, root).agg(F.max("version")).first()[0]
 
-    The newest version is a scalar subquery over the partition column, which
-    Spark evaluates before it lists files, so only that partition is read.
-    """
-    snap = spark.read.parquet(root)
-    if version is None:
-        newest = snap.select(F.max("version")).scalar()
-        return snap.where(F.col("version") == newest)
-    return snap.where(F.col("version") == F.lit(int(version)))
+
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Read one version (the newest when ``version`` is None), with a column
+    ``version``.  Only the folder of its last publication is read."""
+    rows = manifest(spark, root)
+    if version is not None:
+        rows = rows.where(F.col("version") == int(version))
+    last = rows.orderBy(F.desc("version"), F.desc("published_at")).limit(1).collect()
+    if not last:
+        raise ValueError(f"{root} has no published version" + (f" {version}" if version else ""))
+    schema = T.StructType.fromJson(json.loads(last[0]["columns"]))
+    return (spark.read.schema(schema).parquet(f"{root}/{last[0]['folder']}")
+            .withColumn("version", F.lit(last[0]["version"]).cast("int")))
