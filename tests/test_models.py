@@ -57,3 +57,39 @@ def test_scoring_frame_reuses_training_table(spark):
     assert reused.count() == fresh.count()
     assert reused.exceptAll(fresh).count() == 0
     assert fresh.exceptAll(reused).count() == 0
+
+
+def test_retraining_uses_pseudo_labelled_rows(spark):
+    """The rows of the retraining hold pseudo labels from the test side and
+    true labels from the train side, with classes of equal size."""
+    from twinreach.operators import models as md
+    from twinreach.plans import catalog as cat
+    from twinreach.plans import training as tr
+    from twinreach.sources import fixtures as fx
+
+    feats = cat.features_frame(spark, SF_SMALL)
+    res = tr.fit_gbt(tr.training_frame(feats, fx.seed(spark, SF_SMALL)))
+    _m, metrics, rows = md.semi_supervised_fit(res.model, res.train, res.test, res.categorical, res.numeric)
+    got = rows.select("user_id", "label", "is_pseudo").collect()
+    test = {r.user_id for r in res.test.select("user_id").collect()}
+    assert {r.user_id in test for r in got if r.is_pseudo} == {True}
+    assert {r.user_id in test for r in got if not r.is_pseudo} == {False}
+    by = [sum(r.label == k for r in got) for k in (0, 1)]
+    assert by[0] == by[1] > 0
+    assert metrics.count() == 1
+
+
+def test_a_hot_key_leaves_no_large_file(spark):
+    from pyspark.sql import functions as F
+    from twinreach.session import cut_lineage
+
+    df = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("filler"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        out = cut_lineage(df, rebalance=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 40000 and max(sizes) <= 4 * sum(sizes) / len(sizes)

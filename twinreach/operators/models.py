@@ -2,13 +2,12 @@
 
 The reference trains single-machine models on a pandas copy; here fitting,
 scoring and evaluation are Spark ML jobs over partitioned data.  Prepared
-feature vectors are persisted (memory and disk) while iterative fits read
-them; the frames they come from are checkpointed by the training plan.
+feature vectors that several candidates read are written once, as are the
+frames they come from.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -21,18 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinreach.functions.columns import positive_probability
-from twinreach.operators.frames import align_to, drop_helper_columns, fill_numeric
+from twinreach.operators.frames import align_to, dedupe_rows, drop_helper_columns, fill_numeric
 from twinreach.operators.metrics import classification_metrics
 from twinreach.operators.prep import cast_numeric, feature_stages
-from twinreach.operators.sampling import hash_split, undersample
+from twinreach.operators.sampling import undersample
 from twinreach.session import cut_lineage
 
-MODEL_OUTPUTS = ("features", "num_features", "num_scaled", "rawPrediction", "probability",
-                 "prediction")
-
 
 def candidate_classifiers(label: str = "label", features: str = "features", seed: int = 42) -> dict:
-    """The five candidates.  The reference's kernel SVM has no Spark ML
+    """The five candidates; their names are fixed values.  The reference's kernel SVM has no Spark ML
     counterpart: ``LinearSVC`` (linear kernel, no probability) stands in."""
     return {
         "Logistic Regression": LogisticRegression(labelCol=label, featuresCol=features),
@@ -85,21 +81,19 @@ def compare_classifiers(train: DataFrame, test: DataFrame, cat, num, candidates=
     fitted models by name.
     """
     candidates = candidates or candidate_classifiers(label)
-    # preparation is shared: fitted once, its vectors kept while the
-    # candidates iterate over them
+    # preparation is shared: fitted once on the train side, and the vectors of
+    # either side are written once for all candidates
     typed = cast_numeric(train, num)
-    prep = Pipeline(stages=feature_stages(cat, num)).fit(typed)
-    vectors = prep.transform(typed).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    prep = Pipeline(stages=feature_stages(cat, num, scale=True)).fit(typed)
+    vectors = cut_lineage(prep.transform(typed).select("features", label))
+    held = cut_lineage(prep.transform(cast_numeric(test, num)).select("features", label))
     models, rows = {}, None
-    try:
-        for name, est in candidates.items():
-            m = PipelineModel(stages=list(prep.stages) + [est.fit(vectors)])
-            models[name] = m
-            r = evaluate(m, test, num, label).select(F.lit(name).alias("model"), "*")
-            rows = r if rows is None else rows.unionByName(r)
-    finally:
-        # fits are done; the metrics plan reads only the test rows
-        vectors.unpersist()
+    for name, est in candidates.items():
+        fitted = est.fit(vectors)
+        models[name] = PipelineModel(stages=[*prep.stages, fitted])
+        scored = fitted.transform(held).select(label, F.col("prediction").cast("int").alias("prediction"))
+        r = classification_metrics(scored, label, "prediction").select(F.lit(name).alias("model"), "*")
+        rows = r if rows is None else rows.unionByName(r)
     return rows, models
 
 
@@ -108,6 +102,12 @@ def best_of(metrics: DataFrame, by: str = "f1") -> DataFrame:
     return metrics.orderBy(F.col(by).desc(), F.col("model")).limit(1)
 
 
+def best_model(metrics: DataFrame, models: dict, by: str = "f1") -> tuple[str, PipelineModel]:
+    """Name and fitted pipeline of the candidate with the best ``by``."""
+    name = best_of(metrics, by).first()["model"]
+    return name, models[name]
+
+
 def pseudo_label(model: PipelineModel, unlabelled: DataFrame, num, label: str = "label") -> DataFrame:
     """Score rows without a label and take the prediction as their label."""
     scored = score(model, unlabelled, num, keep=unlabelled.columns)
@@ -117,38 +117,43 @@ def pseudo_label(model: PipelineModel, unlabelled: DataFrame, num, label: str =
 
 def semi_supervised_frame(model: PipelineModel, labelled: DataFrame, unlabelled: DataFrame,
                           num, key: str = "user_id", label: str = "label",
-                          prefer_true_label: bool = True) -> DataFrame:
+                          prefer_true_label: bool = True, mark: str | None = None) -> DataFrame:
     """Pseudo-labelled rows aligned to the labelled columns, stacked with the
     labelled rows, numeric nulls set to 0.
 
-    With ``prefer_true_label`` a key that has a true label keeps only it
-    (left anti join of the pseudo rows against the labelled keys); otherwise
-    both rows stay, as in the reference.
+    ``unlabelled`` holds rows that were kept from the model's training (the
+    test side without its labels, new users).  With ``prefer_true_label`` a
+    key that has a true label keeps only it; otherwise both rows stay, as in
+    the reference.  ``mark`` names a column that is 1 for pseudo-labelled rows.
     """
     pseudo = align_to(pseudo_label(model, unlabelled, num, label), labelled.columns)
     if prefer_true_label:
         pseudo = pseudo.join(labelled.select(key).distinct(), key, "left_anti")
+    if mark:
+        pseudo, labelled = pseudo.withColumn(mark, F.lit(1)), labelled.withColumn(mark, F.lit(0))
     return fill_numeric(pseudo.unionByName(labelled, allowMissingColumns=True), 0)
 
 
-def semi_supervised_fit(model: PipelineModel, labelled: DataFrame, unlabelled: DataFrame,
+def semi_supervised_fit(model: PipelineModel, train: DataFrame, test: DataFrame,
                         cat, num, estimator=None, key: str = "user_id", label: str = "label",
-                        share: float = 0.7, seed: int = 1, balance: bool = True):
-    """Retrain on labelled + pseudo-labelled rows; evaluate the returned model.
-
-    With ``balance`` (default, as the reference's final model) the classes
-    are first undersampled to the minority size (exact, distributed).
-    Returns ``(model_2, metrics_on_test, test)``.
+                        seed: int = 1, balance: bool = True):
+    """Pseudo-label the test side, retrain on it and the train side, and
+    evaluate the new model on the test side's true labels.
+
+    The stacked rows are de-duplicated; with ``balance`` (default, as the
+    reference's final model) the classes are undersampled to the minority
+    size (exact, distributed).  Returns ``(model_2, metrics, rows)``, the rows
+    being those of the retraining, with ``is_pseudo``.
     """
-    combined = semi_supervised_frame(model, labelled, unlabelled, num, key, label)
+    combined = dedupe_rows(semi_supervised_frame(model, train, test.drop(label), num, key, label,
+                                                 mark="is_pseudo"))
     if balance:
         combined = undersample(combined, label, key, seed=seed)
     # the fit reads its input many times: write it once instead of
     # re-running scoring and undersampling on every pass
-    combined = cut_lineage(combined, key)
-    train, test = hash_split(combined, key, share, seed)
-    model_2 = fit(train, estimator or gbt(label), cat, num)
-    return model_2, evaluate(model_2, test, num, label), test
+    combined = cut_lineage(combined, rebalance=True)
+    model_2 = fit(combined.drop("is_pseudo"), estimator or gbt(label), cat, num)
+    return model_2, evaluate(model_2, test, num, label), combined
 
 
 def score_audience(model: PipelineModel, features: DataFrame, num, key: str = "user_id") -> DataFrame:
@@ -156,10 +161,10 @@ def score_audience(model: PipelineModel, features: DataFrame, num, key: str = "u
     return score(model, features, num, keep=[key]).where(F.col("prediction") == 1).select(key)
 
 
-def strip_model_columns(df: DataFrame) -> DataFrame:
-    """Drop stage outputs: index / vec helpers and vector columns."""
-    return drop_helper_columns(df).drop(*[c for c in MODEL_OUTPUTS if c in ("features", "num_features",
-                                                                            "num_scaled", "rawPrediction")])
+def scored_table(model: PipelineModel, df: DataFrame, num) -> DataFrame:
+    """``df`` with its prediction and the positive-class probability as a
+    number, without the pipeline's helper and vector columns."""
+    return score(model, df, num, keep=drop_helper_columns(df).columns)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -227,6 +227,13 @@ def q_sample_wr(spark, sf_dir):
     return sm.sample_with_replacement(fx.labelled(spark, sf_dir), 0.30, 1)
 
 
+@query("random_split_rows")
+def q_random_split_rows(spark, sf_dir):
+    """Both sides of a random split together: every row, once."""
+    train, test = sm.random_split(fx.labelled(spark, sf_dir), (0.7, 0.3), 42)
+    return train.unionByName(test)
+
+
 @query("random_split")
 def q_random_split(spark, sf_dir):
     train, test = sm.random_split(fx.labelled(spark, sf_dir), (0.7, 0.3), 42)
@@ -405,10 +412,21 @@ def q_gbt_score(spark, sf_dir):
 
 @query("score_rounded")
 def q_score_rounded(spark, sf_dir):
+    """Every user scored, with the side it was on."""
     res = tr.fit_gbt(_training(spark, sf_dir))
-    return md.score(res.model, res.test, res.numeric,
-                    keep=["user_id", "label", "age_group", "favorite_genre", "avg_daily_watch_time"],
-                    digits=2)
+    rows = res.data.withColumn("side", sm.split_side("user_id", 0.7, 42))
+    return md.score(res.model, rows, res.numeric,
+                    keep=["user_id", "label", "side", "age_group", "favorite_genre",
+                          "avg_daily_watch_time"], digits=2)
+
+
+@query("scores_valid")
+def q_scores_valid(spark, sf_dir):
+    """Per user, whether its prediction is 0 or 1 and its probability in 0..1."""
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    out = md.scored_table(res.model, res.data, res.numeric)
+    return out.select("user_id", (F.col("prediction").isin(0, 1)
+                                  & F.col("probability").between(0, 1)).alias("valid"))
 
 
 @query("model_comparison")
@@ -431,18 +449,46 @@ def q_pseudo_label(spark, sf_dir):
 
 @query("augment_training")
 def q_augment_training(spark, sf_dir):
+    """The train side with its labels, the test side with predicted ones."""
     res = tr.fit_gbt(_training(spark, sf_dir))
-    return md.semi_supervised_frame(res.model, res.data, res.audience(), res.numeric)
+    return md.semi_supervised_frame(res.model, res.train, res.test.drop("label"), res.numeric)
+
+
+@query("augment_sides")
+def q_augment_sides(spark, sf_dir):
+    """Which rows of the stacked frame are pseudo-labelled."""
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    out = md.semi_supervised_frame(res.model, res.train, res.test.drop("label"), res.numeric,
+                                   mark="is_pseudo")
+    return out.select("user_id", sm.split_side("user_id", 0.7, 42).alias("side"), "is_pseudo")
 
 
 @query("semi_supervised")
 def q_semi_supervised(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
-    _m2, metrics, _test = md.semi_supervised_fit(res.model, res.data, res.audience(),
+    _m2, metrics, _rows = md.semi_supervised_fit(res.model, res.train, res.test,
                                                  res.categorical, res.numeric)
     return metrics
 
 
+@query("best_published")
+def q_best_published(spark, sf_dir):
+    """Compare, take the best model, publish its positives: published ids
+    that the model does not predict, predicted ids that are not published,
+    and published ids outside of the audience."""
+    training = _training(spark, sf_dir)
+    metrics, models, _cat, num, _test = tr.compare(training)
+    _name, best = md.best_model(metrics, models)
+    published = act.activate(best, training.drop("label"), num,
+                             scratch_path(spark, "best"), prepared=True).select("user_id")
+    scored = md.score(best, training.drop("label"), num, keep=["user_id"])
+    both = (published.withColumn("p", F.lit(1)).join(scored, "user_id", "full"))
+    return both.agg(
+        F.count_if((F.col("p") == 1) & (F.coalesce("prediction", F.lit(0)) != 1)).alias("not_predicted"),
+        F.count_if((F.col("prediction") == 1) & F.col("p").isNull()).alias("not_published"),
+        F.count_if(F.col("prediction").isNull()).alias("outside"))
+
+
 @query("positives")
 def q_positives(spark, sf_dir):
     res = tr.fit_gbt(_training(spark, sf_dir))
@@ -458,13 +504,21 @@ def q_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     md.save_model(res.model, path)
     again = md.load_model(path)
-    a = md.score(res.model, res.test, res.numeric, keep=["user_id"])
-    b = md.score(again, res.test, res.numeric, keep=["user_id"]).select(
+    a = md.score(res.model, res.data, res.numeric, keep=["user_id"])
+    b = md.score(again, res.data, res.numeric, keep=["user_id"]).select(
         "user_id", F.col("prediction").alias("prediction_reloaded"),
         F.col("probability").alias("probability_reloaded"))
     return a.join(b, "user_id")
 
 
+@query("reload_equal")
+def q_reload_equal(spark, sf_dir):
+    """Per user, whether the reloaded model gives the same scores."""
+    return q_model_roundtrip(spark, sf_dir).select("user_id", (
+        (F.col("prediction") == F.col("prediction_reloaded"))
+        & (F.col("probability") == F.col("probability_reloaded"))).alias("same"))
+
+
 # -- streams and sinks -------------------------------------------------------
 
 from twinreach.session import scratch_path  # noqa: E402

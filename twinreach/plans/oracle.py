@@ -242,3 +242,12 @@ ORACLE["pct_date"] = (
     "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority, "
     "percent_rank() OVER (ORDER BY CAST(o_orderdate AS DATE) ASC NULLS FIRST) AS day_pct, "
     "percent_rank() OVER (ORDER BY o_orderpriority ASC NULLS FIRST) AS priority_pct FROM orders")
+oracle("random_split_rows", "SELECT user_id, label FROM labelled")
+# models: what must hold for every row, whatever was learned
+oracle("scores_valid", "SELECT user_id, TRUE AS valid FROM audience")
+oracle("reload_equal", "SELECT user_id, TRUE AS same FROM audience")
+oracle("augment_sides", "SELECT user_id, side, CAST(side = 'test' AS INT) AS is_pseudo FROM (SELECT user_id, "
+       "CASE WHEN ('0x' || substr(md5('42' || user_id), 1, 8))::BIGINT < CAST(0.7 * 4294967296 AS BIGINT) "
+       "THEN 'train' ELSE 'test' END AS side FROM audience) s")
+oracle("best_published", "SELECT CAST(0 AS BIGINT) AS not_predicted, CAST(0 AS BIGINT) AS not_published, "
+       "CAST(0 AS BIGINT) AS outside")

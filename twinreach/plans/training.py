@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from twinreach.functions.columns import epoch_seconds
 from twinreach.operators import models as md
-from twinreach.operators.frames import split_columns
+from twinreach.operators.frames import DEFAULT_EXCLUDE, split_columns
 from twinreach.operators.sampling import hash_split
 from twinreach.operators.seed import label_audience
 from twinreach.session import cut_lineage  # noqa: F401  (re-exported)
@@ -56,24 +56,21 @@ class TrainingResult:
 
 
 def fit_gbt(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
-            checkpoint: bool = True) -> TrainingResult:
-    """Hash split, then preparation + GBT (10 rounds) fitted on the train side."""
-    data = cut_lineage(labelled, key) if checkpoint else labelled
-    cat, num = split_columns(data.schema)
+            checkpoint: bool = True, exclude=DEFAULT_EXCLUDE) -> TrainingResult:
+    """``exclude``: columns that are not features, such as ids or the columns
+    of the seed rule.  Hash split, then preparation + GBT (10 rounds) fitted on the train side."""
+    data = cut_lineage(labelled, rebalance=True) if checkpoint else labelled
+    cat, num = split_columns(data.schema, exclude)
     train, test = hash_split(data, key, share, seed)
     model = md.fit(train, md.gbt(), cat, num)
     return TrainingResult(train, test, cat, num, model, data)
 
 
 def compare(labelled: DataFrame, key: str = "user_id", share: float = 0.7, seed: int = 42,
-            candidates=None):
+            candidates=None, exclude=DEFAULT_EXCLUDE):
     """Five candidates on one split: ``(metrics frame, models, cat, num, test)``."""
-    data = cut_lineage(labelled, key)
-    cat, num = split_columns(data.schema)
+    data = cut_lineage(labelled, rebalance=True)
+    cat, num = split_columns(data.schema, exclude)
     train, test = hash_split(data, key, share, seed)
     metrics, models = md.compare_classifiers(train, test, cat, num, candidates)
     return metrics, models, cat, num, test
-
-
-def positives_with_scores(model: PipelineModel, frame: DataFrame, num, key: str = "user_id") -> DataFrame:
-    return md.score(model, frame, num, keep=[key]).where(F.col("prediction") == 1)

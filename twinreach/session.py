@@ -3,7 +3,8 @@
 Library code never picks a machine-local folder on its own: intermediate
 tables, stream checkpoints and published snapshots go under the folder the
 cluster names in ``spark.checkpoint.dir``.  Only when that setting is empty
-(local runs, tests) is a private folder created and registered.
+(local runs, tests) is a private folder created and registered; on a cluster
+it must be set.
 """
 
 from __future__ import annotations
@@ -65,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover
             pass
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="twinreach-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -77,23 +80,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "twinreach", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df, key: str | None = None):
+def cut_lineage(df, rebalance: bool = False):
     """Write ``df`` as a parquet table under the shared checkpoint folder
     (``spark.checkpoint.dir``) and return a scan of it (eager).
 
     The lineage is cut: a lost executor re-reads the table instead of
     recomputing the plan, and the planner sees the table's real size.
     Parquet rather than ``DataFrame.checkpoint`` (Java-serialised rows):
-    columnar, compressed, vectorised to read.  With ``key`` the rows are
-    hash-partitioned by it without a fixed partition count, so AQE sizes
-    the files by bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
-    and later iterative readers run one task per reasonably sized block.
+    columnar, compressed, vectorised to read.  With ``rebalance`` the rows
+    are dealt out evenly, whatever their keys, and AQE sizes the files by
+    bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so later
+    iterative readers run one task per reasonably sized block.
     """
-    from pyspark.sql import functions as F
-
     spark = df.sparkSession
     path = scratch_path(spark, "lineage")
-    if key is not None:
-        df = df.repartition(F.col(key))
-    df.write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return spark.read.parquet(path)
