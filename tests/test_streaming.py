@@ -56,3 +56,26 @@ def fx_schema():
 
     return T.StructType([T.StructField("user_id", T.StringType()),
                          T.StructField("num_children", T.IntegerType())])
+
+
+def test_later_runs_keep_the_first_schema(spark):
+    """A later landing neither changes types nor loses a key; a column
+    adopted by an explicit step is filled from the rescue column."""
+    from pyspark.sql import types as T
+
+    land, target, ckpt, store = (scratch_path(spark, n) for n in ("land", "bronze", "ckpt", "schema"))
+    runs = [[("a", 1)], [("b", 2.5)], [("c", 3)]]
+    for i, rows in enumerate(runs):
+        df = spark.createDataFrame(rows, "user_id string, n double" if i == 1 else "user_id string, n long")
+        write_json(df.withColumn("new", F.lit(i)) if i else df, land)
+        schema = ing.kept_schema(spark, land, store)
+        assert dict((f.name, f.dataType.simpleString()) for f in schema.fields) == {
+            "user_id": "string", "n": "bigint"}
+        ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    got = {r.user_id: r for r in ing.read_bronze(spark, target, schema).collect()}
+    assert (got["a"].n, got["b"].n, got["c"].n) == (1, None, 3)
+    assert got["a"][RESCUED] is None and got["b"][RESCUED] == '{"n":"2.5","new":"1"}'
+    wide = ing.add_columns(spark, store, T.StructType([T.StructField("new", T.LongType())]))
+    assert ing.stored_schema(spark, store) == wide
+    assert {r.user_id: r.new for r in ing.read_bronze(spark, target, wide).collect()} == {
+        "a": None, "b": 1, "c": 2}

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinreach.functions.columns import (
     PRICES_AS_PUBLISHED,
@@ -712,3 +713,33 @@ def q_publish_empty(spark, sf_dir):
     tb.publish_snapshot(lab, root, 1)
     tb.publish_snapshot(lab.where(F.col("label") == 7), root, 2)
     return tb.read_snapshot(spark, root)
+
+
+def _two_landings(spark, first, second):
+    """Land and ingest ``first``, then ``second``, with the stored schema."""
+    land, target, ckpt, store = (scratch_path(spark, n) for n in ("land", "bronze", "ckpt", "schema"))
+    for part in (first, second):
+        tb.write_json(part, land)
+        schema = ing.kept_schema(spark, land, store)
+        ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    return target, store, schema
+
+
+@query("ingest_new_column")
+def q_ingest_new_column(spark, sf_dir):
+    """The second landing carries a new key: kept in the rescue column, and a
+    column for all rows once it is adopted."""
+    lab = fx.labelled(spark, sf_dir)
+    target, store, _ = _two_landings(spark, lab, lab.withColumn(
+        "coupon", F.concat(F.lit("C"), "user_id")))
+    schema = ing.add_columns(spark, store, T.StructType([T.StructField("coupon", T.StringType())]))
+    return ing.read_bronze(spark, target, schema)
+
+
+@query("ingest_type_change")
+def q_ingest_type_change(spark, sf_dir):
+    """The second landing has fractions in an integer column: the column
+    keeps its type, and the values are in the rescue column."""
+    lab = fx.labelled(spark, sf_dir)
+    target, _, schema = _two_landings(spark, lab, lab.withColumn("label", F.col("label") + F.lit(0.5)))
+    return ing.read_bronze(spark, target, schema)

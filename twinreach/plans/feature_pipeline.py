@@ -19,7 +19,7 @@ from twinreach.operators import quality as ql
 from twinreach.operators.features import lal_features
 from twinreach.operators.kpi import kpi
 from twinreach.sources.tables import materialize
-from twinreach.streaming.ingest import infer_json_schema, ingest_json_stream
+from twinreach.streaming.ingest import ingest_json_stream, kept_schema, read_bronze
 
 
 @dataclass
@@ -35,10 +35,10 @@ class PipelineTables:
 
 def _bronze(spark: SparkSession, landing: str, root: str, name: str, strings: bool,
             schema=None) -> DataFrame:
-    schema = schema or infer_json_schema(spark, landing, strings=strings)
+    schema = kept_schema(spark, landing, os.path.join(root, "schemas", name), strings, schema)
     target = os.path.join(root, "bronze", name)
     ingest_json_stream(spark, landing, target, os.path.join(root, "_checkpoints", name), schema)
-    return spark.read.parquet(target)
+    return read_bronze(spark, target, schema)
 
 
 def run_feature_pipeline(spark: SparkSession, landing: dict[str, str], root: str,

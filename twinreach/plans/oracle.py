@@ -251,3 +251,8 @@ oracle("augment_sides", "SELECT user_id, side, CAST(side = 'test' AS INT) AS is_
        "THEN 'train' ELSE 'test' END AS side FROM audience) s")
 oracle("best_published", "SELECT CAST(0 AS BIGINT) AS not_predicted, CAST(0 AS BIGINT) AS not_published, "
        "CAST(0 AS BIGINT) AS outside")
+oracle("ingest_new_column", "SELECT user_id, CAST(label AS BIGINT) AS label, NULL AS coupon, NULL AS _rescued_data "
+       "FROM labelled UNION ALL SELECT user_id, label, 'C' || user_id, "
+       "'{\"coupon\":\"C' || user_id || '\"}' FROM labelled")
+oracle("ingest_type_change", "SELECT user_id, CAST(label AS BIGINT) AS label, NULL AS _rescued_data FROM labelled "
+       "UNION ALL SELECT user_id, NULL, '{\"label\":\"' || (label + 0.5) || '\"}' FROM labelled")

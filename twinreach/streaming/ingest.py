@@ -5,8 +5,8 @@ run picks up only files added since the last one; ``availableNow`` runs it
 as a batch job that stops when it has caught up (the reference's triggered,
 non-continuous pipeline).
 
-Records are read as text lines and parsed with ``from_json`` against the
-declared schema.  A field whose text does not fit its declared type, and
+Records are read as text lines, parsed once with ``from_json`` and cast to
+the declared schema.  A field whose text does not fit its declared type, and
 any key the schema does not declare, goes to ``_rescued_data`` (a JSON
 object of those keys and their raw text) instead of being lost; the rest of
 the record keeps its typed values.
@@ -14,51 +14,119 @@ the record keeps its typed values.
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinreach.operators.conform import RESCUED, all_strings
+from twinreach.operators.conform import RESCUED
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd"}
 
 
-def infer_json_schema(spark: SparkSession, path: str, strings: bool = False,
-                      sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema inferred from the files already present (a sampled batch read).
+def infer_json_schema(spark: SparkSession, path: str, strings: bool = False) -> T.StructType:
+    """Schema inferred from all files present (the first run reads them all).
 
     ``strings=True`` types every field as string, the bronze convention for
     the audience; otherwise numbers, booleans and nested values are typed.
     """
-    reader = spark.read.option("samplingRatio", sampling_ratio)
+    reader = spark.read
     if strings:
         reader = reader.option("primitivesAsString", "true")
     return reader.json(path).schema
 
 
+# -- stored schema -------------------------------------------------------------
+# A bronze table keeps the schema of its first run beside the stream's
+# checkpoint.  Later runs neither infer nor read old files: a new key and a
+# value that does not fit go to the rescue column, so files written by
+# different runs always have the same types.  A new column is added by an
+# explicit step, and is then filled from the rescue column for older rows.
+
+SCHEMA_LOG = "version int, columns string"
+
+
+def stored_schema(spark: SparkSession, store: str) -> T.StructType | None:
+    """The newest schema kept in ``store``; None before the first run."""
+    try:
+        log = spark.read.schema(SCHEMA_LOG).parquet(store)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = log.orderBy(F.desc("version")).first()
+    return T.StructType.fromJson(json.loads(last["columns"]))
+
+
+def store_schema(spark: SparkSession, store: str, schema: T.StructType) -> T.StructType:
+    known = stored_schema(spark, store)
+    n = 1 if known is None else spark.read.schema(SCHEMA_LOG).parquet(store).count() + 1
+    spark.createDataFrame([(n, schema.json())], SCHEMA_LOG).coalesce(1).write.mode(
+        "append").parquet(store)
+    return schema
+
+
+def kept_schema(spark: SparkSession, source: str, store: str, strings: bool = False,
+                declared: T.StructType | None = None) -> T.StructType:
+    """The stored schema; on the first run ``declared`` or what is inferred."""
+    known = stored_schema(spark, store)
+    if known is not None:
+        return known
+    return store_schema(spark, store, declared or infer_json_schema(spark, source, strings))
+
+
+def add_columns(spark: SparkSession, store: str, columns: T.StructType) -> T.StructType:
+    """Adopt new columns; a column that is there keeps its type."""
+    known = stored_schema(spark, store)
+    have = {f.name for f in known.fields}
+    return store_schema(spark, store, T.StructType(
+        [*known.fields, *(f for f in columns.fields if f.name not in have)]))
+
+
+def read_bronze(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All runs' rows under ``schema``; a column adopted later is taken from
+    the rescue column of the rows before."""
+    full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+    rows = spark.read.schema(full).parquet(target)
+    rescued = F.from_json(RESCUED, T.MapType(T.StringType(), T.StringType()))
+    return rows.select(*[F.coalesce(F.col(f.name), _typed(rescued[f.name], f.dataType)).alias(f.name)
+                         for f in schema.fields], RESCUED)
+
+
+def _typed(text, kind: T.DataType):
+    """A field's text as its declared type; null when it does not fit."""
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, kind, JSON_OPTIONS)
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
 def parse_json_lines(lines: DataFrame, schema: T.StructType, rescue: bool = True,
                      text_col: str = "value") -> DataFrame:
-    """Typed columns of ``schema`` from JSON text lines, plus ``_rescued_data``."""
-    raw = F.col(text_col)
-    typed = F.from_json(raw, schema, JSON_OPTIONS)
-    cols = [typed.getField(f.name).alias(f.name) for f in schema.fields]
+    """Typed columns of ``schema`` from JSON text lines, plus ``_rescued_data``.
+
+    A line is parsed once, to its keys and their text; fields are cast from
+    there, and what is not declared or does not fit is rescued."""
+    source, parsed = F.col(text_col), "_parsed"
+    lines = lines.select(source.alias("_raw"), F.from_json(
+        source, T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS).alias(parsed))
+    typed = {f.name: _typed(F.col(parsed)[f.name], f.dataType) for f in schema.fields}
+    cols = [c.alias(name) for name, c in typed.items()]
     if not rescue:
         return lines.select(*cols)
-    text = F.from_json(raw, all_strings(schema), JSON_OPTIONS)
     declared = F.array(*[F.lit(f.name) for f in schema.fields])
-    as_map = F.from_json(raw, T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
-    extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(declared, k))
-    mismatched = [
-        F.when(text.getField(f.name).isNotNull() & typed.getField(f.name).isNull(),
-               F.struct(F.lit(f.name).alias("key"), text.getField(f.name).alias("value")))
-        for f in schema.fields if not isinstance(f.dataType, T.StringType)
-    ]
-    bad_fields = F.map_from_entries(F.filter(F.array(*mismatched), lambda e: e.isNotNull())) \
-        if mismatched else F.create_map().cast("map<string,string>")
-    rescued_map = F.map_concat(bad_fields, F.coalesce(extra, F.create_map().cast("map<string,string>")))
+    none = F.create_map().cast("map<string,string>")
+    extra = F.map_filter(parsed, lambda k, v: ~F.array_contains(declared, k))
+    bad = [F.when(F.col(parsed)[f.name].isNotNull() & typed[f.name].isNull(),
+                  F.struct(F.lit(f.name).alias("key"), F.col(parsed)[f.name].alias("value")))
+           for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    unfit = F.map_from_entries(F.filter(F.array(*bad), lambda e: e.isNotNull())) if bad else none
+    rescued_map = F.map_concat(unfit, F.coalesce(extra, none))
     rescued = F.when(F.size(rescued_map) > 0, F.to_json(rescued_map))
     # a line that is not JSON at all is rescued whole
-    rescued = F.when(as_map.isNull() & raw.isNotNull() & (F.trim(raw) != ""),
+    raw = F.col("_raw")
+    rescued = F.when(F.col(parsed).isNull() & raw.isNotNull() & (F.trim(raw) != ""),
                      F.to_json(F.create_map(F.lit("_raw"), raw))).otherwise(rescued)
     return lines.select(*cols, rescued.alias(RESCUED))
 
@@ -82,9 +150,3 @@ def ingest_json_stream(spark: SparkSession, source: str, target: str, checkpoint
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise q.exception()
-
-
-def read_json_rescued(spark: SparkSession, path: str, schema: T.StructType,
-                      rescue: bool = True) -> DataFrame:
-    """Batch form of the same parse (for backfills and checks)."""
-    return parse_json_lines(spark.read.text(path), schema, rescue)
