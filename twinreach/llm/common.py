@@ -19,7 +19,7 @@ WHITESPACE = r"[\x20\x09-\x0D]"
 
 # rows of a batch sent to Python; texts are long, and a batch is held whole on
 # both sides
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

@@ -18,8 +18,9 @@ threshold; the result is the connected components of the links.
    already in one component need no pair.  After the star rounds a last
    round takes every candidate pair between different components, so no link
    between components is missed.
-4. *Verification*, once per pair.  The two sets meet in one row; a suffix
-   filter on counts by hash range goes before the exact intersection.
+4. *Verification*, once per pair.  A suffix filter compares how many n-grams
+   the two sets have in each of 256 ranges of hashes; only pairs it cannot
+   rule out bring their sets together for the exact intersection.
 
 Components are found with large-star and small-star steps over the links.
 Only counts (for the bucket order, a fixed number) reach the driver.
@@ -210,36 +211,62 @@ def shared(threshold: int, near: int = 64):
     return run
 
 
+RANGES = 256
+
+
 def collected(ngram: int):
-    """The sets as packed arrays, for verification."""
+    """The sets as packed arrays, and how many n-grams each has in RANGES
+    ranges of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, sizes, text, gram in _sets(batch.column("body"), ngram):
                 d = _digests(sizes, text, gram)
                 edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
+                counts = np.bincount(text * RANGES + (gram >> np.uint64(56)).astype(np.int64),
+                                     minlength=len(sizes) * RANGES).reshape(-1, RANGES)
+                # a count that does not fit two bytes: the text is never ruled out
+                counts[counts.max(axis=1) > 0xFFFF] = 0xFFFF
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(base, len(sizes)), pa.array(d[:, 0].copy()),
-                     pa.array(d[:, 1].copy()),
+                    [batch.column("rep").slice(base, len(sizes)), pa.array(sizes.astype(np.int32)),
+                     pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
+                     pa.array([c.tobytes() for c in counts.astype("<u2")], pa.binary()),
                      pa.array([gram[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-                    ["rep", "d1", "d2", "grams"])
+                    ["rep", "n", "d1", "d2", "ranges", "grams"])
+
+    return run
+
+
+def _least_shared(m: np.ndarray, n: np.ndarray, threshold: int) -> np.ndarray:
+    return -(-threshold * (m + n) // (100 + threshold))
+
+
+def plausible(threshold: int):
+    """Suffix filter: pairs that can share enough n-grams in all ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, RANGES)
+                    for c in ("x", "y"))
+            m, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("m", "n"))
+            keep = pa.array(np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                            >= _least_shared(m, n, threshold))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
     return run
 
 
 def verified(threshold: int):
+    """Pairs whose sets are similar enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.uint64(58)
         for batch in batches:
             links = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                need = -(-threshold * (len(s) + len(t)) // (100 + threshold))
-                # suffix filter: what can be shared in each of 64 ranges of hashes
-                most = np.minimum(np.bincount((s >> top).astype(np.int64), minlength=64),
-                                  np.bincount((t >> top).astype(np.int64), minlength=64)).sum()
-                links.append(most >= need and
-                             len(np.intersect1d(s, t, assume_unique=True)) >= need)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                links.append(both >= _least_shared(len(s), len(t), threshold))
             keep = pa.array(links, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
@@ -328,11 +355,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
 
     alive = postings.select("rep").distinct()
     texts = source.join(alive, source["id"] == alive["rep"]).select("rep", "body")
-    grams = texts.mapInArrow(collected(ngram), "rep long, d1 long, d2 long, grams binary")
+    grams = texts.mapInArrow(
+        collected(ngram), "rep long, n int, d1 long, d2 long, ranges binary, grams binary")
     # a repeated id can stand beside other sets; the node's own is kept
     own = reps.select("rep", "d1", "d2")
     grams = stored(grams.join(own, ["rep", "d1", "d2"]).dropDuplicates(["rep", "d1", "d2"])
-                   .select("rep", "grams"), "gram-values")
+                   .select("rep", "n", "ranges", "grams"), "gram-values")
 
     # an id with several sets is one document: its sets are linked
     several = nodes.where("rep is not null").groupBy("id").agg(
@@ -351,7 +379,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
                 break
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        meet = (pairs.join(grams.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
+        small = (pairs.join(grams.select(F.col("rep").alias("a"), F.col("ranges").alias("x"),
+                                         F.col("n").alias("m")), "a")
+                 .join(grams.select(F.col("rep").alias("b"), F.col("ranges").alias("y"), "n"), "b"))
+        likely = stored(small.select("a", "b", "x", "y", "m", "n").mapInArrow(
+            plausible(threshold), "a long, b long"), "gram-likely")
+        meet = (likely.join(grams.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
                 .join(grams.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
         new = stored(meet.select("a", "b", "x", "y").mapInArrow(
             verified(threshold), "a long, b long"), "gram-links")

@@ -32,7 +32,7 @@ from twinreach.session import scratch_path
 
 # a vocabulary file is sent to the tasks; one beyond this is refused
 MAX_VOCABULARY = 64 << 20
-MEMO_PIECES = 3_000_000
+MEMO_PIECES = 1_500_000
 
 
 def vocabulary(path: str) -> bytes:

@@ -156,7 +156,7 @@ class Lexicon(dict):
     (has a pattern, has a clause end, [(class, weight, word)]).  A piece is
     taken apart once and kept while there is room."""
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __init__(self, learned: dict[str, float]):
         super().__init__()
