@@ -131,4 +131,29 @@ ORACLE: dict[str, str] = {
             FROM a JOIN v USING (entry) WHERE since <= fetched AND fetched < until GROUP BY r)
         SELECT page_id, host, fetched, b.r IS NOT NULL AS blocked, coalesce(n_active, 0) AS n_active,
                entry, since FROM h LEFT JOIN b USING (r)""",
+    "op8_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS span
+            FROM (SELECT *, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+                  FROM b WHERE len(w) > 0)),
+        dw AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS span
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+        h AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, span)),
+        c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h)
+              GROUP BY r),
+        t AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM h) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)""",
 }
