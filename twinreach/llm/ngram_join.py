@@ -215,8 +215,8 @@ RANGES = 256
 
 
 def collected(ngram: int):
-    """The sets as packed arrays, and how many n-grams each has in RANGES
-    ranges of hashes."""
+    """The sets with the given digests as packed arrays, and how many n-grams
+    each has in RANGES ranges of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,12 +227,13 @@ def collected(ngram: int):
                                      minlength=len(sizes) * RANGES).reshape(-1, RANGES)
                 # a count that does not fit two bytes: the text is never ruled out
                 counts[counts.max(axis=1) > 0xFFFF] = 0xFFFF
+                own = [batch.column(c).slice(base, len(sizes)).to_numpy() for c in ("d1", "d2")]
+                same = pa.array((d[:, 0] == own[0]) & (d[:, 1] == own[1]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rep").slice(base, len(sizes)), pa.array(sizes.astype(np.int32)),
-                     pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
                      pa.array([c.tobytes() for c in counts.astype("<u2")], pa.binary()),
                      pa.array([gram[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-                    ["rep", "n", "d1", "d2", "ranges", "grams"])
+                    ["rep", "n", "ranges", "grams"]).filter(same)
 
     return run
 
@@ -354,13 +355,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     postings = stored(found, "gram-node-postings")
 
     alive = postings.select("rep").distinct()
-    texts = source.join(alive, source["id"] == alive["rep"]).select("rep", "body")
-    grams = texts.mapInArrow(
-        collected(ngram), "rep long, n int, d1 long, d2 long, ranges binary, grams binary")
     # a repeated id can stand beside other sets; the node's own is kept
-    own = reps.select("rep", "d1", "d2")
-    grams = stored(grams.join(own, ["rep", "d1", "d2"]).dropDuplicates(["rep", "d1", "d2"])
-                   .select("rep", "n", "ranges", "grams"), "gram-values")
+    own = stored(reps.join(alive, "rep", "left_semi").select("rep", "d1", "d2"), "gram-alive")
+    texts = source.join(own, source["id"] == own["rep"]).select("rep", "d1", "d2", "body")
+    grams = texts.mapInArrow(
+        collected(ngram), "rep long, n int, ranges binary, grams binary")
+    grams = stored(grams, "gram-values")
 
     # an id with several sets is one document: its sets are linked
     several = nodes.where("rep is not null").groupBy("id").agg(
@@ -384,8 +384,11 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
                  .join(grams.select(F.col("rep").alias("b"), F.col("ranges").alias("y"), "n"), "b"))
         likely = stored(small.select("a", "b", "x", "y", "m", "n").mapInArrow(
             plausible(threshold), "a long, b long"), "gram-likely")
-        meet = (likely.join(grams.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
-                .join(grams.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
+        # only the sets of these pairs are shuffled
+        used = stored(likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "gram-used")
+        sets_used = stored(grams.join(used, "rep", "left_semi").select("rep", "grams"), "gram-sets-used")
+        meet = (likely.join(sets_used.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
+                .join(sets_used.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
         new = stored(meet.select("a", "b", "x", "y").mapInArrow(
             verified(threshold), "a long, b long"), "gram-links")
         if has_rows(new):
