@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinreach.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
-from twinreach.llm.common import has_rows, stored, table
+from twinreach.llm.common import free_name, has_rows, numbered, stored, table
 from twinreach.llm.queries import vocabulary_path
 
 
@@ -44,13 +44,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go.  A row with a
-    null id is judged by its text alone like any other."""
-    items = table(spark, sf_dir, "benchmark")
-    found = decontaminate.contamination(docs, items)
-    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct(),
+    """Rows that hold a passage of a benchmark item go.  Every row is judged
+    by its text alone, whether its id is null, repeated or its own."""
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row, "numbered-documents")
+    gone = stored(decontaminate.contaminated_rows(rows, table(spark, sf_dir, "benchmark"), row),
                   "contaminated")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti").select(docs.columns)
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

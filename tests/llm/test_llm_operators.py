@@ -605,3 +605,15 @@ def test_pipeline_stages_take_edge_cases(spark, tmp_path):
         assert f(spark, docs.limit(0), SF).count() == 0
     once = corpus_pipeline.drop_near_copies(spark, docs, SF)
     assert sum(r["doc_id"] == 8 for r in once.collect()) == 1
+
+
+def test_pipeline_contamination_is_by_row(spark):
+    """Of rows that share an id, or have none, only those with a passage go."""
+    passage = table(spark, SF, "benchmark").where("text is not null").orderBy("item_id").first()["text"]
+    rows = [(None, passage), (None, "clean without id"), (None, None), (7, passage),
+            (7, "clean under a repeated id"), (8, "clean")]
+    docs = frame(spark, rows).withColumn("_row", F.lit("own"))
+    out = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(
+        r for r in rows if r[1] != passage)

@@ -107,8 +107,9 @@ def fingerprinted(lengths: list[int], bitmap: bytes | None, own_most: int | None
     return run
 
 
-def _prepared(df: DataFrame, id_col: str) -> DataFrame:
-    return df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+def _prepared(df: DataFrame, id_col: str, row: str | None = None) -> DataFrame:
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    return df.select(number.alias("row"), F.col(id_col).alias("id"),
                      F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
 
 
@@ -122,10 +123,11 @@ def _spans(found: DataFrame) -> DataFrame:
                       .alias("words"))
 
 
-def hits(docs: DataFrame, items: DataFrame, span: int = SPAN
+def hits(docs: DataFrame, items: DataFrame, span: int = SPAN, row: str | None = None
          ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three stored tables: documents (row, id, n_words), verified spans (row,
-    first, span, window) and the items of each window (window, item_id)."""
+    first, span, window) and the items of each window (window, item_id).
+    ``row`` names a column of ``docs`` with unique longs to use as its row."""
     lengths = list(range(1, span + 1))
     bench = stored(_prepared(items, "item_id").mapInArrow(
         fingerprinted(lengths, None, span), OUT), "items-fingerprints")
@@ -145,7 +147,7 @@ def hits(docs: DataFrame, items: DataFrame, span: int = SPAN
     for r in pieces.collect():
         bitmap[r["piece"] * (CHUNK // 8):(r["piece"] + 1) * (CHUNK // 8)] = r["bits"]
 
-    found = stored(_prepared(docs, "doc_id").mapInArrow(
+    found = stored(_prepared(docs, "doc_id", row).mapInArrow(
         fingerprinted(used, bytes(bitmap)), OUT), "document-fingerprints")
     documents = found.where("fp is null").select("row", "id", "n_words")
     joined = found.where("fp is not null").join(prints.select("fp").distinct(), "fp", "left_semi")
@@ -154,6 +156,12 @@ def hits(docs: DataFrame, items: DataFrame, span: int = SPAN
     return documents, verified, members
 
 
+def contaminated_rows(docs: DataFrame, items: DataFrame, row: str, span: int = SPAN) -> DataFrame:
+    """The numbers, in column ``row`` of ``docs``, of its contaminated rows."""
+    _, verified, _ = hits(docs, items, span, row)
+    return verified.select(F.col("row").alias(row)).distinct()
+
+
 def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` per row
     of ``docs``.
