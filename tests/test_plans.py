@@ -104,3 +104,32 @@ def test_key_report_counts_null_and_repeated_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     r = key_report(df, "k").collect()[0]
     assert (r.n_rows, r.null_keys, r.distinct_keys, r.duplicated_keys, r.duplicate_rows) == (5, 2, 2, 1, 2)
+
+
+def test_a_later_landing_brings_declared_columns_and_fractions(spark):
+    from twinreach.operators.conform import AUDIENCE_SILVER_SCHEMA, FEATURES_SCHEMA
+    from twinreach.plans.feature_pipeline import run_feature_pipeline
+
+    land = {n: scratch_path(spark, f"land-{n}") for n in ("audience", "seed", "impressions")}
+    root = scratch_path(spark, "later")
+
+    def landing(audience, columns, prices):
+        tb.write_json(spark.createDataFrame(audience, columns), land["audience"])
+        tb.write_json(spark.createDataFrame([("a",)], "user_id_seed string"), land["seed"])
+        tb.write_json(spark.createDataFrame([(str(p), p) for p in prices],
+                                            ["ImpressionID", "WinningPrice"]), land["impressions"])
+        return run_feature_pipeline(spark, land, root, as_of=fx.AS_OF)
+
+    first = landing([("a", 1.0), ("b", 2.0)], "user_id string, subscription_length double", [1, 2])
+    assert first.silver.columns == AUDIENCE_SILVER_SCHEMA.names
+    assert first.features.dtypes == [(f.name, f.dataType.simpleString()) for f in FEATURES_SCHEMA.fields]
+    assert first.kpi.collect()[0].ad_revenue == 3.0
+    then = landing([("c", 3.0, 0.5, "Basic", 4)],
+                   "user_id string, subscription_length double, ad_interaction_rate double, "
+                   "subscription_type string, num_children int", [0.25, 0.5])
+    got = {r.user_id: r for r in then.features.collect()}
+    assert sorted(got) == ["a", "b", "c"]
+    assert (got["c"].ad_interaction_rate, got["c"].num_children) == (0.5, 4)
+    assert (got["c"].ad_interaction_percentile, got["a"].ad_interaction_percentile) == (1.0, 0.0)
+    assert got["c"].monthly_subscription_revenue == 6.99 and got["a"].subscription_length == 1.0
+    assert then.kpi.collect()[0].ad_revenue == 3.75

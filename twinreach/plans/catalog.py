@@ -644,7 +644,11 @@ def _pipeline(spark, sf_dir):
 
 @query("pipeline_features")
 def q_pipeline_features(spark, sf_dir):
-    return _pipeline(spark, sf_dir).features
+    """The feature columns and those the audience brings; the other declared
+    columns are null throughout."""
+    brought = {*fx.audience(spark, sf_dir).columns, *cf.ddl_schema(cf.FEATURE_COLUMNS_DDL).names}
+    features = _pipeline(spark, sf_dir).features
+    return features.select(*[c for c in features.columns if c in brought])
 
 
 @query("pipeline_kpi")
