@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinreach.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
-from twinreach.llm.common import free_name, has_rows, numbered, stored, table
+from twinreach.llm.common import free_name, numbered, stored, table
 from twinreach.llm.queries import vocabulary_path
 
 
@@ -29,18 +29,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays,
-    once.  Rows with a null id are in no group and stay."""
-    groups = stored(ngram_join.near_groups(docs), "near-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = stored(groups.where("doc_id is not null").groupBy("doc_id").count()
-                      .where("count > 1").select("doc_id"), "near-repeated")
-    if not has_rows(repeated):
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(
-        once.select(docs.columns))
+    """Of each group of linked rows the one with the smallest id stays, one
+    row of it.  Rows are linked by their texts alone, so rows that share an id
+    stand for themselves.  Rows with a null id are in no group and stay."""
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row, "numbered-documents")
+    known = rows.where("doc_id is not null")
+    groups = stored(ngram_join.near_groups(known.select(F.col(row).alias("doc_id"), "text")),
+                    "near-groups").select(F.col("doc_id").alias(row), "component_id")
+    first = known.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(
+        F.min(F.struct("doc_id", row)).alias("_first"))
+    gone = stored(groups.select(row).join(first.select(F.col(f"_first.{row}").alias(row)), row,
+                                          "left_anti"), "near-copies")
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

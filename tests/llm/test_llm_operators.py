@@ -617,3 +617,16 @@ def test_pipeline_contamination_is_by_row(spark):
     assert out.columns == docs.columns
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(
         r for r in rows if r[1] != passage)
+
+
+def test_pipeline_near_copies_are_by_row(spark):
+    """Rows that share an id are linked only if their texts are."""
+    family = near_family(3, 200, 2, 8)
+    rows = [(1, "first text under an id that comes twice"), (1, family[0]), (2, family[1]),
+            (3, family[2]), (3, "another text without any copy here"), (4, "copied under one id"),
+            (4, "copied under one id"), (None, family[0]), (5, ""), (5, None)]
+    docs = frame(spark, rows).withColumn("_row", F.lit("own"))
+    out = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(
+        rows[i] for i in (0, 1, 4, 5, 7, 8, 9))
