@@ -9,9 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import (decontaminate, exact_dedup, line_dedup, ngram_join, packing,
-                           sharding, token_counts, toxicity,
-                           url_lists, warc)
+from twinreach.llm import (decontaminate, exact_dedup, fim, line_dedup, ngram_join, packing,
+                           sharding, token_counts, toxicity, url_lists, warc)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +63,14 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return fim.fim_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
-                          op7_url_lists, op8_decontamination, op9_sharding, op10_token_counts)
+                          op7_url_lists, op8_decontamination, op9_sharding, op10_token_counts,
+                          op11_fill_in_middle)
 }
 
 ORACLE: dict[str, str] = {
@@ -156,4 +160,26 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)""",
+    "op11_fill_in_middle": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        n AS (
+            SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a,
+                   ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                        WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM d),
+        p AS (
+            SELECT *, coalesce(array_to_string(u[1:least(a, b)], ''), '') AS pre,
+                   coalesce(array_to_string(u[least(a, b) + 1:greatest(a, b)], ''), '') AS mid,
+                   coalesce(array_to_string(u[greatest(a, b) + 1:n], ''), '') AS suf FROM n)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                      WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM p""",
 }
