@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import (decontaminate, exact_dedup, fim, line_dedup, ngram_join, packing,
-                           sharding, token_counts, toxicity, url_lists, warc)
+from twinreach.llm import (decontaminate, exact_dedup, fim, hard_negatives, line_dedup, ngram_join,
+                           packing, sharding, token_counts, toxicity, url_lists, warc)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,10 +67,14 @@ def op11_fill_in_middle(spark, sf_dir):
     return fim.fim_report(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
                           op7_url_lists, op8_decontamination, op9_sharding, op10_token_counts,
-                          op11_fill_in_middle)
+                          op11_fill_in_middle, op13_hard_negatives)
 }
 
 ORACLE: dict[str, str] = {
@@ -182,4 +186,25 @@ ORACLE: dict[str, str] = {
                       WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256 FROM p""",
+    "op13_hard_negatives": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT ar, anchor_id, r AS pr, vec_id AS positive_id, score AS positive_score FROM s
+            WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) <= 5)
+        SELECT p.anchor_id, positive_id,
+               row_number() OVER (PARTITION BY ar, pr ORDER BY score DESC, vec_id, r)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (ar)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }
