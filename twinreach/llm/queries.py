@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinreach.llm import (decontaminate, exact_dedup, fim, hard_negatives, line_dedup, ngram_join,
-                           packing, sharding, token_counts, toxicity, url_lists, warc)
+from twinreach.llm import (decontaminate, exact_dedup, fim, hard_negatives, line_dedup, lm_score,
+                           ngram_join, packing, sharding, token_counts, toxicity, url_lists, warc)
 from twinreach.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op11_fill_in_middle(spark, sf_dir):
     return fim.fim_report(table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark, sf_dir):
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark, sf_dir):
     return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
 
@@ -74,7 +78,7 @@ def op13_hard_negatives(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_warc, op2_line_dedup, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard_join,
                           op7_url_lists, op8_decontamination, op9_sharding, op10_token_counts,
-                          op11_fill_in_middle, op13_hard_negatives)
+                          op11_fill_in_middle, op12_lm_scores, op13_hard_negatives)
 }
 
 ORACLE: dict[str, str] = {
