@@ -96,14 +96,14 @@ class Words:
         return mix(h + np.uint64(k))
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, bounds) of runs of about SLICE bytes, a row at least."""
+def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, bounds) of runs of about ``size`` bytes, a row at least."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[
         column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         bounds = offsets[row:end + 1]
         yield row, data[bounds[0]:bounds[-1]], bounds - bounds[0]
