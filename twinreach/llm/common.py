@@ -8,6 +8,10 @@ ids handed out while a table is written never change afterwards.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +40,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` (batches to batches) that gives its memory back when a task
+    ends: Python workers are used again, and freed blocks would otherwise stay
+    with them beside the next stage's."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
