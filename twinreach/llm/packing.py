@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import numbered, ranked_within
+from twinreach.llm.common import numbered, ranked_within, tidy
 from twinreach.llm.token_counts import PieceEncoder, vocabulary
 
 CAPACITY = 2048
@@ -192,5 +192,5 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACI
     often as they occur; a null id stays null.  Other columns are not read.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
-    pieces = rows.mapInArrow(cut_pieces(vocabulary(vocabulary_path), capacity, end_id), _PIECES)
+    pieces = rows.mapInArrow(tidy(cut_pieces(vocabulary(vocabulary_path), capacity, end_id)), _PIECES)
     return packed(pieces, capacity, grain)

@@ -6,8 +6,9 @@ digest); only the distinct contents that miss are encoded, and their counts
 are appended to the cache, so a later run over grown data encodes what is new.
 
 Normalising collapses runs of the white-space that the vocabulary's own
-pattern drops.  Only digests and ids are shuffled for the lookup; texts are
-shuffled once, for the rows that stand for a missing content.
+pattern drops.  Digests are taken once, into a narrow table of ids, lengths
+and digests, and only that is shuffled for the lookup; texts are shuffled
+once, for the rows that stand for a missing content.
 
 Inside a task a text is encoded piece by piece: the vocabulary's split
 pattern never crosses white-space, so the pieces' ids in a row are the
@@ -26,13 +27,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import free_name, stored
+from twinreach.llm.common import stored, tidy
 from twinreach.llm.words import PIECE, Words, slices
 from twinreach.session import scratch_path
 
 # a vocabulary file is sent to the tasks; one beyond this is refused
 MAX_VOCABULARY = 64 << 20
-MEMO_PIECES = 1_500_000
+# what an encoder keeps: pieces of 16 bytes each, and their ids of 4 bytes each
+MEMO_PIECES = 600_000
+MEMO_IDS = 4 << 20
+RECENT = 1 << 15  # pieces learned before they join the others
 
 
 def vocabulary(path: str) -> bytes:
@@ -56,8 +60,9 @@ class PieceEncoder:
 
     Pieces are told apart by 64-bit hashes.  The memo holds the hashes in
     order, and where the ids of each piece lie in one long array (without
-    ``keep_ids``, only how many there are).  It takes some 30 bytes a piece
-    and starts anew when it is full.
+    ``keep_ids``, only how many there are).  New pieces stand apart and join
+    the others some thousands at a time.  The memo starts anew when it is
+    full, so it takes some 10 MB for the pieces and 16 MB for their ids.
     """
 
     def __init__(self, raw: bytes, keep_ids: bool, most: int = MEMO_PIECES):
@@ -69,10 +74,16 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        none = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        self.known, self.recent = none, none  # keys in order, begins, sizes
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
 
+    @staticmethod
+    def _joined(some: tuple, more: tuple) -> tuple:
+        keys = np.concatenate((some[0], more[0]))
+        order = np.argsort(keys, kind="stable")
+        return keys[order], *(np.concatenate((a, b))[order] for a, b in zip(some[1:], more[1:]))
+
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         """Encode new pieces; ``keys`` are in order."""
         sizes, ids = [], []
@@ -85,12 +96,19 @@ class PieceEncoder:
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         self.ids[self.used:self.used + len(ids)] = ids
         new = np.array(sizes, np.int64)
-        begins = self.used + np.cumsum(new) - new
+        begins = (self.used + np.cumsum(new) - new if self.keep_ids else np.zeros(len(new)))
         self.used += len(ids)
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.begins = np.insert(self.begins, at, begins)
-        self.sizes = np.insert(self.sizes, at, new)
+        self.recent = self._joined(self.recent, (keys, begins.astype(np.uint32), new.astype(np.uint32)))
+
+    @staticmethod
+    def _found(memo: tuple, keys: np.ndarray, begins: np.ndarray, sizes: np.ndarray,
+               missing: np.ndarray) -> None:
+        """Fill in what ``memo`` has of ``keys``."""
+        if len(memo[0]):
+            at = np.minimum(np.searchsorted(memo[0], keys), len(memo[0]) - 1)
+            hit = memo[0][at] == keys
+            begins[hit], sizes[hit] = memo[1][at[hit]], memo[2][at[hit]]
+            missing &= ~hit
 
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
         """(number of texts, words, ids per word, where a word's ids begin in
@@ -99,19 +117,22 @@ class PieceEncoder:
             # special strings are known by their case, so it is kept near one
             special = b"<|" in data.tobytes()
             words = Words(data, bounds, PIECE, lower=not special, parted=True)
-            if len(self.keys) > self.most:
+            if len(self.known[0]) + len(self.recent[0]) > self.most or self.used > MEMO_IDS:
                 self._reset()
+            elif len(self.recent[0]) > RECENT:
+                self.known, self.recent = self._joined(self.known, self.recent), tuple(
+                    c[:0] for c in self.recent)
             keys, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
-            at = np.searchsorted(self.keys, keys)
-            known = np.zeros(len(keys), bool)
-            inner = at < len(self.keys)
-            known[inner] = self.keys[at[inner]] == keys[inner]
-            if not known.all():
-                raw, new = words.raw(), first[~known]
-                self._learn(keys[~known], [raw[s:e].decode("utf-8") for s, e in zip(
+            begins, counts = np.zeros((2, len(keys)), np.int64)
+            missing = np.ones(len(keys), bool)
+            for memo in (self.known, self.recent):
+                self._found(memo, keys, begins, counts, missing)
+            if missing.any():
+                raw, new = words.raw(), first[missing]
+                self._learn(keys[missing], [raw[s:e].decode("utf-8") for s, e in zip(
                     words.start[new].tolist(), words.end[new].tolist())])
-                at = np.searchsorted(self.keys, keys)
-            yield len(bounds) - 1, words, self.sizes[at][place], self.begins[at][place]
+                self._found(self.recent, keys, begins, counts, missing)
+            yield len(bounds) - 1, words, counts[place], begins[place]
 
 
 def count_batches(raw: bytes):
@@ -129,49 +150,45 @@ def count_batches(raw: bytes):
 
 def counted(docs: DataFrame, vocabulary_path: str, cache_path: str,
             text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``; missing counts are added to ``cache_path``.
+    """``doc_id, n_bytes, n_tokens`` per row of ``docs`` (``n_bytes`` in UTF-8);
+    missing counts are added to ``cache_path``.
 
-    ``docs`` must have ``doc_id`` and the text; every row of the input comes
-    back, repeated rows too, with their own columns.  Null counts as empty:
-    0 tokens.  The cache is a Parquet table (version, content, n_tokens); a
-    folder that does not exist yet is an empty cache.
+    Every row of the input comes back, repeated rows too.  Null counts as
+    empty: 0 bytes, 0 tokens.  The cache is a Parquet table (version, content,
+    n_tokens); a folder that does not exist yet is an empty cache.
     """
     spark = docs.sparkSession
     raw = vocabulary(vocabulary_path)
     version = version_digest(raw)
-    body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09\x0A\x0D]+", " ")
-    content = F.sha2(body, 256)
-    narrow = stored(docs.select("doc_id", content.alias("_content")), "token-digests")
-
-    cache = _cache(spark, cache_path)
-    known = (cache.where(F.col("version") == version)
-             .select(F.col("content").alias("_content"), "n_tokens"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # ``mark`` tells texts of one id apart, at less than a digest's cost
+    mark = F.xxhash64(text)
+    content = F.unhex(F.sha2(F.regexp_replace(text, r"[\x20\x09\x0A\x0D]+", " "), 256))
+    narrow = stored(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
+                                mark.alias("mark"), content.alias("content")), "token-digests")
+    known = _cache(spark, cache_path).where(F.col("version") == version).select("content", "n_tokens")
     # one row stands for each content that misses
-    firsts = (narrow.groupBy("_content").agg(F.min("doc_id").alias("_first"))
-              .join(known, "_content", "left_anti"))
-    texts = docs.select(F.col("doc_id").alias("_id"), body.alias("body"),
-                        F.sha2(body, 256).alias("content"))
-    texts = texts.withColumn("body", F.col("body").cast("binary"))
-    misses = texts.join(firsts, texts["_id"].eqNullSafe(firsts["_first"])
-                        & (texts["content"] == firsts["_content"]), "left_semi")
+    firsts = (narrow.groupBy("content").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+              .join(known, "content", "left_anti")
+              .select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"), "content"))
+    texts = docs.select("doc_id", mark.alias("mark"), text.cast("binary").alias("body"))
+    misses = texts.join(firsts, F.col("doc_id").eqNullSafe(F.col("_id"))
+                        & (F.col("mark") == F.col("_mark")))
     fresh = (misses.select("content", "body")
-             .mapInArrow(count_batches(raw), "content string, n_tokens long")
+             .mapInArrow(tidy(count_batches(raw)), "content binary, n_tokens long")
              # repeated rows of one id and content
              .dropDuplicates(["content"]))
     fresh.select(F.lit(version).alias("version"), "content", "n_tokens").write.mode(
         "append").parquet(cache_path)
     known = (_cache(spark, cache_path).where(F.col("version") == version)
-             .groupBy(F.col("content").alias("_content")).agg(F.max("n_tokens").alias("n_tokens")))
+             .groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     # as a table, so that contents held by many rows can be split in the join
     known = stored(known, "token-known")
-    docs = docs.drop("n_tokens")
-    key = free_name(docs, "content")
-    return docs.withColumn(key, content).join(
-        known.withColumnRenamed("_content", key), key).select(*docs.columns, "n_tokens")
+    return narrow.join(known, "content").select("doc_id", "n_bytes", "n_tokens")
 
 
 def _cache(spark, path: str) -> DataFrame:
-    schema = "version string, content string, n_tokens long"
+    schema = "version string, content binary, n_tokens long"
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -185,9 +202,5 @@ def token_counts(docs: DataFrame, vocabulary_path: str, cache_path: str | None =
     """``doc_id, n_bytes, n_tokens, over_limit`` per row of ``docs``; without
     ``cache_path`` the cache is a new table in the checkpoint folder."""
     path = cache_path or scratch_path(docs.sparkSession, "token-cache")
-    rows = docs.select("doc_id", "text")
-    narrow = counted(rows, vocabulary_path, path)
-    return narrow.select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return counted(docs, vocabulary_path, path).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
