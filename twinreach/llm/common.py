@@ -21,22 +21,24 @@ from twinreach.session import scratch_path
 WHITESPACE = r"[\x20\x09-\x0D]"
 
 
-# rows of a batch sent to Python; texts are long, and a batch is held whole on
-# both sides
-BATCH_ROWS = 500
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# rows and bytes of a batch sent to Python; texts are long, and a batch is held
+# whole on both sides
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+         "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder; return its scan."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_BATCH_CONF)
-    spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    before = {k: spark.conf.get(k) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_BATCH_CONF, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
