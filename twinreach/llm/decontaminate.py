@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import numbered, stored
+from twinreach.llm.common import numbered, stored, tidy
 from twinreach.llm.words import ALNUM, Words, slices
 
 SPAN = 10
@@ -130,7 +130,7 @@ def hits(docs: DataFrame, items: DataFrame, span: int = SPAN, row: str | None =
     ``row`` names a column of ``docs`` with unique longs to use as its row."""
     lengths = list(range(1, span + 1))
     bench = stored(_prepared(items, "item_id").mapInArrow(
-        fingerprinted(lengths, None, span), OUT), "items-fingerprints")
+        tidy(fingerprinted(lengths, None, span)), OUT), "items-fingerprints")
     item_ids = bench.where("fp is null").select("row", F.col("id").alias("item_id"))
     prints = bench.where("fp is not null")
     windows = _spans(prints)
@@ -148,7 +148,7 @@ def hits(docs: DataFrame, items: DataFrame, span: int = SPAN, row: str | None =
         bitmap[r["piece"] * (CHUNK // 8):(r["piece"] + 1) * (CHUNK // 8)] = r["bits"]
 
     found = stored(_prepared(docs, "doc_id", row).mapInArrow(
-        fingerprinted(used, bytes(bitmap)), OUT), "document-fingerprints")
+        tidy(fingerprinted(used, bytes(bitmap))), OUT), "document-fingerprints")
     documents = found.where("fp is null").select("row", "id", "n_words")
     joined = found.where("fp is not null").join(prints.select("fp").distinct(), "fp", "left_semi")
     verified = stored(_spans(joined).join(texts, "words")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import stored
+from twinreach.llm.common import stored, tidy
 
 STRIP = b"\x20\x09\x0a\x0b\x0c\x0d"
 MIN_DOCS = 10
@@ -199,10 +199,10 @@ def _dropped(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     text = F.col("text")
     rows = docs.select(F.col("doc_id").alias("id"), _text_hash(text).alias("text_hash"),
                        F.coalesce(text, F.lit("")).cast("binary").alias("body"))
-    keys = rows.mapInArrow(keyed(min_chars), _KEYS)
+    keys = rows.mapInArrow(tidy(keyed(min_chars)), _KEYS)
     order = ["h1", "h2", "id", "text_hash"]
     placed = keys.repartitionByRange(*order).sortWithinPartitions(*order)
-    marks = stored(placed.mapInArrow(streamed(min_docs), _MARKED), "line-marks")
+    marks = stored(placed.mapInArrow(tidy(streamed(min_docs)), _MARKED), "line-marks")
     settled = (marks.where(F.col("kind") == COUNT).groupBy("h1", "h2").agg(F.sum("n").alias("docs"))
                .where(F.col("docs") >= min_docs).select("h1", "h2"))
     late = marks.where(F.col("kind") == OPEN).join(settled, ["h1", "h2"], "left_semi")
@@ -234,7 +234,7 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
     """
     docs = docs.drop("n_lines", "n_dropped")
     maps = stored(_dropped(docs, min_docs, min_chars).mapInArrow(
-        _mapped(_longs, pa.list_(pa.int64())), _WORDS), "line-maps")
+        tidy(_mapped(_longs, pa.list_(pa.int64()))), _WORDS), "line-maps")
     maps = maps.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"),
                        F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_words"))
     joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_id"])

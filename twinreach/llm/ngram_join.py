@@ -6,9 +6,11 @@ threshold; the result is the connected components of the links.
 1. *Sets.*  Per document: size and a 128-bit digest of the set, and counts of
    all n-grams in a fixed number of hash buckets.  Documents with equal sets
    become one node, so a group of copies makes no pairs.
-2. *Rare-first prefix.*  n-grams are ordered by (count of the bucket, hash).
-   A set of n needs one of its first n - ceil(t n) + 1 n-grams in common with
-   any set it links to.  These prefixes are shuffled by n-gram, as packed
+2. *Rare-first prefix.*  n-grams are ordered by (count of the bucket, hash),
+   after them those that stand in many sets, by their own counts: each task
+   names the most frequent of what it read, and the names' counts are added
+   up.  A set of n needs one of its first n - ceil(t n) + 1 n-grams in common
+   with any set it links to.  These prefixes are shuffled by n-gram, as packed
    arrays; postings that can belong to a candidate pair are written out.
 3. *Pairs.*  Two nodes that share a prefix n-gram are a candidate pair if their
    sizes allow the threshold (length filter) and so many n-grams can follow
@@ -20,22 +22,25 @@ threshold; the result is the connected components of the links.
    between components is missed.
 4. *Verification*, once per pair.  A suffix filter compares how many n-grams
    the two sets have in each of 256 ranges of hashes; only pairs it cannot
-   rule out bring their sets together for the exact intersection.
+   rule out bring their sets together for the exact intersection.  Texts are
+   shuffled for nodes with a candidate pair only: a bit map of fixed size
+   keeps most of the others back.
 
 Components are found with large-star and small-star steps over the links.
-Only counts (for the bucket order, a fixed number) reach the driver.
+Only counts (of buckets and of frequent n-grams, fixed numbers) reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import has_rows, stored
+from twinreach.llm.common import has_rows, stored, tidy
 from twinreach.llm.words import NONBLANK, STEP, Words, mix, slices
 
 NGRAM = 5
@@ -43,6 +48,9 @@ THRESHOLD = 75  # per cent
 BUCKET_BITS = 16
 POSTINGS_PER_PART = 250_000
 STAR_ROUNDS = 2
+# frequent n-grams: read at once, named of these at most, and kept of all names
+COUNTED, NAMED, FREQUENT = 1 << 21, 1 << 14, 1 << 17
+LIVING_BITS = 1 << 25
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -80,30 +88,72 @@ def _digests(sizes: np.ndarray, text: np.ndarray, gram: np.ndarray) -> np.ndarra
     return out.view(np.int64)
 
 
-_SETS = "row long, id long, n int, d1 long, d2 long, bucket int, count long"
+_SETS = "row long, id long, n int, d1 long, d2 long, bucket int, gram long, count long"
 _SETS_ARROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("n", pa.int32()),
                          ("d1", pa.int64()), ("d2", pa.int64()), ("bucket", pa.int32()),
-                         ("count", pa.int64())])
+                         ("gram", pa.int64()), ("count", pa.int64())])
+
+
+class Seen:
+    """Sets met in a task: copies of one are told by size and digest."""
+
+    def __init__(self):
+        self.keys: set[tuple] = set()
+
+    def fresh(self, sizes: np.ndarray, digests: np.ndarray) -> np.ndarray:
+        """Which sets are not empty and were not met before."""
+        out = np.zeros(len(sizes), bool)
+        for i, (d, size) in enumerate(zip(digests.tolist(), sizes.tolist())):
+            key = (size, *d)
+            if size and key not in self.keys:
+                self.keys.add(key)
+                out[i] = True
+        return out
+
+
+def _named(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of the n-grams, at least twice there, with counts."""
+    gram, count = np.unique(np.concatenate(grams), return_counts=True)
+    gram, count = gram[count > 1], count[count > 1]
+    if len(gram) > NAMED:
+        top = np.argpartition(-count, NAMED)[:NAMED]
+        gram, count = gram[top], count[top]
+    return gram, count
 
 
 def measured(ngram: int):
+    def rows(**columns) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays(
+            [columns.get(f.name, pa.nulls(size, f.type)) for f in _SETS_ARROW], schema=_SETS_ARROW)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
+        seen, held, size = Seen(), [], 0
+
+        def name() -> pa.RecordBatch:
+            gram, count = _named(held)
+            return rows(gram=pa.array(gram.view(np.int64)), count=pa.array(count))
+
         for batch in batches:
             for base, sizes, text, gram in _sets(batch.column("body"), ngram):
+                d = _digests(sizes, text, gram)
+                gram = gram[seen.fresh(sizes, d)[text]]
                 total += np.bincount((gram >> np.uint64(64 - BUCKET_BITS)).astype(np.int64),
                                      minlength=len(total))
-                d = _digests(sizes, text, gram)
+                held.append(gram)
+                size += len(gram)
+                if size >= COUNTED:
+                    yield name()
+                    held, size = [], 0
                 k = len(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(base, k), batch.column("id").slice(base, k),
-                     pa.array(sizes.astype(np.int32)), pa.array(d[:, 0].copy()),
-                     pa.array(d[:, 1].copy()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())],
-                    schema=_SETS_ARROW)
+                yield rows(row=batch.column("row").slice(base, k), id=batch.column("id").slice(base, k),
+                           n=pa.array(sizes.astype(np.int32)), d1=pa.array(d[:, 0].copy()),
+                           d2=pa.array(d[:, 1].copy()))
+        if size:
+            yield name()
         some = np.flatnonzero(total)
-        none = [pa.nulls(len(some), f.type) for f in list(_SETS_ARROW)[:5]]
-        yield pa.RecordBatch.from_arrays(
-            [*none, pa.array(some.astype(np.int32)), pa.array(total[some])], schema=_SETS_ARROW)
+        yield rows(bucket=pa.array(some.astype(np.int32)), count=pa.array(total[some]))
 
     return run
 
@@ -113,27 +163,62 @@ _PACKED_ARROW = pa.schema([("part", pa.int32()), ("grams", pa.binary()), ("ids",
                            ("sizes", pa.binary()), ("places", pa.binary())])
 
 
-def prefixes(ngram: int, threshold: int, rank: np.ndarray, parts: int):
+@dataclass
+class Rarity:
+    """The order of n-grams: by ``rank`` of the bucket, then the frequent ones
+    (sorted) by their counts."""
+
+    rank: np.ndarray
+    grams: np.ndarray
+    counts: np.ndarray
+
+    def __call__(self, gram: np.ndarray) -> np.ndarray:
+        out = self.rank[(gram >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+        if len(self.grams):
+            at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+            out = np.where(self.grams[at] == gram, len(self.rank) + self.counts[at], out)
+        return out
+
+
+def rarity(sets: DataFrame) -> Rarity:
+    """From the counts of all tasks; at most FREQUENT n-grams are kept, those
+    from the lowest power of two on at which they fit."""
+    named = (sets.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("n"))
+             .withColumn("level", F.floor(F.log2("n")).cast("int")))
+    named = stored(named, "gram-frequent")
+    sizes = np.zeros(65, np.int64)
+    for r in named.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["level"]] = r["n"]
+    least = int(np.flatnonzero(sizes[::-1].cumsum()[::-1] <= FREQUENT)[0])
+    top = named.where(F.col("level") >= least).select("gram", "n").toArrow()
+    grams = top.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(grams)
+    grams, often = grams[order], top.column("n").to_numpy()[order]
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for r in (sets.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("n"))
+              .toLocalIterator()):
+        counts[r["bucket"]] = r["n"]
+    # what stands apart does not make its bucket frequent
+    np.subtract.at(counts, (grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), often)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    return Rarity(rank, grams, often)
+
+
+def prefixes(ngram: int, threshold: int, rare: Rarity, parts: int):
     """Packed postings of the prefixes, an array per part and batch.  A set
     seen before in the task is left out: its copies are the same node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()
+        seen = Seen()
         for batch in batches:
             ids_all = batch.column("id").to_numpy(zero_copy_only=False)
             found = []
             for base, sizes, text, gram in _sets(batch.column("body"), ngram):
-                digests = _digests(sizes, text, gram).tolist()
-                fresh = np.zeros(len(sizes), bool)
-                for i, (d, size) in enumerate(zip(digests, sizes.tolist())):
-                    key = (size, *d)
-                    if size and key not in seen:
-                        seen.add(key)
-                        fresh[i] = True
+                fresh = seen.fresh(sizes, _digests(sizes, text, gram))
                 keep = fresh[text]
                 text, gram = text[keep], gram[keep]
-                order = np.lexsort((gram, rank[(gram >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)],
-                                    text))
+                order = np.lexsort((gram, rare(gram), text))
                 text, gram = text[order], gram[order]
                 size = np.where(fresh, sizes, 0)
                 first = np.concatenate(([0], np.cumsum(size)[:-1]))
@@ -316,6 +401,22 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+def living(source: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``source`` (id, ...) whose id can be among ``nodes`` (rep):
+    all that are, and some that share a bit with one."""
+    def place(column: str):
+        return F.xxhash64(column).bitwiseAND(F.lit(LIVING_BITS - 1))
+
+    bits = (nodes.select(place("rep").alias("place"))
+            .select(F.shiftright("place", 6).alias("word"),
+                    F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
+            .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    at = source.withColumn("place", place("id"))
+    # LIVING_BITS / 64 rows of two numbers at most
+    return (at.join(F.broadcast(bits), F.shiftright("place", 6) == F.col("word"))
+            .where(F.expr("getbit(bits, cast(place & 63 as int)) = 1")).select(source.columns))
+
+
 def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD,
                  star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): a row (row, id, n, rep) per row of ``docs``, ``rep``
@@ -325,7 +426,7 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")
     source = docs.select(F.col("doc_id").alias("id"), body)
     sets = stored(source.withColumn("row", F.monotonically_increasing_id())
-                  .mapInArrow(measured(ngram), _SETS), "gram-sets")
+                  .mapInArrow(tidy(measured(ngram)), _SETS), "gram-sets")
     rows = sets.where("row is not null").select("row", "id", "n", "d1", "d2")
     full = rows.where("n > 0 and id is not null")
     reps = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
@@ -336,19 +437,14 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
                              & (F.col("d2") == F.col("e2")) & F.col("id").isNotNull(), "left")
                    .select("row", "id", "n", "rep"), "gram-rows")
 
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in (sets.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("n"))
-              .toLocalIterator()):
-        counts[r["bucket"]] = r["n"]
-    rank = np.empty(len(counts), np.int32)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.int32)
-    most = int(counts.sum()) * (100 - threshold) // 100
+    rare = rarity(sets)
+    most = (full.agg(F.sum("n")).first()[0] or 0) * (100 - threshold) // 100
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), most // POSTINGS_PER_PART)
 
     packed = source.where("id is not null").mapInArrow(
-        prefixes(ngram, threshold, rank, parts), _PACKED)
+        tidy(prefixes(ngram, threshold, rare, parts)), _PACKED)
     found = stored(packed.repartition("part").sortWithinPartitions("part")
-                   .mapInArrow(shared(threshold), _SHARED), "gram-postings")
+                   .mapInArrow(tidy(shared(threshold)), _SHARED), "gram-postings")
     # ids to nodes; copies in different tasks meet here
     known = nodes.where("rep is not null").select("id", "n", "rep").distinct()
     found = found.join(known, ["id", "n"]).select("gram", "rep", "n", "pos").distinct()
@@ -357,9 +453,9 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     alive = postings.select("rep").distinct()
     # a repeated id can stand beside other sets; the node's own is kept
     own = stored(reps.join(alive, "rep", "left_semi").select("rep", "d1", "d2"), "gram-alive")
-    texts = source.join(own, source["id"] == own["rep"]).select("rep", "d1", "d2", "body")
+    texts = living(source, own).join(own, F.col("id") == F.col("rep")).select("rep", "d1", "d2", "body")
     grams = texts.mapInArrow(
-        collected(ngram), "rep long, n int, ranges binary, grams binary")
+        tidy(collected(ngram)), "rep long, n int, ranges binary, grams binary")
     grams = stored(grams, "gram-values")
 
     # an id with several sets is one document: its sets are linked
@@ -383,14 +479,14 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
                                          F.col("n").alias("m")), "a")
                  .join(grams.select(F.col("rep").alias("b"), F.col("ranges").alias("y"), "n"), "b"))
         likely = stored(small.select("a", "b", "x", "y", "m", "n").mapInArrow(
-            plausible(threshold), "a long, b long"), "gram-likely")
+            tidy(plausible(threshold)), "a long, b long"), "gram-likely")
         # only the sets of these pairs are shuffled
         used = stored(likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "gram-used")
         sets_used = stored(grams.join(used, "rep", "left_semi").select("rep", "grams"), "gram-sets-used")
         meet = (likely.join(sets_used.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
                 .join(sets_used.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
         new = stored(meet.select("a", "b", "x", "y").mapInArrow(
-            verified(threshold), "a long, b long"), "gram-links")
+            tidy(verified(threshold)), "a long, b long"), "gram-links")
         if has_rows(new):
             # a component's links are kept as (node, smallest node)
             links = labels.select(F.col("comp").alias("a"), F.col("rep").alias("b")).unionByName(new)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinreach.llm.common import stored
+from twinreach.llm.common import stored, tidy
 
 MAX_FIT = 20_000
 MAX_LEXICON = 50_000
@@ -277,7 +277,7 @@ def learn_lexicon(rows: DataFrame, max_lexicon: int = MAX_LEXICON) -> dict[str,
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).alias("toxic"))
              .agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(True, 0) + 1.0, sizes.get(False, 0) + 1.0
-    counts = (rows.select("text", "toxic").mapInArrow(_counted, "feature string, a long, b long")
+    counts = (rows.select("text", "toxic").mapInArrow(tidy(_counted), "feature string, a long, b long")
               .groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
               .where(F.col("a") >= MIN_TOXIC))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
@@ -318,7 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Model:
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     rows = stored(rows.select("doc_id", "text", "toxic"), "toxicity-fit")
     learned = learn_lexicon(rows)
-    got = (rows.mapInArrow(_features(learned, ["doc_id", "toxic"]),
+    got = (rows.mapInArrow(tidy(_features(learned, ["doc_id", "toxic"])),
                            "doc_id long, toxic int, x array<double>")
            .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())  # one row per sampled id
     y = np.array([float(r["toxic"] > 0) for r in got])
@@ -377,7 +377,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
                  pa.array(scores(batch.column("text")))], ["doc_id", "held_out", "score"])
 
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
-    out = rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
+    out = rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -391,4 +391,4 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column("text")) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
