@@ -24,15 +24,18 @@ PERCENTILES = {
 
 def lal_features(silver: DataFrame, as_of=None, prices=PRICES_AS_PUBLISHED,
                  churn_days: int = CHURN_DAYS,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, percentiles: dict[str, str] | None = None) -> DataFrame:
     """Silver audience -> feature table.
 
     Adds population percent ranks of ad rate, watch time and subscription
     length; days since the last session (relative to ``as_of``, default
     today); the churn flag; and the monthly subscription revenue by tier.
-    Percentiles of columns the input lacks are skipped.
+    Percentiles of columns the input lacks are skipped; ``percentiles`` names
+    others than the three (an empty one computes none, for callers that read
+    none: the ranks are written tables, which column pruning cannot drop).
     """
-    ranks = {s: o for s, o in PERCENTILES.items() if s in silver.columns}
+    wanted = PERCENTILES if percentiles is None else percentiles
+    ranks = {s: o for s, o in wanted.items() if s in silver.columns}
     out = global_percent_ranks(silver, ranks, buckets)
     return (out
             .withColumn("days_since_last_session", days_since("last_login_date", as_of).cast("int"))

@@ -86,6 +86,62 @@ def limit_ordered(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+RANGES = 1024  # ranges of values counted in one scan
+
+
+def _nth_value(df: DataFrame, column: Column, n: int) -> tuple[object, int]:
+    """(v, m): the n-th smallest value of ``column`` (no nulls), and how many
+    rows with v are among the first n.  Each scan counts RANGES ranges between
+    the least and the largest value and goes on with the one that holds the
+    n-th row, so a constant number of rows reaches the driver."""
+    rows = df.select(column.alias("v"))
+    low, high = rows.agg(F.min("v"), F.max("v")).first()
+    while low != high:
+        # differences are exact before they are divided; places never fall as values grow
+        share = (F.col("v") - F.lit(low)).cast("double") / (F.lit(high) - F.lit(low)).cast("double")
+        found = (rows.where(F.col("v").between(F.lit(low), F.lit(high)))
+                 .groupBy(F.floor(share * RANGES).alias("at"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+                 .orderBy("at").collect())  # RANGES + 1 rows at most
+        for r in found:
+            if n <= r["n"]:
+                low, high = r["a"], r["b"]
+                break
+            n -= r["n"]
+    return low, n
+
+
+def limit_large(df: DataFrame, n: int, *order: tuple[str, bool]) -> DataFrame:
+    """First ``n`` rows by numeric columns ``(name, ascending)``, for an ``n``
+    in the millions: the rows are filtered by a threshold and come back in
+    any order, without a sort or a single task.
+
+    The threshold is found column by column: the n-th value of the first one,
+    then, among the rows that tie there, the value of the next.  Nulls sort
+    first when ascending and last when descending, as in Spark.  Rows that tie
+    in all columns are interchangeable; so many of them are taken as are
+    missing.
+    """
+    if n <= 0:
+        return df.limit(0)
+    keys = []
+    for name, ascending in order:
+        null = F.col(name).isNull()
+        keys.append(F.when(null, 0 if ascending else 1).otherwise(1 if ascending else 0))
+        value = F.col(name) if ascending else -F.col(name)
+        keys.append(F.when(null, F.lit(0).cast(df.schema[name].dataType)).otherwise(value))
+    if n >= df.count():
+        return df
+    before, tied, left = F.lit(False), F.lit(True), n
+    for key in keys:
+        value, left = _nth_value(df.where(tied), key, left)
+        before = before | (tied & (key < F.lit(value)))
+        tied = tied & (key == F.lit(value))
+    if df.where(tied).count() == left:
+        return df.where(before | tied)
+    return df.where(before).unionByName(df.where(tied).limit(left))
+
+
 def latest_row(df: DataFrame, ts: str, tiebreak: str | None = None) -> DataFrame:
     """The row with the greatest ``ts`` (ties: greatest ``tiebreak``)."""
     order = [F.col(ts).desc()] + ([F.col(tiebreak).desc()] if tiebreak else [])

@@ -16,7 +16,8 @@ for each distinct value, how many rows sort strictly before it:
    null-safely, to narrow (row, column, value) rows.  The ranks of a row are
    gathered and joined to the wide table once, by row.
 
-Columns of one type share every step above.  Nulls sort first (Spark's
+Columns of one type share every step above; smaller numbers are widened to
+``bigint`` or ``double`` first, which keeps every value.  Nulls sort first (Spark's
 ascending default).  Results equal the built-in exactly, ties included.
 """
 
@@ -30,6 +31,10 @@ from twinreach.session import cut_lineage
 _ROW, _C, _V, _N, _AT, _RANGE, _P = "_pr_row", "_pr_c", "_pr_v", "_pr_n", "_pr_at", "_pr_range", "_pr_p"
 
 
+# exact widenings, so that more columns share a pass
+WIDENED = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "float": "double"}
+
+
 def value_ranks(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
     """``_pr_c, _pr_v, _pr_p`` for (column number, value) rows: the percent
     rank of every distinct value among its column's rows, in a written table.
@@ -69,12 +74,13 @@ def global_percent_ranks(df: DataFrame, columns: dict[str, str],
     wide = cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()))
     kinds: dict[str, list[str]] = {}
     for source in columns:
-        kinds.setdefault(wide.schema[source].dataType.simpleString(), []).append(source)
+        kind = wide.schema[source].dataType.simpleString()
+        kinds.setdefault(WIDENED.get(kind, kind), []).append(source)
     number = {source: i for i, source in enumerate(columns)}
     found = None
-    for sources in kinds.values():
+    for kind, sources in kinds.items():
         pairs = wide.select(_ROW, F.explode(F.array(*[
-            F.struct(F.lit(number[c]).alias(_C), F.col(c).alias(_V)) for c in sources])).alias("_pr_s")
+            F.struct(F.lit(number[c]).alias(_C), F.col(c).cast(kind).alias(_V)) for c in sources])).alias("_pr_s")
         ).select(_ROW, "_pr_s.*")
         ranks = value_ranks(pairs.select(_C, _V), buckets).select(
             F.col(_C).alias("_pr_d"), F.col(_V).alias("_pr_w"), _P)

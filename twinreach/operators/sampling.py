@@ -8,6 +8,8 @@ partitioning; they are kept for parity with the reference.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +18,35 @@ from twinreach.functions.columns import hash60, md5_bucket
 _TWO32 = float(2 ** 32)
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Poisson sample with replacement (rows may repeat)."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def poisson_steps(mean: float) -> list[int]:
+    """The Poisson distribution function in units of 2**-60, as far as it is
+    below one: a 60-bit number u stands for as many draws as steps are <= u."""
+    steps, p, total, k = [], math.exp(-mean), 0.0, 0
+    while True:
+        total += p
+        if total >= 1.0 or (k > mean and p < 2.0 ** -60):
+            return steps
+        steps.append(int(total * 2.0 ** 60))
+        k += 1
+        p *= mean / k
+
+
+def sample_with_replacement(df: DataFrame, fraction: float, seed: int, key=None) -> DataFrame:
+    """Poisson sample with replacement (rows may repeat).
+
+    With ``key`` the draws of a row depend on the seed and its key alone: the
+    60-bit digest of both goes through the inverse Poisson distribution.  The
+    sample is the same under any partitioning, after a lost executor and in
+    SQL; nothing is shuffled.  Rows that share a key are drawn equally often,
+    so repeated rows need a key that tells them apart.  Null keys count as the
+    empty text.  Without ``key`` this is Spark's own sample."""
+    if key is None:
+        return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+    u = hash60(key, salt=str(seed))
+    draws = sum((F.when(u >= F.lit(s), 1).otherwise(0) for s in poisson_steps(fraction)), F.lit(0))
+    return (df.withColumn("_draws", draws).where(F.col("_draws") > 0)
+            .withColumn("_draw", F.explode(F.sequence(F.lit(1), F.col("_draws"))))
+            .drop("_draws", "_draw"))
 
 
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:

@@ -114,12 +114,12 @@ def q_features(spark, sf_dir):
 
 @query("churn_count")
 def q_churn_count(spark, sf_dir):
-    return kp.churn_count(features_frame(spark, sf_dir))
+    return kp.churn_count(features_frame(spark, sf_dir, percentiles={}))
 
 
 @query("kpi")
 def q_kpi(spark, sf_dir):
-    return kp.kpi(features_frame(spark, sf_dir), fx.impressions(spark, sf_dir))
+    return kp.kpi(features_frame(spark, sf_dir, percentiles={}), fx.impressions(spark, sf_dir))
 
 
 @query("kpi_subcent")
@@ -127,7 +127,7 @@ def q_kpi_subcent(spark, sf_dir):
     """Ad prices of a fraction of a cent, one per line item."""
     prices = tb.table(spark, sf_dir, "lineitem").select(
         (F.col("l_discount").cast("double") / 25).alias("WinningPrice"))
-    return kp.kpi(features_frame(spark, sf_dir), prices)
+    return kp.kpi(features_frame(spark, sf_dir, percentiles={}), prices)
 
 
 @query("epoch_login")
@@ -225,7 +225,14 @@ def labelled_audience(spark, sf_dir):
 
 @query("sample_wr")
 def q_sample_wr(spark, sf_dir):
-    return sm.sample_with_replacement(fx.labelled(spark, sf_dir), 0.30, 1)
+    return sm.sample_with_replacement(fx.labelled(spark, sf_dir), 0.30, 1, key="user_id")
+
+
+@query("sample_wr_lines")
+def q_sample_wr_lines(spark, sf_dir):
+    """More than one draw a row on average, by a key of two columns."""
+    li = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return sm.sample_with_replacement(li, 1.7, 5, key=F.concat_ws("-", "l_orderkey", "l_linenumber"))
 
 
 @query("random_split_rows")
@@ -318,6 +325,24 @@ def q_limit_ordered(spark, sf_dir):
     return fr.limit_ordered(a, 10, F.col("avg_daily_watch_time").desc(), F.col("user_id"))
 
 
+@query("limit_large")
+def q_limit_large(spark, sf_dir):
+    """A third of all line items, the dearest, ties by key."""
+    li = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return fr.limit_large(li, li.count() // 3, ("l_extendedprice", False), ("l_orderkey", True),
+                          ("l_linenumber", True))
+
+
+@query("limit_large_ties")
+def q_limit_large_ties(spark, sf_dir):
+    """Half of the line items by a column of few values, some of them null."""
+    li = tb.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") % 3 != 1, F.col("l_quantity")).alias("quantity"))
+    return fr.limit_large(li, li.count() // 2, ("quantity", True), ("l_linenumber", False),
+                          ("l_orderkey", True))
+
+
 @query("latest_row")
 def q_latest_row(spark, sf_dir):
     return fr.latest_row(fx.impressions(spark, sf_dir), "Timestamp", "ImpressionID")
@@ -407,8 +432,10 @@ def q_features_vector(spark, sf_dir):
 
 @query("gbt_score")
 def q_gbt_score(spark, sf_dir):
+    """Every user scored, with the side it was on."""
     res = tr.fit_gbt(_training(spark, sf_dir))
-    return md.score(res.model, res.test, res.numeric, keep=["user_id", "label"])
+    rows = res.data.withColumn("side", sm.split_side("user_id", 0.7, 42))
+    return md.score(res.model, rows, res.numeric, keep=["user_id", "label", "side"])
 
 
 @query("score_rounded")
@@ -600,6 +627,21 @@ def q_rescue_records(spark, sf_dir):
     return spark.read.parquet(target).select("user_id", "avg_daily_watch_time", "gender", cf.RESCUED)
 
 
+@query("ingest_repeated_keys")
+def q_ingest_repeated_keys(spark, sf_dir):
+    """Lines that name a declared and an undeclared key twice."""
+    a = fx.audience(spark, sf_dir)
+    twice = F.concat(F.lit('{"user_id":"'), "user_id", F.lit('","gender":"first","note":"one","gender":"'),
+                     F.coalesce("gender", F.lit("none")), F.lit('","note":"two"}'))
+    once = F.to_json(F.struct("user_id", "gender"))
+    land = scratch_path(spark, "landing")
+    a.select(F.when(F.col("num_children") > 1, twice).otherwise(once).alias("value")).write.text(land)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("user_id", "gender")])
+    target, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    ing.ingest_json_stream(spark, land, target, ckpt, schema)
+    return spark.read.parquet(target)
+
+
 @query("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     a = fx.audience(spark, sf_dir)
@@ -608,6 +650,21 @@ def q_json_roundtrip(spark, sf_dir):
     return spark.read.schema(a.schema).option("dateFormat", "yyyy-MM-dd").json(path)
 
 
+@query("constrained_write")
+def q_constrained_write(spark, sf_dir):
+    """Two writes of the labels, one refused for a null and repeated keys:
+    the rows that stay readable, and what the refusal names."""
+    lab = fx.labelled(spark, sf_dir)
+    root = scratch_path(spark, "constrained")
+    tb.materialize_checked(lab, root, key=["user_id"], not_null=["label"])
+    again = lab.where(F.col("label") == 1)
+    bad = lab.unionByName(again).select(
+        "user_id", F.when(F.col("user_id").cast("long") % 11 != 3, F.col("label")).alias("label"))
+    refused = tb.materialize_checked(bad, root, key=["user_id"], not_null=["label"])
+    kept = tb.read_checked(spark, root).select(F.lit("kept").alias("what"), "user_id")
+    return kept.unionByName(refused.offences.select(F.col("reason").alias("what"), "user_id"))
+
+
 @query("publish_latest")
 def q_publish_latest(spark, sf_dir):
     lab = fx.labelled(spark, sf_dir)

@@ -7,6 +7,7 @@ fixture tables are prepended as CTEs by ``with_fixtures``.
 from __future__ import annotations
 
 from twinreach.operators.quality import RULES_AS_PUBLISHED, RULES_CORRECTED
+from twinreach.operators.sampling import poisson_steps
 from twinreach.sources.fixtures import AS_OF_SQL, with_fixtures
 
 ORACLE: dict[str, str] = {}
@@ -136,6 +137,18 @@ oracle("hash_split", f"SELECT user_id, label, CASE WHEN {md5_bucket_sql('user_id
        "THEN 'train' ELSE 'test' END AS side FROM labelled")
 
 
+def draws_sql(mean: float, h: str) -> str:
+    """How often a row with the 60-bit number ``h`` is drawn."""
+    return " + ".join(f"({h} >= {s})::INT" for s in poisson_steps(mean))
+
+
+oracle("sample_wr", "SELECT user_id, label FROM (SELECT user_id, label, unnest(range("
+       f"{draws_sql(0.30, hash60_sql('user_id', '1'))})) FROM labelled) d")
+oracle("sample_wr_lines", "SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, unnest(range("
+       + draws_sql(1.7, "h") + ")) FROM (SELECT l_orderkey, l_linenumber, l_quantity, "
+       + hash60_sql("concat_ws('-', l_orderkey, l_linenumber)", "5") + " AS h FROM lineitem) a) d")
+
+
 def undersample_sql(source: str, seed: str) -> str:
     return ("SELECT user_id, label FROM (SELECT user_id, label, "
             "rank() OVER (PARTITION BY label ORDER BY h, user_id) AS r, min(cnt) OVER () AS k "
@@ -171,6 +184,11 @@ oracle("map_override", "SELECT user_id, age_group, CASE WHEN "
 oracle("drop_helpers", "SELECT * FROM audience")
 oracle("limit_ordered", "SELECT user_id, avg_daily_watch_time FROM audience "
        "ORDER BY avg_daily_watch_time DESC NULLS LAST, user_id LIMIT 10")
+oracle("limit_large", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY "
+       "l_extendedprice DESC, l_orderkey, l_linenumber LIMIT (SELECT count(*) // 3 FROM lineitem)")
+oracle("limit_large_ties", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 <> 1 THEN "
+       "l_quantity END AS quantity FROM lineitem ORDER BY quantity NULLS FIRST, l_linenumber DESC, "
+       "l_orderkey LIMIT (SELECT count(*) // 2 FROM lineitem)")
 oracle("latest_row", "SELECT * FROM impressions ORDER BY Timestamp DESC, ImpressionID DESC LIMIT 1")
 
 # -- metrics -----------------------------------------------------------------
@@ -222,6 +240,12 @@ oracle("rescue_records", "SELECT user_id, avg_daily_watch_time, gender, CASE "
        "WHEN avg_daily_watch_time IS NULL AND gender = 'U' THEN '{\"avg_daily_watch_time\":\"n/a\",\"extra_note\":\"unknown\"}' "
        "WHEN avg_daily_watch_time IS NULL THEN '{\"avg_daily_watch_time\":\"n/a\"}' "
        "WHEN gender = 'U' THEN '{\"extra_note\":\"unknown\"}' END AS _rescued_data FROM audience")
+oracle("ingest_repeated_keys", "SELECT user_id, CASE WHEN num_children > 1 THEN "
+       "coalesce(gender, 'none') ELSE gender END AS gender, "
+       "CASE WHEN num_children > 1 THEN '{\"note\":\"two\"}' END AS _rescued_data FROM audience")
+oracle("constrained_write", "SELECT 'kept' AS what, user_id FROM labelled UNION ALL "
+       "SELECT 'repeated key', user_id FROM labelled WHERE label = 1 UNION ALL "
+       "SELECT 'null label', user_id FROM labelled WHERE CAST(user_id AS BIGINT) % 11 = 3")
 oracle("json_roundtrip", "SELECT * FROM audience")
 oracle("publish_empty", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 7")
 oracle("publish_latest", "SELECT user_id, label, 2 AS version FROM labelled WHERE label = 1")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -117,6 +118,62 @@ def publish_snapshot(df: DataFrame, root: str, version: int) -> None:
     spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
+@dataclass
+class CheckedWrite:
+    """What became of a checked write.  ``offences`` has a row per key and
+    reason (the key columns, ``reason``, ``rows``)."""
+
+    accepted: bool
+    offences: DataFrame
+
+
+def materialize_checked(df: DataFrame, root: str, key: list[str], not_null: list[str] | None = None,
+                        schema: T.StructType | None = None) -> CheckedWrite:
+    """Write a table whose key and not-null columns are enforced.
+
+    The rows go to a new folder under ``root`` and are checked there, in one
+    aggregation by key; only without an offence does a manifest row make them
+    the table that ``read_checked`` finds.  A refused or failed write leaves
+    the table as it was.  Key columns must not be null either.
+    """
+    spark = df.sparkSession
+    out = to_schema(df, schema, missing="error") if schema is not None else df
+    folder = f"versions/{uuid.uuid4().hex}"
+    out.write.parquet(f"{root}/{folder}")
+    staged = spark.read.schema(out.schema).parquet(f"{root}/{folder}")
+    checked = [*key, *(c for c in not_null or [] if c not in key)]
+    by_key = staged.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(checked)])
+    reasons = [F.when(F.col(f"_null_{i}") > 0, F.struct(F.lit(f"null {c}").alias("reason"),
+                                                         F.col(f"_null_{i}").alias("rows")))
+               for i, c in enumerate(checked)]
+    reasons.append(F.when((F.col("_rows") > 1) & ~_any_null(key),
+                          F.struct(F.lit("repeated key").alias("reason"), F.col("_rows").alias("rows"))))
+    found = by_key.select(*key, F.explode(F.filter(F.array(*reasons), lambda r: r.isNotNull())).alias("_r"))
+    found.select(*key, "_r.reason", "_r.rows").write.parquet(f"{root}/offences/{folder}")
+    offences = spark.read.schema(T.StructType([
+        *(out.schema[c] for c in key), T.StructField("reason", T.StringType()),
+        T.StructField("rows", T.LongType())])).parquet(f"{root}/offences/{folder}")
+    if offences.take(1):
+        return CheckedWrite(False, offences)
+    row = ((newest_version(spark, root) or 0) + 1, time.time_ns(), folder, staged.count(), out.schema.json())
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    return CheckedWrite(True, offences)
+
+
+def _any_null(columns: list[str]):
+    out = F.lit(False)
+    for c in columns:
+        out = out | F.col(c).isNull()
+    return out
+
+
+def read_checked(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the last accepted write."""
+    return read_snapshot(spark, root).drop("version")
+
+
 def newest_version(spark: SparkSession, root: str) -> int | None:
     """The newest published version, read from the manifest alone."""
     return manifest(spark, root).agg(F.max("version")).first()[0]

@@ -102,15 +102,28 @@ def _typed(text, kind: T.DataType):
     return text if isinstance(kind, T.StringType) else text.try_cast(kind)
 
 
+def _last_of_each_key(entries):
+    """A map of text fields whose keys may repeat, with the last value of
+    each (what a JSON reader does); maps without a repeated key are kept."""
+    keys = F.map_keys(entries)
+    rest = F.map_entries(entries)
+    later = F.filter(rest, lambda e, i: ~F.array_contains(
+        F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys),
+                  F.map_from_entries(later)).otherwise(entries)
+
+
 def parse_json_lines(lines: DataFrame, schema: T.StructType, rescue: bool = True,
                      text_col: str = "value") -> DataFrame:
     """Typed columns of ``schema`` from JSON text lines, plus ``_rescued_data``.
 
     A line is parsed once, to its keys and their text; fields are cast from
-    there, and what is not declared or does not fit is rescued."""
+    there, and what is not declared or does not fit is rescued.  Of a key that
+    a line repeats, declared or not, the last value counts."""
     source, parsed = F.col(text_col), "_parsed"
     lines = lines.select(source.alias("_raw"), F.from_json(
         source, T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS).alias(parsed))
+    lines = lines.select("_raw", _last_of_each_key(F.col(parsed)).alias(parsed))
     typed = {f.name: _typed(F.col(parsed)[f.name], f.dataType) for f in schema.fields}
     cols = [c.alias(name) for name, c in typed.items()]
     if not rescue:
