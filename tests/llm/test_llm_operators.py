@@ -114,6 +114,18 @@ def test_warc_of_nothing(spark):
     assert rows_of(warc.warc_report(empty)) == []
 
 
+def test_cut_off_archives_are_refused():
+    import gzip
+
+    for whole in (gzip.compress(b"record" * 4000), gzip.compress(b"a" * 50) + gzip.compress(b"b" * 5000)):
+        assert b"".join(warc.inflated(iter([whole])))
+        assert b"".join(warc.inflated(iter([whole[:30], whole[30:]])))
+        for end in (len(whole) - 1, len(whole) - 8, len(whole) - 12):  # trailer or data missing
+            with pytest.raises(ValueError, match="cut off"):
+                list(warc.inflated(iter([whole[:end]])))
+    assert list(warc.inflated(iter([]))) == []
+
+
 def test_inflating_takes_one_member_or_many():
     parts = [b"one" * 1000, b"", b"two" * 500]
     z = b""

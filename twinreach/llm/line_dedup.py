@@ -237,7 +237,8 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
         tidy(_mapped(_longs, pa.list_(pa.int64()))), _WORDS), "line-maps")
     maps = maps.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"),
                        F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_words"))
-    joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_id"])
+    # maps have no size bound, so they are not broadcast at any size
+    joined = docs.join(maps.hint("merge"), docs["doc_id"].eqNullSafe(maps["_id"])
                        & (_text_hash(docs["text"]) == maps["_hash"]), "left")
     text = docs["text"]
     new = F.when(maps["_words"].isNotNull(), _kept(text, maps["_words"]))

@@ -453,7 +453,8 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     alive = postings.select("rep").distinct()
     # a repeated id can stand beside other sets; the node's own is kept
     own = stored(reps.join(alive, "rep", "left_semi").select("rep", "d1", "d2"), "gram-alive")
-    texts = living(source, own).join(own, F.col("id") == F.col("rep")).select("rep", "d1", "d2", "body")
+    # nodes have no size bound, so they are not broadcast at any size
+    texts = living(source, own).join(own.hint("merge"), F.col("id") == F.col("rep")).select("rep", "d1", "d2", "body")
     grams = texts.mapInArrow(
         tidy(collected(ngram)), "rep long, n int, ranges binary, grams binary")
     grams = stored(grams, "gram-values")
@@ -466,7 +467,10 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     labels = components(links)
     tried = None
     for step in range(star_rounds + 1):
-        pairs = _candidates(postings, labels, threshold, step, last=step == star_rounds)
+        pairs, mixed, held = _candidates(postings, labels, threshold, step, last=step == star_rounds)
+        if step < star_rounds:
+            # components only grow, so an n-gram within one never gives a pair again
+            postings = held.join(mixed.select("gram"), "gram", "left_semi").drop("comp")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "gram-pairs")
@@ -495,8 +499,9 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
 
 
 def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: int,
-                last: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, between different components."""
+                last: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct pairs (a, b), a < b, between different components; the n-grams
+    that several components share; and the postings with their components."""
     held = (postings.join(labels, "rep", "left")
             .withColumn("comp", F.coalesce("comp", "rep")))
     held = stored(held, "gram-labelled")
@@ -515,7 +520,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: in
     others = held.join(mixed, "gram").where("comp <> main")
     if not last:
         return (others.where(_possible("n", "pos", "hub_n", "hub_pos", threshold))
-                .select(*_pair("rep", "hub")).distinct())
+                .select(*_pair("rep", "hub")).distinct()), mixed, held
     others = others.select("gram", F.col("rep").alias("r"), F.col("n").alias("m"),
                            F.col("pos").alias("at"), F.col("comp").alias("c"), "main")
     # nodes outside the main component of an n-gram, with all other nodes there
@@ -524,7 +529,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: in
              & _possible("n", "pos", "m", "at", threshold))
     some = held.join(mixed.select("gram"), "gram", "left_semi").withColumnRenamed("gram", "g")
     return (others.join(some, (F.col("gram") == F.col("g")) & apart)
-            .select(*_pair("rep", "r")).distinct())
+            .select(*_pair("rep", "r")).distinct()), mixed, held
 
 
 def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
