@@ -13,11 +13,12 @@ threshold; the result is the connected components of the links.
    with any set it links to.  These prefixes are shuffled by n-gram, as packed
    arrays; postings that can belong to a candidate pair are written out.
 3. *Pairs.*  Two nodes that share a prefix n-gram are a candidate pair if their
-   sizes allow the threshold (length filter) and so many n-grams can follow
-   the shared one in both (positional filter).  Pairs are not listed per
-   group: in a star round the nodes of an n-gram are paired with one node of
-   the largest component there; links found join components; and nodes
-   already in one component need no pair.  After the star rounds a last
+   sizes allow the threshold (length filter), so many n-grams can follow
+   the shared one in both (positional filter) and 256 parities of their
+   n-grams do not differ too often.  Pairs are not listed per
+   group: in a star round the nodes of an n-gram are paired with its hubs,
+   the smallest node at first, then some drawn by each n-gram; links found join components; and nodes already in one component
+   need no pair.  After the star rounds a last
    round takes every candidate pair between different components, so no link
    between components is missed.
 4. *Verification*, once per pair.  A suffix filter compares how many n-grams
@@ -47,7 +48,8 @@ NGRAM = 5
 THRESHOLD = 75  # per cent
 BUCKET_BITS = 16
 POSTINGS_PER_PART = 250_000
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
+HUBS = (1, 8, 16)  # of an n-gram, by round
 # frequent n-grams: read at once, named of these at most, and kept of all names
 COUNTED, NAMED, FREQUENT = 1 << 21, 1 << 14, 1 << 17
 LIVING_BITS = 1 << 25
@@ -88,12 +90,23 @@ def _digests(sizes: np.ndarray, text: np.ndarray, gram: np.ndarray) -> np.ndarra
     return out.view(np.int64)
 
 
-_SETS = "row long, id long, n int, d1 long, d2 long, bucket int, gram long, count long"
+SIGNED = ("s1", "s2", "s3", "s4")
+_SETS = ("row long, id long, n int, d1 long, d2 long, s1 long, s2 long, s3 long, s4 long, "
+         "bucket int, gram long, count long")
 _SETS_ARROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("n", pa.int32()),
-                         ("d1", pa.int64()), ("d2", pa.int64()), ("bucket", pa.int32()),
+                         ("d1", pa.int64()), ("d2", pa.int64()),
+                         *((s, pa.int64()) for s in SIGNED), ("bucket", pa.int32()),
                          ("gram", pa.int64()), ("count", pa.int64())])
 
 
+def _parities(texts: int, text: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Per text 256 bits: whether a count of n-grams with one byte is odd.
+    Bits that differ between two texts never outnumber the n-grams that do."""
+    odd = np.bincount(text * 256 + (gram >> np.uint64(8) & np.uint64(0xFF)).astype(np.int64),
+                      minlength=texts * 256).reshape(-1, 256) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
 class Seen:
     """Sets met in a task: copies of one are told by size and digest."""
 
@@ -138,7 +151,7 @@ def measured(ngram: int):
         for batch in batches:
             for base, sizes, text, gram in _sets(batch.column("body"), ngram):
                 d = _digests(sizes, text, gram)
-                gram = gram[seen.fresh(sizes, d)[text]]
+                all_, gram = gram, gram[seen.fresh(sizes, d)[text]]
                 total += np.bincount((gram >> np.uint64(64 - BUCKET_BITS)).astype(np.int64),
                                      minlength=len(total))
                 held.append(gram)
@@ -146,10 +159,11 @@ def measured(ngram: int):
                 if size >= COUNTED:
                     yield name()
                     held, size = [], 0
-                k = len(sizes)
+                k, signed = len(sizes), _parities(len(sizes), text, all_)
                 yield rows(row=batch.column("row").slice(base, k), id=batch.column("id").slice(base, k),
                            n=pa.array(sizes.astype(np.int32)), d1=pa.array(d[:, 0].copy()),
-                           d2=pa.array(d[:, 1].copy()))
+                           d2=pa.array(d[:, 1].copy()),
+                           **{s: pa.array(signed[:, i].copy()) for i, s in enumerate(SIGNED)})
         if size:
             yield name()
         some = np.flatnonzero(total)
@@ -390,11 +404,19 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("v").alias("rep")).agg(F.min("u").alias("comp"))
 
 
-def _possible(n: str, pos: str, m: str, at: str, threshold: int):
-    """Length and positional filter of two postings of one n-gram."""
-    most = F.least(F.col(n) - F.col(pos), F.col(m) - F.col(at))
+def _other(column: str) -> str:
+    """The column of the other posting of a pair."""
+    return f"other_{column}"
+
+
+def _possible(threshold: int):
+    """Length, positional and parity filter of two postings of one n-gram."""
+    n, m = F.col("n"), F.col(_other("n"))
+    most = F.least(n - F.col("pos"), m - F.col(_other("pos")))
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(_other(s)))) for s in SIGNED), F.lit(0))
     return ((100 * F.least(n, m) >= threshold * F.greatest(n, m))
-            & ((100 + threshold) * most >= threshold * (F.col(n) + F.col(m))))
+            & ((100 + threshold) * most >= threshold * (n + m))
+            & ((100 + threshold) * differ <= (100 - threshold) * (n + m)))
 
 
 def _pair(x: str, y: str):
@@ -427,12 +449,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     source = docs.select(F.col("doc_id").alias("id"), body)
     sets = stored(source.withColumn("row", F.monotonically_increasing_id())
                   .mapInArrow(tidy(measured(ngram)), _SETS), "gram-sets")
-    rows = sets.where("row is not null").select("row", "id", "n", "d1", "d2")
+    rows = sets.where("row is not null").select("row", "id", "n", "d1", "d2", *SIGNED)
     full = rows.where("n > 0 and id is not null")
-    reps = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    reps = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), *[F.first(s).alias(s) for s in SIGNED])
     reps = stored(reps, "gram-nodes")
     nodes = stored(rows.join(reps.withColumnRenamed("n", "m").withColumnRenamed("d1", "e1")
-                             .withColumnRenamed("d2", "e2"),
+                             .withColumnRenamed("d2", "e2").drop(*SIGNED),
                              (F.col("n") == F.col("m")) & (F.col("d1") == F.col("e1"))
                              & (F.col("d2") == F.col("e2")) & F.col("id").isNotNull(), "left")
                    .select("row", "id", "n", "rep"), "gram-rows")
@@ -452,9 +474,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
 
     alive = postings.select("rep").distinct()
     # a repeated id can stand beside other sets; the node's own is kept
-    own = stored(reps.join(alive, "rep", "left_semi").select("rep", "d1", "d2"), "gram-alive")
+    own = stored(reps.join(alive, "rep", "left_semi").select("rep", "d1", "d2", *SIGNED), "gram-alive")
+    # a node of several sets brings the bits of each
+    postings = postings.join(own.select("rep", *SIGNED).hint("merge"), "rep")
     # nodes have no size bound, so they are not broadcast at any size
-    texts = living(source, own).join(own.hint("merge"), F.col("id") == F.col("rep")).select("rep", "d1", "d2", "body")
+    texts = (living(source, own).join(own.hint("merge"), F.col("id") == F.col("rep"))
+             .select("rep", "d1", "d2", "body"))
     grams = texts.mapInArrow(
         tidy(collected(ngram)), "rep long, n int, ranges binary, grams binary")
     grams = stored(grams, "gram-values")
@@ -473,7 +498,7 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
             postings = held.join(mixed.select("gram"), "gram", "left_semi").drop("comp")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "gram-pairs")
+        pairs = stored(pairs.distinct(), "gram-pairs")
         if not has_rows(pairs):
             if step == star_rounds:
                 break
@@ -500,36 +525,39 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
 
 def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: int,
                 last: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Distinct pairs (a, b), a < b, between different components; the n-grams
-    that several components share; and the postings with their components."""
+    """Pairs (a, b), a < b, between different components, once per n-gram they
+    share; the n-grams that several components share; and the postings with
+    their components.  After the first round each n-gram draws hubs of its
+    own, so a node meets many of a component before the last round."""
     held = (postings.join(labels, "rep", "left")
             .withColumn("comp", F.coalesce("comp", "rep")))
     held = stored(held, "gram-labelled")
-    pick = F.min(F.struct(F.when(F.lit(step) == 0, F.col("rep"))
-                          .otherwise(F.xxhash64("rep", F.lit(step))).alias("o"),
-                          F.col("rep"), F.col("n"), F.col("pos")))
-    by_comp = held.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"), pick.alias("p"))
-    mixed = by_comp.groupBy("gram").agg(
-        F.max(F.struct(F.col("size"), (-F.col("p.o")).alias("o"), F.col("comp"),
-                       F.col("p.rep").alias("rep"), F.col("p.n").alias("n"),
-                       F.col("p.pos").alias("pos"))).alias("top"),
-        F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    mixed = mixed.select("gram", F.col("top.comp").alias("main"), F.col("top.rep").alias("hub"),
-                         F.col("top.n").alias("hub_n"), F.col("top.pos").alias("hub_pos"))
+    mixed = (held.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"))
+             .groupBy("gram").agg(F.max_by("comp", F.struct("size", -F.col("comp"))).alias("main"),
+                                  F.count(F.lit(1)).alias("comps"))
+             .where("comps > 1").select("gram", "main"))
     mixed = stored(mixed, "gram-mixed")
-    others = held.join(mixed, "gram").where("comp <> main")
+    posting = ("rep", "n", "pos", *SIGNED)
+    some = held.join(mixed.select("gram"), "gram", "left_semi").withColumnRenamed("gram", "g")
     if not last:
-        return (others.where(_possible("n", "pos", "hub_n", "hub_pos", threshold))
-                .select(*_pair("rep", "hub")).distinct()), mixed, held
-    others = others.select("gram", F.col("rep").alias("r"), F.col("n").alias("m"),
-                           F.col("pos").alias("at"), F.col("comp").alias("c"), "main")
+        order = F.col("rep") if step == 0 else F.xxhash64("rep", "g", F.lit(step))
+        slot = F.pmod(order, F.lit(HUBS[min(step, len(HUBS) - 1)])) if step else F.lit(0)
+        hub = (some.groupBy(F.col("g").alias("gram"), slot.alias("slot"))
+               .agg(F.min(F.struct(order.alias("o"), "comp", *posting)).alias("hub"))
+               .select("gram", F.col("hub.comp").alias("c"),
+                       *[F.col(f"hub.{c}").alias(_other(c)) for c in posting]))
+        return (hub.join(some, (F.col("gram") == F.col("g")) & (F.col("comp") != F.col("c"))
+                         & _possible(threshold))
+                .select(*_pair("rep", _other("rep")))), mixed, held
+    others = held.join(mixed, "gram").where("comp <> main")
+    others = others.select("gram", *[F.col(c).alias(_other(c)) for c in posting],
+                           F.col("comp").alias("c"), "main")
     # nodes outside the main component of an n-gram, with all other nodes there
     apart = ((F.col("comp") != F.col("c"))
-             & ((F.col("comp") == F.col("main")) | (F.col("r") < F.col("rep")))
-             & _possible("n", "pos", "m", "at", threshold))
-    some = held.join(mixed.select("gram"), "gram", "left_semi").withColumnRenamed("gram", "g")
+             & ((F.col("comp") == F.col("main")) | (F.col(_other("rep")) < F.col("rep")))
+             & _possible(threshold))
     return (others.join(some, (F.col("gram") == F.col("g")) & apart)
-            .select(*_pair("rep", "r")).distinct()), mixed, held
+            .select(*_pair("rep", _other("rep")))), mixed, held
 
 
 def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
