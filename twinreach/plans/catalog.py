@@ -804,3 +804,27 @@ def q_ingest_type_change(spark, sf_dir):
     lab = fx.labelled(spark, sf_dir)
     target, _, schema = _two_landings(spark, lab, lab.withColumn("label", F.col("label") + F.lit(0.5)))
     return ing.read_bronze(spark, target, schema)
+
+
+def _history(spark, sf_dir):
+    """Three publications of the labels; their root."""
+    lab = fx.labelled(spark, sf_dir).withColumn("label", F.when(F.col("label") == 1, 1))
+    root = scratch_path(spark, "history")
+    tb.publish_snapshot(lab.where(F.col("user_id").cast("long") % 3 != 0), root, 1)
+    tb.publish_snapshot(lab.where(F.col("user_id").cast("long") % 3 != 1), root, 2)
+    tb.publish_snapshot(lab, root, 3)
+    return root
+
+
+@query("history_as_of")
+def q_history_as_of(spark, sf_dir):
+    """What readers saw between the second and the third publication."""
+    root = _history(spark, sf_dir)
+    third = tb.manifest(spark, root).where("version = 3").first()["published_at"]
+    return tb.read_as_of(spark, root, third - 1)
+
+
+@query("history_changes")
+def q_history_changes(spark, sf_dir):
+    """Rows added, removed and kept from the first publication to the second."""
+    return tb.changes(spark, _history(spark, sf_dir), 1, 2)

@@ -280,3 +280,9 @@ oracle("ingest_new_column", "SELECT user_id, CAST(label AS BIGINT) AS label, NUL
        "'{\"coupon\":\"C' || user_id || '\"}' FROM labelled")
 oracle("ingest_type_change", "SELECT user_id, CAST(label AS BIGINT) AS label, NULL AS _rescued_data FROM labelled "
        "UNION ALL SELECT user_id, NULL, '{\"label\":\"' || (label + 0.5) || '\"}' FROM labelled")
+# history: label 0 was published as null
+oracle("history_as_of", "SELECT user_id, CASE WHEN label = 1 THEN 1 END AS label, 2 AS version FROM labelled "
+       "WHERE CAST(user_id AS BIGINT) % 3 <> 1")
+oracle("history_changes", "SELECT DISTINCT user_id, CASE WHEN label = 1 THEN 1 END AS label, "
+       "CASE CAST(user_id AS BIGINT) % 3 WHEN 0 THEN 'added' WHEN 1 THEN 'removed' ELSE 'kept' END AS change "
+       "FROM labelled")

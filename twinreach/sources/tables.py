@@ -191,3 +191,26 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     schema = T.StructType.fromJson(json.loads(last[0]["columns"]))
     return (spark.read.schema(schema).parquet(f"{root}/{last[0]['folder']}")
             .withColumn("version", F.lit(last[0]["version"]).cast("int")))
+
+
+def read_as_of(spark: SparkSession, root: str, at: int) -> DataFrame:
+    """The rows readers saw at ``at``; a version published again later is read
+    as it was then."""
+    seen = manifest(spark, root).where(F.col("published_at") <= int(at))
+    last = seen.orderBy(F.desc("version"), F.desc("published_at")).limit(1).collect()
+    if not last:
+        raise ValueError(f"{root} had no published version at {at}")
+    schema = T.StructType.fromJson(json.loads(last[0]["columns"]))
+    return (spark.read.schema(schema).parquet(f"{root}/{last[0]['folder']}")
+            .withColumn("version", F.lit(last[0]["version"]).cast("int")))
+
+
+def changes(spark: SparkSession, root: str, start: int, end: int) -> DataFrame:
+    """The distinct rows of two versions with ``change``: 'added' (in ``end``
+    only), 'removed' (in ``start`` only) or 'kept'.  Rows are compared null-safely,
+    by one grouping of both versions; both need the same columns."""
+    old, new = (read_snapshot(spark, root, v).drop("version") for v in (start, end))
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    sides = both.groupBy(*old.columns).agg(F.min("_new").alias("_first"), F.max("_new").alias("_last"))
+    change = (F.when(F.col("_first") == 1, "added").when(F.col("_last") == 0, "removed").otherwise("kept"))
+    return sides.select(*old.columns, change.alias("change"))
