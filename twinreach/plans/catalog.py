@@ -828,3 +828,38 @@ def q_history_as_of(spark, sf_dir):
 def q_history_changes(spark, sf_dir):
     """Rows added, removed and kept from the first publication to the second."""
     return tb.changes(spark, _history(spark, sf_dir), 1, 2)
+
+
+# -- models as column expressions --------------------------------------------
+
+@query("columns_score")
+def q_columns_score(spark, sf_dir):
+    """Per user and candidate, whether the fitted pipeline and its column
+    expressions give the same prediction and probability."""
+    from twinreach.operators import model_columns as mc
+
+    data = tr.cut_lineage(_training(spark, sf_dir), rebalance=True)
+    _metrics, models, _cat, num, _test = tr.compare(data)
+    out = None
+    for name, model in models.items():
+        both = mc.score_columns(model, md.score(model, data, num).withColumnRenamed(
+            "prediction", "whole").withColumnRenamed("probability", "whole_p"), prefix="columns_")
+        same = F.col("whole") == F.col("columns_prediction")
+        if "whole_p" in both.columns:
+            same = same & (F.abs(F.col("whole_p") - F.col("columns_probability")) < 1e-9)
+        one = both.select("user_id", F.lit(name).alias("model"), same.alias("same"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("columns_positives")
+def q_columns_positives(spark, sf_dir):
+    """Users predicted positive by one way and not by the other, counted."""
+    from twinreach.operators import model_columns as mc
+
+    res = tr.fit_gbt(_training(spark, sf_dir))
+    a = md.score_audience(res.model, res.audience(), res.numeric).withColumn("whole", F.lit(1))
+    b = mc.score_audience_columns(res.model, res.audience()).withColumn("columns", F.lit(1))
+    both = a.groupBy("user_id").agg(F.count("whole").alias("n")).join(
+        b.groupBy("user_id").agg(F.count("columns").alias("m")), "user_id", "full")
+    return both.agg(F.count(F.when(~F.col("n").eqNullSafe(F.col("m")), 1)).alias("different"))

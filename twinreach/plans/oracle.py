@@ -270,6 +270,9 @@ oracle("random_split_rows", "SELECT user_id, label FROM labelled")
 # models: what must hold for every row, whatever was learned
 oracle("scores_valid", "SELECT user_id, TRUE AS valid FROM audience")
 oracle("reload_equal", "SELECT user_id, TRUE AS same FROM audience")
+oracle("columns_score", "SELECT user_id, model, TRUE AS same FROM audience, (VALUES ('Logistic Regression'), "
+       "('Decision Tree'), ('Random Forest'), ('SVM'), ('Gradient Boosting')) m(model)")
+oracle("columns_positives", "SELECT CAST(0 AS BIGINT) AS different")
 oracle("augment_sides", "SELECT user_id, side, CAST(side = 'test' AS INT) AS is_pseudo FROM (SELECT user_id, "
        "CASE WHEN ('0x' || substr(md5('42' || user_id), 1, 8))::BIGINT < CAST(0.7 * 4294967296 AS BIGINT) "
        "THEN 'train' ELSE 'test' END AS side FROM audience) s")
