@@ -17,9 +17,11 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinreach.session import cut_lineage
+
 
 def index_cols(cat):
     return [f"{c}_index" for c in cat]
@@ -116,3 +118,58 @@ def vector_as_array(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, vector_to_array(F.col(c)))
     return df
+
+
+# -- dictionaries of any size -------------------------------------------------
+
+def category_dictionary(df: DataFrame, col: str, min_count: int = 1,
+                        buckets: int | None = None) -> DataFrame:
+    """``_cd_value, _cd_count, _cd_index`` for the values of ``col`` found in at
+    least ``min_count`` rows, as a written table: the indices of
+    ``string_indexer`` (most frequent first, ties by value, in the column's own
+    type) without a label list in the driver.
+
+    Values are counted with partial aggregation, so a hot value is one row
+    before the shuffle.  The distinct values are range-partitioned by (count,
+    value) and written with their place in the range; only the sizes of the
+    ranges (one row each) are broadcast.  Nulls have no entry; a table without
+    values gives an empty dictionary.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_cd_value")).agg(
+        F.count(F.lit(1)).alias("_cd_count")).where(F.col("_cd_count") >= min_count)
+    order = [F.col("_cd_count").desc(), F.col("_cd_value").asc()]
+    spread = counts.repartitionByRange(buckets, *order) if buckets else counts.repartitionByRange(*order)
+    # upper bits: the range's number, lower 33 bits: the place in it
+    placed = cut_lineage(spread.sortWithinPartitions(*order)
+                         .withColumn("_cd_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_cd_range", F.shiftright("_cd_at", 33))
+    sizes = placed.groupBy("_cd_range").agg(F.count(F.lit(1)).alias("_cd_in"))
+    earlier = Window.orderBy("_cd_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_cd_range", F.coalesce(F.sum("_cd_in").over(earlier), F.lit(0)).alias("_cd_before"))
+    place = F.col("_cd_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return cut_lineage(placed.join(F.broadcast(before), "_cd_range").select(
+        "_cd_value", "_cd_count", (F.col("_cd_before") + place).alias("_cd_index")))
+
+
+def index_by_dictionary(df: DataFrame, col: str, dictionary: DataFrame, out: str,
+                        head: int = 1000) -> DataFrame:
+    """``df`` with ``out``: the index of ``col`` in ``dictionary`` as bigint.
+    Null, values below the dictionary's ``min_count`` and unseen values share
+    the index after the last one.
+
+    Rows of the ``head`` most frequent values take their index from a broadcast
+    of at most ``head`` entries and are not shuffled, so no hot value meets in
+    one task; the others join the table by value.  ``df`` is read once per
+    branch and should be a table or a repeatable plan.
+    """
+    last = F.lit(dictionary.count()).cast("long")  # one number, from the table's row counts
+    cols = [F.col(c) for c in df.columns if c != out]
+    known = df.where(F.col(col).isNotNull())
+    entry = F.col(col) == F.col("_cd_value")
+    top = F.broadcast(dictionary.where(F.col("_cd_index") < head))
+    frequent = known.join(top, entry).select(*cols, F.col("_cd_index").alias(out))
+    others = known.join(top, entry, "left_anti").join(
+        dictionary.where(F.col("_cd_index") >= head), entry, "left")
+    others = others.select(*cols, F.coalesce("_cd_index", last).alias(out))
+    nulls = df.where(F.col(col).isNull()).select(*cols, last.alias(out))
+    return frequent.unionByName(others).unionByName(nulls)

@@ -863,3 +863,22 @@ def q_columns_positives(spark, sf_dir):
     both = a.groupBy("user_id").agg(F.count("whole").alias("n")).join(
         b.groupBy("user_id").agg(F.count("columns").alias("m")), "user_id", "full")
     return both.agg(F.count(F.when(~F.col("n").eqNullSafe(F.col("m")), 1)).alias("different"))
+
+
+# -- category dictionaries ----------------------------------------------------
+
+def _part_index(spark, sf_dir, min_count):
+    lines = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    words = pp.category_dictionary(lines, "l_partkey", min_count)
+    return pp.index_by_dictionary(lines, "l_partkey", words, "part_index")
+
+
+@query("category_index")
+def q_category_index(spark, sf_dir):
+    return _part_index(spark, sf_dir, 1)
+
+
+@query("category_index_tail")
+def q_category_index_tail(spark, sf_dir):
+    """Part keys of fewer than 30 lines share one index."""
+    return _part_index(spark, sf_dir, 30)

@@ -289,3 +289,8 @@ oracle("history_as_of", "SELECT user_id, CASE WHEN label = 1 THEN 1 END AS label
 oracle("history_changes", "SELECT DISTINCT user_id, CASE WHEN label = 1 THEN 1 END AS label, "
        "CASE CAST(user_id AS BIGINT) % 3 WHEN 0 THEN 'added' WHEN 1 THEN 'removed' ELSE 'kept' END AS change "
        "FROM labelled")
+for _name, _least in (("category_index", 1), ("category_index_tail", 30)):
+    oracle(_name, "SELECT l_orderkey, l_linenumber, l_partkey, coalesce(i, (SELECT count(*) FROM (SELECT 1 FROM lineitem "
+           f"WHERE l_partkey IS NOT NULL GROUP BY l_partkey HAVING count(*) >= {_least}) k)) AS part_index "
+           "FROM lineitem LEFT JOIN (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS i "
+           f"FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey HAVING count(*) >= {_least}) d USING (l_partkey)")
