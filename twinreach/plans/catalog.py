@@ -882,3 +882,23 @@ def q_category_index(spark, sf_dir):
 def q_category_index_tail(spark, sf_dir):
     """Part keys of fewer than 30 lines share one index."""
     return _part_index(spark, sf_dir, 30)
+
+
+# -- kernel SVM ---------------------------------------------------------------
+
+@query("kernel_svm")
+def q_kernel_svm(spark, sf_dir):
+    """Order lines inside a ring of (quantity, discount) against those outside,
+    split by order: whether the kernel SVM and the linear one separate them."""
+    from twinreach.operators import kernel as kn
+    from twinreach.operators.metrics import classification_metrics
+
+    x, y = (F.col("l_quantity").cast("double") - 25.5) / 24.5, (F.col("l_discount").cast("double") - 0.05) / 0.05
+    lines = tb.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", x.alias("x"), y.alias("y"), (x * x + y * y < 0.637).cast("int").alias("label"))
+    train, test = sm.hash_split(lines, "l_orderkey", 0.7, 42)
+    kernel = classification_metrics(kn.fit_kernel_svm(train, ["x", "y"]).score(test), "label", "prediction")
+    linear = md.evaluate(md.fit(train, md.candidate_classifiers()["SVM"], [], ["x", "y"]), test, ["x", "y"])
+    rows = kernel.select(F.lit("kernel").alias("model"), "accuracy").unionByName(
+        linear.select(F.lit("linear").alias("model"), "accuracy"))
+    return rows.select("model", (F.col("accuracy") > 0.9).alias("separates"))

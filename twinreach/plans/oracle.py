@@ -294,3 +294,5 @@ for _name, _least in (("category_index", 1), ("category_index_tail", 30)):
            f"WHERE l_partkey IS NOT NULL GROUP BY l_partkey HAVING count(*) >= {_least}) k)) AS part_index "
            "FROM lineitem LEFT JOIN (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS i "
            f"FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey HAVING count(*) >= {_least}) d USING (l_partkey)")
+# the rings are drawn so that a radial kernel can part them and a line can not
+oracle("kernel_svm", "SELECT 'kernel' AS model, TRUE AS separates UNION ALL SELECT 'linear', FALSE")
