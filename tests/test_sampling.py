@@ -100,3 +100,15 @@ def test_undersample_shuffles_no_key_before_the_boundary(spark):
             if "Aggregate [" in line]
     assert any("_us_b#" in k and "user_id" not in k for k in keys)
     assert all("_us_cut" in k for k in keys if "user_id" in k)
+
+
+def test_digest_of_a_draw_is_taken_once_a_row(spark):
+    df = spark.range(300).select(F.col("id").cast("string").alias("k"))
+    out = sm.sample_with_replacement(df, 1.7, 5, key="k")
+    # a second md5 in the plan is a second digest of every row
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    steps = sm.poisson_steps(1.7)
+    want = {r["k"]: sum(r["u"] >= s for s in steps) for r in df.select("k", hash60("k", salt="5").alias("u")).collect()}
+    got = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
+    assert got == {k: n for k, n in want.items() if n}
+    assert out.columns == ["k"]

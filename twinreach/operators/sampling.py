@@ -42,11 +42,13 @@ def sample_with_replacement(df: DataFrame, fraction: float, seed: int, key=None)
     empty text.  Without ``key`` this is Spark's own sample."""
     if key is None:
         return df.sample(withReplacement=True, fraction=fraction, seed=seed)
-    u = hash60(key, salt=str(seed))
-    draws = sum((F.when(u >= F.lit(s), 1).otherwise(0) for s in poisson_steps(fraction)), F.lit(0))
-    return (df.withColumn("_draws", draws).where(F.col("_draws") > 0)
-            .withColumn("_draw", F.explode(F.sequence(F.lit(1), F.col("_draws"))))
-            .drop("_draws", "_draw"))
+    def draws(u):
+        return sum((F.when(u >= F.lit(s), 1).otherwise(0) for s in poisson_steps(fraction)), F.lit(0))
+
+    # the digest stands once in the plan, as a lambda's argument: as a column it
+    # would be copied into each step, and once more into a filter of no draws
+    copies = F.transform(F.array(hash60(key, salt=str(seed))), lambda u: F.array_repeat(F.lit(1), draws(u)))
+    return df.withColumn("_draw", F.explode(copies.getItem(0))).drop("_draw")
 
 
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
