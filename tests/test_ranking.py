@@ -94,3 +94,16 @@ from hypothesis import strategies as st  # noqa: E402
        buckets=st.integers(1, 6))
 def test_property_distributed_equals_window(spark, values, buckets):
     _compare(spark, values, buckets)
+
+
+def test_frequent_and_rare_values_give_the_builtin_rank_without_an_aggregate_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(rk, "FREQUENT", 50)
+    rows = [(i, i % 3 if i % 7 else None, float(i) if i % 5 else 1.5) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, a int, b double").repartition(4)
+    out = rk.global_percent_ranks(df, {"a": "pa", "b": "pb"})
+    # a map-side table with an entry a row grows with the size of the input's files
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [_pr_row" in line]
+    want = df.select("id", *[F.percent_rank().over(Window.orderBy(c)).alias(p) for c, p in (("a", "pa"), ("b", "pb"))])
+    assert {r["id"]: (r["pa"], r["pb"]) for r in out.collect()} == {r["id"]: (r["pa"], r["pb"]) for r in want.collect()}
+    assert out.count() == 600

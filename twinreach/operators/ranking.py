@@ -13,8 +13,9 @@ for each distinct value, how many rows sort strictly before it:
 3. Inside each range a running sum gives the rows before a value; totals of
    the ranges (at most ranges + columns rows) give each range's offset.
 4. ``percent_rank = below / (n - 1)`` (0 when n <= 1) goes back by the value,
-   null-safely, to narrow (row, column, value) rows.  The ranks of a row are
-   gathered and joined to the wide table once, by row.
+   null-safely, to narrow (row, column, value) rows: frequent values by a
+   broadcast, all others by a shuffle in which no value has many rows.  The
+   ranks are joined to the wide table by row, a column at a time.
 
 Columns of one type share every step above; smaller numbers are widened to
 ``bigint`` or ``double`` first, which keeps every value.  Nulls sort first (Spark's
@@ -30,14 +31,16 @@ from twinreach.session import cut_lineage
 
 _ROW, _C, _V, _N, _AT, _RANGE, _P = "_pr_row", "_pr_c", "_pr_v", "_pr_n", "_pr_at", "_pr_range", "_pr_p"
 
+FREQUENT = 10_000  # rows of a value that is joined without moving them
 
 # exact widenings, so that more columns share a pass
 WIDENED = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "float": "double"}
 
 
 def value_ranks(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """``_pr_c, _pr_v, _pr_p`` for (column number, value) rows: the percent
-    rank of every distinct value among its column's rows, in a written table.
+    """``_pr_c, _pr_v, _pr_n, _pr_p`` for (column number, value) rows: how often
+    every distinct value occurs and its percent rank among its column's rows, in
+    a written table.
     ``buckets`` is the number of ranges (by default Spark's choice)."""
     counts = pairs.groupBy(_C, _V).agg(F.count(F.lit(1)).alias(_N))
     spread = (counts.repartitionByRange(buckets, _C, _V) if buckets
@@ -57,7 +60,7 @@ def value_ranks(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
     # one row per range and column
     ranked = placed.join(F.broadcast(totals), [_C, _RANGE])
     return cut_lineage(ranked.select(
-        _C, _V, F.when(F.col("_pr_all") <= 1, F.lit(0.0)).otherwise(
+        _C, _V, _N, F.when(F.col("_pr_all") <= 1, F.lit(0.0)).otherwise(
             below.cast("double") / (F.col("_pr_all") - 1).cast("double")).alias(_P)))
 
 
@@ -83,15 +86,23 @@ def global_percent_ranks(df: DataFrame, columns: dict[str, str],
             F.struct(F.lit(number[c]).alias(_C), F.col(c).cast(kind).alias(_V)) for c in sources])).alias("_pr_s")
         ).select(_ROW, "_pr_s.*")
         ranks = value_ranks(pairs.select(_C, _V), buckets).select(
-            F.col(_C).alias("_pr_d"), F.col(_V).alias("_pr_w"), _P)
-        here = pairs.join(ranks, (F.col(_C) == F.col("_pr_d"))
-                          & F.col(_V).eqNullSafe(F.col("_pr_w"))).select(_ROW, _C, _P)
-        found = here if found is None else found.unionByName(here)
-    by_row = found.groupBy(_ROW).agg(*[
-        F.max(F.when(F.col(_C) == i, F.col(_P))).alias(columns[c]) for c, i in number.items()])
+            F.col(_C).alias("_pr_d"), F.col(_V).alias("_pr_w"), _N, _P)
+        same = (F.col(_C) == F.col("_pr_d")) & F.col(_V).eqNullSafe(F.col("_pr_w"))
+        # rows of a frequent value, one in FREQUENT pairs at most, stay where they are
+        tried = pairs.join(F.broadcast(ranks.where(F.col(_N) >= FREQUENT).drop(_N)), same, "left")
+        rest = tried.where(F.col(_P).isNull()).select(_ROW, _C, _V).join(
+            ranks.where(F.col(_N) < FREQUENT).drop(_N), same)
+        for part in (tried.where(F.col(_P).isNotNull()), rest):
+            part = part.select(_ROW, _C, _P)
+            found = part if found is None else found.unionByName(part)
     # an output that replaces a column of the same name takes its place
     kept = [c for c in df.columns if c not in columns.values()]
-    return wide.select(_ROW, *kept).join(by_row, _ROW).drop(_ROW)
+    out = wide.select(_ROW, *kept)
+    # rows are sorted once, and sorting spills; a map-side table of rows would
+    # grow with the input's files
+    for source, i in number.items():
+        out = out.join(found.where(F.col(_C) == i).select(_ROW, F.col(_P).alias(columns[source])), _ROW)
+    return out.drop(_ROW)
 
 
 def global_percent_rank(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
