@@ -31,3 +31,25 @@ def test_ring_with_nulls_constant_columns_and_clashing_names(spark):
     assert sum(r["label"] == r["prediction"] for r in got) / len(rows) > 0.93
     assert {r["id"]: r["prediction"] for r in got}[2000] == 1  # the means stand in: the centre
     assert svm.score(df.limit(0), keep=["id"]).count() == 0
+
+
+def test_fit_keeps_no_projection_and_reaches_the_loss_of_spark_ml(spark, monkeypatch):
+    from pyspark.ml.classification import LinearSVC
+
+    rng = np.random.default_rng(5)
+    rows = [(*map(float, p), int((p ** 2).sum() < 0.6)) for p in rng.uniform(-1, 1, (800, 2))]
+    df = spark.createDataFrame(rows, "x double, y double, label int").repartition(3)
+    kept = []
+    write = kn.cut_lineage
+    monkeypatch.setattr(kn, "cut_lineage", lambda d, **kw: kept.append(d.columns) or write(d, **kw))
+    svm = kn.fit_kernel_svm(df, ["x", "y"], n=60, reg=1e-2)
+    assert [len(c) for c in kept] == [4]  # columns, label and times, not n numbers a row
+    z = np.array([r["v"].toArray() for r in df.select(svm.vector().alias("v")).collect()])
+    y = np.array([2 * r["label"] - 1 for r in df.select("label").collect()])
+
+    def loss(coefficients, intercept):
+        return np.maximum(0, 1 - y * (z @ coefficients + intercept)).mean() + 5e-3 * (
+            (coefficients * z.std(0)) ** 2).sum()
+
+    whole = LinearSVC(regParam=1e-2).fit(df.select(svm.vector().alias("features"), "label"))
+    assert loss(svm.coefficients, svm.intercept) <= 1.01 * loss(whole.coefficients.toArray(), whole.intercept)
