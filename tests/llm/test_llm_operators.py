@@ -419,6 +419,46 @@ def test_near_groups_edge_cases(spark, edge, none):
     assert {(r[0], r[2]) for r in rows_of(ngram_join.near_groups(several))} == {(1, 1), (2, 1)}
 
 
+def test_ranges_bound_what_two_sets_share():
+    """Large sets get more ranges, so that unrelated ones are told apart; the
+    bound never falls below what two sets share."""
+    r = np.random.default_rng(3)
+    for m, n, both in ((5000, 5200, 0), (5000, 5200, 4600), (900, 1100, 500), (4000, 4200, 3900), (1, 1, 1)):
+        common = r.integers(0, 1 << 63, both, dtype=np.uint64) << np.uint64(1)
+        x, y = (np.sort(np.concatenate((common, r.integers(0, 1 << 63, k - both, dtype=np.uint64) << np.uint64(1))))
+                for k in (m, n))
+        u, v = ngram_join._ranges(np.array([m, n]), np.concatenate((x, y)))
+        most = ngram_join._most_shared(u, v)
+        assert len(np.intersect1d(x, y)) <= most
+        if not both:
+            assert most < ngram_join._least_shared(m, n, 75)
+    # a count that does not fit a byte rules nothing out
+    assert ngram_join._ranges(np.array([300]), np.arange(300, dtype=np.uint64)) == [b""]
+
+
+def test_long_unrelated_texts_are_not_compared(spark, monkeypatch):
+    """Texts that share a common passage only: no pair of them gets to the
+    comparison of the sets, but their near copies do and are linked."""
+    r = random.Random(7)
+    docs, compared = [], []
+    for i in range(4):
+        words = [f"u{i} {r.randrange(10**6)}" for _ in range(3000)]
+        words[10:20] = ["a passage that stands in all of these texts here"]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-20]))]
+    stored = ngram_join.stored
+
+    def watched(df, name):
+        out = stored(df, name)
+        if name == "gram-likely":
+            compared.extend(tuple(p) for p in out.collect())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    got = {r[0]: r[2] for r in rows_of(ngram_join.near_groups(frame(spark, docs)))}
+    assert got == {i: i - i % 2 for i in range(8)}
+    assert sorted(set(compared)) == [(0, 1), (2, 3), (4, 5), (6, 7)]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102)],
                                   "a long, b long")

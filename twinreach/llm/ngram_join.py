@@ -22,9 +22,10 @@ threshold; the result is the connected components of the links.
    round takes every candidate pair between different components, so no link
    between components is missed.
 4. *Verification*, once per pair.  A suffix filter compares how many n-grams
-   the two sets have in each of 256 ranges of hashes; only pairs it cannot
-   rule out bring their sets together for the exact intersection.  Texts are
-   shuffled for nodes with a candidate pair only: a bit map of fixed size
+   the two sets have in ranges of hashes, more of them for a larger set; only
+   pairs it cannot rule out bring their texts together, whose sets are made
+   again for the exact intersection.  Texts are
+   shuffled for the nodes of such pairs only: a bit map of fixed size
    keeps most of the others back.
 
 Components are found with large-star and small-star steps over the links.
@@ -92,10 +93,11 @@ def _digests(sizes: np.ndarray, text: np.ndarray, gram: np.ndarray) -> np.ndarra
 
 SIGNED = ("s1", "s2", "s3", "s4")
 _SETS = ("row long, id long, n int, d1 long, d2 long, s1 long, s2 long, s3 long, s4 long, "
-         "bucket int, gram long, count long")
+         "ranges binary, bucket int, gram long, count long")
 _SETS_ARROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("n", pa.int32()),
                          ("d1", pa.int64()), ("d2", pa.int64()),
-                         *((s, pa.int64()) for s in SIGNED), ("bucket", pa.int32()),
+                         *((s, pa.int64()) for s in SIGNED), ("ranges", pa.binary()),
+                         ("bucket", pa.int32()),
                          ("gram", pa.int64()), ("count", pa.int64())])
 
 
@@ -107,6 +109,24 @@ def _parities(texts: int, text: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
 
 
+RANGES, PER_RANGE = 256, 4
+
+
+def _ranges(sizes: np.ndarray, gram: np.ndarray) -> list[bytes]:
+    """Per text, how many n-grams it has in each of some ranges of hashes, a
+    byte each: RANGES, doubled while one would hold more than PER_RANGE on the
+    average.  Nothing if a count does not fit: the text is never ruled out."""
+    out = []
+    edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
+    for a, b in zip(edges, edges[1:]):
+        bits = (RANGES - 1).bit_length()
+        while b - a > PER_RANGE << bits:
+            bits += 1
+        counts = np.bincount((gram[a:b] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        out.append(b"" if counts.max() > 0xFF else counts.astype(np.uint8).tobytes())
+    return out
+
+
 class Seen:
     """Sets met in a task: copies of one are told by size and digest."""
 
@@ -163,6 +183,7 @@ def measured(ngram: int):
                 yield rows(row=batch.column("row").slice(base, k), id=batch.column("id").slice(base, k),
                            n=pa.array(sizes.astype(np.int32)), d1=pa.array(d[:, 0].copy()),
                            d2=pa.array(d[:, 1].copy()),
+                           ranges=pa.array(_ranges(sizes, all_), pa.binary()),
                            **{s: pa.array(signed[:, i].copy()) for i, s in enumerate(SIGNED)})
         if size:
             yield name()
@@ -310,29 +331,16 @@ def shared(threshold: int, near: int = 64):
     return run
 
 
-RANGES = 256
-
-
 def collected(ngram: int):
-    """The sets with the given digests as packed arrays, and how many n-grams
-    each has in RANGES ranges of hashes."""
+    """The texts whose sets have the given digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, sizes, text, gram in _sets(batch.column("body"), ngram):
                 d = _digests(sizes, text, gram)
-                edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
-                counts = np.bincount(text * RANGES + (gram >> np.uint64(56)).astype(np.int64),
-                                     minlength=len(sizes) * RANGES).reshape(-1, RANGES)
-                # a count that does not fit two bytes: the text is never ruled out
-                counts[counts.max(axis=1) > 0xFFFF] = 0xFFFF
                 own = [batch.column(c).slice(base, len(sizes)).to_numpy() for c in ("d1", "d2")]
                 same = pa.array((d[:, 0] == own[0]) & (d[:, 1] == own[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(base, len(sizes)), pa.array(sizes.astype(np.int32)),
-                     pa.array([c.tobytes() for c in counts.astype("<u2")], pa.binary()),
-                     pa.array([gram[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-                    ["rep", "n", "ranges", "grams"]).filter(same)
+                yield batch.select(["rep", "body"]).slice(base, len(sizes)).filter(same)
 
     return run
 
@@ -341,30 +349,41 @@ def _least_shared(m: np.ndarray, n: np.ndarray, threshold: int) -> np.ndarray:
     return -(-threshold * (m + n) // (100 + threshold))
 
 
+def _most_shared(x: bytes, y: bytes) -> int:
+    """N-grams that two sets can share at most, by their ranges; the finer
+    ranges of one are added up to those of the other."""
+    u, v = (np.frombuffer(c, np.uint8).astype(np.int64) for c in (x, y))
+    k = min(len(u), len(v))
+    return int(np.minimum(u.reshape(k, -1).sum(axis=1), v.reshape(k, -1).sum(axis=1)).sum())
+
+
 def plausible(threshold: int):
     """Suffix filter: pairs that can share enough n-grams in all ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, RANGES)
-                    for c in ("x", "y"))
             m, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("m", "n"))
-            keep = pa.array(np.minimum(x, y).sum(axis=1, dtype=np.int64)
-                            >= _least_shared(m, n, threshold))
+            keep = [not x or not y or _most_shared(x, y) >= least for x, y, least in zip(
+                batch.column("x").to_pylist(), batch.column("y").to_pylist(),
+                _least_shared(m, n, threshold).tolist())]
+            keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
     return run
 
 
-def verified(threshold: int):
-    """Pairs whose sets are similar enough."""
+def verified(ngram: int, threshold: int):
+    """Pairs of texts whose sets are similar enough."""
+
+    def grams(column: pa.Array) -> Iterator[np.ndarray]:
+        for _, sizes, _, gram in _sets(column, ngram):
+            yield from np.split(gram, np.cumsum(sizes)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             links = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            for s, t in zip(grams(batch.column("x")), grams(batch.column("y"))):
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 links.append(both >= _least_shared(len(s), len(t), threshold))
             keep = pa.array(links, pa.bool_())
@@ -449,11 +468,11 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     source = docs.select(F.col("doc_id").alias("id"), body)
     sets = stored(source.withColumn("row", F.monotonically_increasing_id())
                   .mapInArrow(tidy(measured(ngram)), _SETS), "gram-sets")
-    rows = sets.where("row is not null").select("row", "id", "n", "d1", "d2", *SIGNED)
+    rows = sets.where("row is not null").select("row", "id", "n", "d1", "d2", *SIGNED, "ranges")
     full = rows.where("n > 0 and id is not null")
     reps = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), *[F.first(s).alias(s) for s in SIGNED])
     reps = stored(reps, "gram-nodes")
-    nodes = stored(rows.join(reps.withColumnRenamed("n", "m").withColumnRenamed("d1", "e1")
+    nodes = stored(rows.drop("ranges").join(reps.withColumnRenamed("n", "m").withColumnRenamed("d1", "e1")
                              .withColumnRenamed("d2", "e2").drop(*SIGNED),
                              (F.col("n") == F.col("m")) & (F.col("d1") == F.col("e1"))
                              & (F.col("d2") == F.col("e2")) & F.col("id").isNotNull(), "left")
@@ -478,11 +497,12 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
     # a node of several sets brings the bits of each
     postings = postings.join(own.select("rep", *SIGNED).hint("merge"), "rep")
     # nodes have no size bound, so they are not broadcast at any size
-    texts = (living(source, own).join(own.hint("merge"), F.col("id") == F.col("rep"))
-             .select("rep", "d1", "d2", "body"))
-    grams = texts.mapInArrow(
-        tidy(collected(ngram)), "rep long, n int, ranges binary, grams binary")
-    grams = stored(grams, "gram-values")
+    digest = own.select("rep", F.col("d1").alias("e1"), F.col("d2").alias("e2"))
+    ranges = (living(full.select("id", "n", "d1", "d2", "ranges"), own)
+              .join(digest.hint("merge"), F.col("id") == F.col("rep"))
+              .where("d1 = e1 and d2 = e2").groupBy("rep")
+              .agg(F.first("n").alias("n"), F.first("ranges").alias("ranges")))
+    ranges = stored(ranges, "gram-ranges")
 
     # an id with several sets is one document: its sets are linked
     several = nodes.where("rep is not null").groupBy("id").agg(
@@ -495,7 +515,9 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
         pairs, mixed, held = _candidates(postings, labels, threshold, step, last=step == star_rounds)
         if step < star_rounds:
             # components only grow, so an n-gram within one never gives a pair again
-            postings = held.join(mixed.select("gram"), "gram", "left_semi").drop("comp")
+            # and of two nodes the first round has taken the only pair
+            left = mixed.where("nodes > 2") if step == 0 else mixed
+            postings = held.join(left.select("gram"), "gram", "left_semi").drop("comp")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs.distinct(), "gram-pairs")
@@ -504,18 +526,24 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
                 break
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        small = (pairs.join(grams.select(F.col("rep").alias("a"), F.col("ranges").alias("x"),
-                                         F.col("n").alias("m")), "a")
-                 .join(grams.select(F.col("rep").alias("b"), F.col("ranges").alias("y"), "n"), "b"))
+        small = (pairs.join(ranges.select(F.col("rep").alias("a"), F.col("ranges").alias("x"),
+                                          F.col("n").alias("m")), "a")
+                 .join(ranges.select(F.col("rep").alias("b"), F.col("ranges").alias("y"), "n"), "b"))
         likely = stored(small.select("a", "b", "x", "y", "m", "n").mapInArrow(
             tidy(plausible(threshold)), "a long, b long"), "gram-likely")
-        # only the sets of these pairs are shuffled
-        used = stored(likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "gram-used")
-        sets_used = stored(grams.join(used, "rep", "left_semi").select("rep", "grams"), "gram-sets-used")
-        meet = (likely.join(sets_used.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
-                .join(sets_used.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
+        if not has_rows(likely):
+            continue
+        # only the texts of these pairs are shuffled
+        used = likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        used = stored(own.select("rep", "d1", "d2").join(used, "rep", "left_semi"), "gram-used")
+        texts = (living(source, used).join(used.hint("merge"), F.col("id") == F.col("rep"))
+                 .select("rep", "d1", "d2", "body").mapInArrow(tidy(collected(ngram)), "rep long, body binary")
+                 .groupBy("rep").agg(F.first("body").alias("body")))
+        texts = stored(texts, "gram-texts-used")
+        meet = (likely.join(texts.select(F.col("rep").alias("a"), F.col("body").alias("x")), "a")
+                .join(texts.select(F.col("rep").alias("b"), F.col("body").alias("y")), "b"))
         new = stored(meet.select("a", "b", "x", "y").mapInArrow(
-            tidy(verified(threshold)), "a long, b long"), "gram-links")
+            tidy(verified(ngram, threshold)), "a long, b long"), "gram-links")
         if has_rows(new):
             # a component's links are kept as (node, smallest node)
             links = labels.select(F.col("comp").alias("a"), F.col("rep").alias("b")).unionByName(new)
@@ -526,16 +554,16 @@ def linked_nodes(docs: DataFrame, ngram: int = NGRAM, threshold: int = THRESHOLD
 def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: int,
                 last: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (a, b), a < b, between different components, once per n-gram they
-    share; the n-grams that several components share; and the postings with
-    their components.  After the first round each n-gram draws hubs of its
+    share; the n-grams that several components share, with their number of
+    postings; and the postings with their components.  After the first round each n-gram draws hubs of its
     own, so a node meets many of a component before the last round."""
     held = (postings.join(labels, "rep", "left")
             .withColumn("comp", F.coalesce("comp", "rep")))
     held = stored(held, "gram-labelled")
     mixed = (held.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"))
              .groupBy("gram").agg(F.max_by("comp", F.struct("size", -F.col("comp"))).alias("main"),
-                                  F.count(F.lit(1)).alias("comps"))
-             .where("comps > 1").select("gram", "main"))
+                                  F.count(F.lit(1)).alias("comps"), F.sum("size").alias("nodes"))
+             .where("comps > 1").select("gram", "main", "nodes"))
     mixed = stored(mixed, "gram-mixed")
     posting = ("rep", "n", "pos", *SIGNED)
     some = held.join(mixed.select("gram"), "gram", "left_semi").withColumnRenamed("gram", "g")
@@ -549,7 +577,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, threshold: int, step: in
         return (hub.join(some, (F.col("gram") == F.col("g")) & (F.col("comp") != F.col("c"))
                          & _possible(threshold))
                 .select(*_pair("rep", _other("rep")))), mixed, held
-    others = held.join(mixed, "gram").where("comp <> main")
+    others = held.join(mixed.drop("nodes"), "gram").where("comp <> main")
     others = others.select("gram", *[F.col(c).alias(_other(c)) for c in posting],
                            F.col("comp").alias("c"), "main")
     # nodes outside the main component of an n-gram, with all other nodes there
