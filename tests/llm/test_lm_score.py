@@ -163,6 +163,18 @@ def test_left_out_levels_go_to_the_shorter_history(spark):
         assert math.isfinite(r["score"]) and r["score"] < 0
 
 
+@pytest.mark.parametrize("kw", [{"max_bytes": 4000}, {"max_bytes": 0}, {"max_bytes": 9000, "order": 3}])
+def test_what_the_filter_lacks_is_looked_up(spark, monkeypatch, kw):
+    """The scores are those of a filter that holds every level."""
+    monkeypatch.setattr(lm, "BLOCK", 20_000)
+    whole, small = ({(r["doc_id"], r["n_tokens"]): tuple(r) for r in run(spark, DOCS, bits=60, hashes=8, **k)}
+                    for k in ({**kw, "max_bytes": lm.MAX_BYTES}, kw))
+    assert whole.keys() == small.keys()
+    for key, r in small.items():
+        assert r[:5] == whole[key][:5] and math.isclose(r[5], whole[key][5], rel_tol=1e-9)
+        assert math.isclose(r[6], whole[key][6], rel_tol=1e-6)
+
+
 def test_no_training_rows_and_empty_table(spark):
     out = [i for i in range(100) if is_held_out(i)]
     for r in run(spark, [(i, "a b") for i in out]):

@@ -17,9 +17,12 @@
    n1 / (n1 + 2 n2), over all its n-grams.
 
 What is broadcast is bounded by ``max_bytes``.  When the entries of a corpus
-need more, levels are left out from the bottom, the same for all n-grams,
-until the rest fits; what is left out is not lost to the model: its count
-goes to the shorter history, as the discounts do.
+need more, n-grams below a level are not entered, the same level for all, so
+that the rest fits.  What a text asks of the filter and does not find at that
+level is then looked up in the counts themselves: blocks of texts write down
+their open questions, these are shuffled to the ranges of histories, and the
+answers and the texts meet again by block.  So the model is the same at every
+``max_bytes``, but for false hits of the filter.
 
 The unigram base uses exact counts: the most frequent words (a bounded table)
 are looked up in the task, all others by a join.  Words are told apart by
@@ -50,6 +53,7 @@ FREQUENT = 1 << 18  # most words looked up in the task
 PART_BYTES = 32 << 20  # of text per range of histories
 SEGMENT = 1 << 16  # n-grams of a segment, and those of its last history
 RUN = 1 << 19  # bytes of text scored at once
+BLOCK = 1 << 21  # bytes of text that ask together for what the filter lacks
 FLUSH = 1 << 19  # tokens counted in a task before they are sent on
 
 BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -182,9 +186,9 @@ def level_means(base: float) -> np.ndarray:
     return out
 
 
-_MERGED = ("kind int, keys binary, words binary, counts binary, total long, ones long, twos long, "
+_MERGED = ("part int, kind int, keys binary, words binary, counts binary, total long, ones long, twos long, "
            "entries array<long>, events array<long>")
-_MERGED_ARROW = pa.schema([*list(_COUNTED_ARROW)[1:], *((c, pa.int64()) for c in ("total", "ones", "twos")),
+_MERGED_ARROW = pa.schema([*_COUNTED_ARROW, *((c, pa.int64()) for c in ("total", "ones", "twos")),
                            *((c, pa.list_(pa.int64())) for c in ("entries", "events"))])
 
 
@@ -200,7 +204,7 @@ def merged(base: float):
     """Of rows sorted by part and kind: the sums, a row per segment, with
     numbers of n-grams and of entries by level.  A history lies in one row."""
 
-    def close(_part: int, kind: int, held) -> Iterator[pa.RecordBatch]:
+    def close(part: int, kind: int, held) -> Iterator[pa.RecordBatch]:
         key, word, n = (np.frombuffer(b"".join(c), t) for c, t in zip(held, _TYPES))
         _, *sums = _summed(np.zeros(len(key), np.int8), key, word, n)
         cuts = sums[0][::SEGMENT][1:]
@@ -214,7 +218,7 @@ def merged(base: float):
             if kind > 1:
                 events = events + _history_events(key, n, level, base)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([kind], pa.int32()),
+                [pa.array([part], pa.int32()), pa.array([kind], pa.int32()),
                  *(pa.array([c.astype(t).tobytes()], pa.binary()) for c, t in zip((key, word, n), _TYPES)),
                  *(pa.array([int(v)], pa.int64()) for v in (n.sum(), (n == 1).sum(), (n == 2).sum())),
                  pa.array([entries.tolist()], pa.list_(pa.int64())),
@@ -259,25 +263,23 @@ def segment(keys: np.ndarray, levels: np.ndarray, bits: int, hashes: int) -> np.
     return np.packbits(found, bitorder="little")
 
 
-def entered(kind: int, key: np.ndarray, word: np.ndarray, n: np.ndarray, base: float, least: int,
-            discount: float) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, levels) to enter for the sums of one part and kind."""
+def entered(kind: int, key: np.ndarray, word: np.ndarray, n: np.ndarray, base: float,
+            least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, levels) to enter for the sums of one part and kind: n-grams from
+    level ``least`` on, and how many different words follow their histories."""
     level = level_of(n, base)
     keep = level >= least
     if kind == 1:
         return mix(key ^ _WORD)[keep], level[keep]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    total = np.add.reduceat(n, first)
-    stays = np.add.reduceat(np.where(keep, n - discount, 0.0), first)
+    shares = np.diff(np.append(first, len(key)))
     used = np.maximum.reduceat(keep, first)
-    # what the shorter history gets, in discounts: one per n-gram, and what is left out
-    shares = np.maximum(1, np.rint((total - stays) / discount)).astype(np.int64)
     history = key[first][used]
     return (np.concatenate((gram_key(key, word)[keep], mix(history ^ _KINDS))),
             np.concatenate((level[keep], level_of(shares[used], base))))
 
 
-def built(base: float, least: int, discounts: dict[int, float], bits: int, hashes: int):
+def built(base: float, least: int, bits: int, hashes: int):
     """Segments of the filter, with the first key of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +287,7 @@ def built(base: float, least: int, discounts: dict[int, float], bits: int, hashe
             for i, kind in enumerate(batch.column("kind").to_pylist()):
                 key, word, n = (np.frombuffer(batch.column(c)[i].as_buffer(), t)
                                 for c, t in zip(("keys", "words", "counts"), _TYPES))
-                made = segment(*entered(kind, key, word.astype(np.uint64), n, base, least,
-                                        discounts.get(kind, 0.5)), bits, hashes)
+                made = segment(*entered(kind, key, word.astype(np.uint64), n, base, least), bits, hashes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("kind").slice(i, 1), pa.array(key[:1].view(np.int64)),
                      pa.array([made.tobytes()], pa.binary())], ["kind", "low", "bits"])
@@ -345,6 +346,31 @@ class Filter:
 
 # -- model -----------------------------------------------------------------------
 
+@dataclass
+class Found:
+    """Levels that the filter has for the words (kind 1) or n-grams of a run."""
+
+    kind: int
+    keys: np.ndarray  # different words or histories, in order
+    order: np.ndarray | None = None  # tokens by history
+    of: np.ndarray | None = None  # place of the history, per token in that order
+    low: np.ndarray | None = None  # low half of the token, in that order
+    levels: np.ndarray | None = None  # per key: of the word, or of how many words follow
+    grams: np.ndarray | None = None  # per token in that order: of the n-gram
+
+    def open(self, least: int) -> tuple[np.ndarray, ...]:
+        """What is to be looked up: (places of keys, and of kinds from 2: how
+        many n-grams of each key, low halves of their words, tokens in order,
+        the n-gram of each).  A word or n-gram entered has at least level
+        ``least``, and then its history is entered too."""
+        if self.kind == 1:
+            return (np.flatnonzero(self.levels < least),)
+        at = np.flatnonzero(self.grams < least)
+        gram, which = np.unique((self.of[at].astype(np.uint64) << _32) | self.low[at], return_inverse=True)
+        places, sizes = np.unique(gram >> _32, return_counts=True)
+        return places.astype(np.int64), sizes, gram & _LOW32, at, which
+
+
 @dataclass
 class Model:
     order: int
@@ -359,32 +385,42 @@ class Model:
     def denominator(self) -> float:
         return self.train_tokens + ADDED * (self.kinds + 1)
 
-    def log10(self, t: Tokens, word: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after those before it; ``word`` are
-        the different tokens, in order, and ``which`` is each token's."""
-        means = level_means(self.base)
+    def found(self, t: Tokens, word: np.ndarray) -> list[Found]:
+        """What the filter tells of the different tokens ``word``, in order,
+        and of the n-grams of each kind from 2."""
+        out = [Found(1, word)]
         keys, where = [mix(word ^ _WORD)], [self.filter.where(1, word)]
-        known = []
         for kind, h in enumerate(t.histories, 2):
             order = np.argsort(h)
             own = h[order]
             new = np.concatenate(([True], own[1:] != own[:-1]))
             history, of = own[new], np.cumsum(new) - 1
+            low = t.token[order] & _LOW32
             place = self.filter.where(kind, history)
-            keys += [mix(history ^ _KINDS), gram_key(own, t.token[order] & _LOW32)]
+            keys += [mix(history ^ _KINDS), gram_key(own, low)]
             where += [place, place[of]]
-            known.append((order, of))
-        found = self.filter.levels(np.concatenate(keys), np.concatenate(where))
-        counts = iter(np.split(means[found], np.cumsum([len(k) for k in keys])[:-1]))
-        n = next(counts)[which]
+            out.append(Found(kind, history, order, of, low))
+        levels = self.filter.levels(np.concatenate(keys), np.concatenate(where))
+        levels = iter(np.split(levels, np.cumsum([len(k) for k in keys])[:-1]))
+        for f in out:
+            f.levels = next(levels)
+            if f.kind > 1:
+                f.grams = next(levels)
+        return out
+
+    def log10(self, t: Tokens, found: list[Found], which: np.ndarray) -> np.ndarray:
+        """log10 probability of each token after those before it; ``which`` is
+        each token's place among the different ones."""
+        means = level_means(self.base)
+        n = means[found[0].levels][which]
         p = (n + ADDED) / self.denominator()
         starts = np.concatenate(([True], t.text[1:] != t.text[:-1]))
-        for kind, (order, of) in enumerate(known, 2):
+        for f in found[1:]:
             # a history occurs as often as the shorter n-gram that it is
             total = np.where(starts, self.train_texts, np.roll(n, 1))
-            shares, n = np.empty((2, len(order)))
-            shares[order], n[order] = next(counts)[of], next(counts)
-            d = self.discounts.get(kind, 0.5)
+            shares, n = np.empty((2, len(f.order)))
+            shares[f.order], n[f.order] = means[f.levels][f.of], means[f.grams]
+            d = self.discounts.get(f.kind, 0.5)
             own, rest = np.maximum(n - d, 0.0), d * shares
             # quantised counts may add up to more than the history's
             whole = np.maximum(total, own + rest)
@@ -409,9 +445,9 @@ def _by_level(table: DataFrame, column: str, levels: int) -> dict[int, np.ndarra
 
 
 def train(docs: DataFrame, order: int = ORDER, base: float = BASE, bits: int = BITS,
-          hashes: int = HASHES, max_bytes: int = MAX_BYTES) -> tuple[Model, DataFrame, np.ndarray]:
-    """(model, exact counts (token, n), number of words by level) from the
-    texts of ``docs`` (body)."""
+          hashes: int = HASHES, max_bytes: int = MAX_BYTES) -> tuple[Model, DataFrame, np.ndarray, int]:
+    """(model, sums by part and kind, number of words by level, number of
+    parts) from the texts of ``docs`` (body)."""
     spark = docs.sparkSession
     texts, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("body"))).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // PART_BYTES)
@@ -424,19 +460,18 @@ def train(docs: DataFrame, order: int = ORDER, base: float = BASE, bits: int = B
                  for k, r in totals.items() if k > 1}
     levels = level_count(base)
     entries, events = (_by_level(sums, c, levels) for c in ("entries", "events"))
-    # entries needed when levels below the place are left out
+    # entries needed when n-grams of levels below the place are not entered
     need = sum(events.values(), np.zeros(levels, np.int64))[::-1].cumsum()[::-1]
     fits = np.flatnonzero(need * bits <= max_bytes * 8)
     least = max(1, int(fits[0]) if len(fits) else levels)
     made = stored(sums.select("kind", "keys", "words", "counts").mapInArrow(
-        tidy(built(base, least, discounts, bits, hashes)), "kind int, low long, bits binary"), "lm-filter")
+        tidy(built(base, least, bits, hashes)), "kind int, low long, bits binary"), "lm-filter")
     # ``max_bytes``, and eight bytes per segment, at most
     segments = [tuple(r) for r in made.toLocalIterator()]
     words = entries.get(1, np.zeros(levels, np.int64))
     model = Model(order, base, texts, totals[1]["total"] if 1 in totals else 0, int(words.sum()),
                   discounts, least, Filter(segments, order, hashes, base))
-    counts = sums.where("kind = 1").select("keys", "counts").mapInArrow(_unpacked, "token long, n long")
-    return model, counts, words
+    return model, sums, words, parts
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,6 +490,32 @@ _SCORED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_o
                            ("times", pa.list_(pa.int64()))])
 
 
+def _scores(model: Model, t: Tokens, found: list[Found], different: np.ndarray, which: np.ndarray,
+            own: list[pa.Array], frequent: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
+    """Scores of a run of texts, ``own`` being their row, doc_id and held_out."""
+    score = np.bincount(t.text, model.log10(t, found, which), t.texts)
+    # each word of a text once
+    pairs, times = np.unique(t.text * len(different) + which, return_counts=True)
+    text, word = np.divmod(pairs, max(len(different), 1))
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, different), len(frequent) - 1)
+        here, log = (frequent[at] == different)[word], logs[at][word]
+    else:
+        here, log = np.zeros(len(word), bool), np.zeros(len(word))
+    word = different[word]
+    rare = np.concatenate(([0], np.cumsum(np.bincount(text[~here], minlength=t.texts))))
+    lists = [pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(v))
+             for v in (word[~here].view(np.int64), times[~here])]
+    base = np.bincount(text[here], times[here] * log[here], t.texts)
+    known = np.bincount(text[here], times[here], t.texts).astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [*own, pa.array(np.bincount(t.text, minlength=t.texts)), pa.array(known),
+         pa.array(base), pa.array(score), *lists], schema=_SCORED_ARROW)
+
+
+_OWN = ("row", "doc_id", "held_out")
+
+
 def scored(sent, frequent: np.ndarray, logs: np.ndarray):
     """Scores of texts; ``frequent`` (sorted) and ``logs`` are the words
     looked up here and the logarithms of their counts, the others of a text
@@ -465,29 +526,175 @@ def scored(sent, frequent: np.ndarray, logs: np.ndarray):
         for batch in batches:
             for t in tokens(batch.column("body"), model.order, RUN):
                 different, which = np.unique(t.token, return_inverse=True)
-                score = np.bincount(t.text, model.log10(t, different, which), t.texts)
-                # each word of a text once
-                pairs, times = np.unique(t.text * len(different) + which, return_counts=True)
-                text, word = np.divmod(pairs, max(len(different), 1))
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, different), len(frequent) - 1)
-                    here, log = (frequent[at] == different)[word], logs[at][word]
+                own = [batch.column(c).slice(t.first_row, t.texts) for c in _OWN]
+                yield _scores(model, t, model.found(t, different), different, which, own, frequent, logs)
+
+    return run
+
+
+# -- what the filter lacks ---------------------------------------------------------
+
+_ASKED = ("block long, row long, doc_id long, held_out boolean, body binary, part int, kind int, "
+          "keys binary, sizes binary, words binary")
+_ASKED_ARROW = pa.schema([("block", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()),
+                          ("held_out", pa.bool_()), ("body", pa.binary()), ("part", pa.int32()),
+                          ("kind", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()),
+                          ("words", pa.binary())])
+
+
+def _asked_rows(**columns) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [columns.get(f.name, pa.nulls(size, f.type)) for f in _ASKED_ARROW], schema=_ASKED_ARROW)
+
+
+def asked(sent, parts: int):
+    """The texts in blocks, named by their first row, and what each block has
+    to look up, a row per part and kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = sent.value
+        for batch in batches:
+            for t in tokens(batch.column("body"), model.order, BLOCK):
+                own = {c: batch.column(c).slice(t.first_row, t.texts) for c in (*_OWN, "body")}
+                block = own["row"][0].as_py()
+                yield _asked_rows(block=pa.array(np.full(t.texts, block)), **own)
+                for f in model.found(t, np.unique(t.token)):
+                    places, *grams = f.open(model.least)
+                    keys = f.keys[places].astype("<u8")
+                    sizes, words = (g.astype("<u4") for g in grams[:2]) if grams else (None, None)
+                    edges = np.searchsorted(part_of(keys, parts), np.arange(parts + 1, dtype=np.uint64))
+                    some = np.flatnonzero(np.diff(edges))
+                    if not len(some):
+                        continue
+                    columns = {"keys": (keys, edges)}
+                    if grams:
+                        ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+                        columns |= {"sizes": (sizes, edges), "words": (words, ends[edges])}
+                    yield _asked_rows(
+                        block=pa.array(np.full(len(some), block)), part=pa.array(some.astype(np.int32)),
+                        kind=pa.array(np.full(len(some), f.kind, np.int32)),
+                        **{c: pa.array([v[e[p]:e[p + 1]].tobytes() for p in some.tolist()], pa.binary())
+                           for c, (v, e) in columns.items()})
+
+    return run
+
+
+_ANSWERED = "block long, part int, kind int, levels binary, grams binary"
+_ANSWERED_ARROW = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()),
+                             ("levels", pa.binary()), ("grams", pa.binary())])
+
+
+def answered(base: float):
+    """Of rows sorted by part, kind and block: levels of what the blocks ask,
+    from the counts of that part and kind, which have no block and come first."""
+
+    class Counts:
+        def __init__(self, kind: int, held: list):
+            held = sorted(held, key=lambda c: int(c[0][0]))  # a segment each
+            key, word, n = (np.concatenate([c[i] for c in held]) if held else np.empty(0, t)
+                            for i, t in enumerate(_TYPES))
+            self.level = level_of(n, base)
+            if kind == 1:
+                self.keys = key
+                return
+            new = np.concatenate(([True], key[1:] != key[:-1]))[:len(key)]
+            first = np.flatnonzero(new)
+            self.keys = key[first]
+            self.shares = level_of(np.diff(np.append(first, len(key))), base)
+            self.grams = ((np.cumsum(new) - 1).astype(np.uint64) << _32) | word
+
+        @staticmethod
+        def _level(of: np.ndarray, asked: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if not len(of):
+                return np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
+            at = np.minimum(np.searchsorted(of, asked), len(of) - 1)
+            return at, np.where(of[at] == asked, levels[at], 0)
+
+        def words(self, keys: np.ndarray) -> np.ndarray:
+            return self._level(self.keys, keys, self.level)[1]
+
+        def histories(self, keys: np.ndarray, sizes: np.ndarray, words: np.ndarray):
+            at, shares = self._level(self.keys, keys, self.shares)
+            gram = (np.repeat(at, sizes).astype(np.uint64) << _32) | words
+            grams = self._level(self.grams, gram, self.level)[1]
+            return shares, np.where(np.repeat(shares > 0, sizes), grams, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, counts = None, [], None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["part"], r["kind"]) != now:
+                    now, held, counts = (r["part"], r["kind"]), [], None
+                if r["block"] is None:
+                    held.append([np.frombuffer(r[c], t) for c, t in zip(("keys", "words", "counts"), _TYPES)])
+                    continue
+                if counts is None:
+                    counts, held = Counts(r["kind"], held), []
+                keys, grams = np.frombuffer(r["keys"], "<u8"), None
+                if r["kind"] == 1:
+                    levels = counts.words(keys)
                 else:
-                    here, log = np.zeros(len(word), bool), np.zeros(len(word))
-                word = different[word]
-                rare = np.concatenate(([0], np.cumsum(np.bincount(text[~here], minlength=t.texts))))
-                lists = [pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(v))
-                         for v in (word[~here].view(np.int64), times[~here])]
-                base = np.bincount(text[here], times[here] * log[here], t.texts)
-                known = np.bincount(text[here], times[here], t.texts).astype(np.int64)
+                    levels, grams = counts.histories(keys, *(np.frombuffer(r[c], "<u4")
+                                                             for c in ("sizes", "words")))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(t.first_row, t.texts) for c in ("row", "doc_id", "held_out")),
-                     pa.array(np.bincount(t.text, minlength=t.texts)), pa.array(known),
-                     pa.array(base), pa.array(score), *lists], schema=_SCORED_ARROW)
+                    [pa.array([r["block"]], pa.int64()), pa.array([r["part"]], pa.int32()),
+                     pa.array([r["kind"]], pa.int32()), *(pa.array(
+                         [None if v is None else v.astype("<u2").tobytes()], pa.binary())
+                         for v in (levels, grams))], schema=_ANSWERED_ARROW)
+
+    return run
+
+
+def scored_blocks(sent, frequent: np.ndarray, logs: np.ndarray):
+    """``scored`` of rows sorted by block and row: the answers, which have no
+    row, come before the texts of their block."""
+
+    def close(texts: list, answers: list) -> pa.RecordBatch:
+        model: Model = sent.value
+        (t,) = tokens(pa.array([r["body"] for r in texts], pa.binary()), model.order, BLOCK)
+        different, which = np.unique(t.token, return_inverse=True)
+        found = model.found(t, different)
+        for f in found:
+            of = sorted((r["part"], r["levels"], r["grams"]) for r in answers if r["kind"] == f.kind)
+            places, *grams = f.open(model.least)
+            f.levels[places] = np.frombuffer(b"".join(levels for _, levels, _ in of), "<u2")
+            if grams:
+                _, _, at, gram = grams
+                f.grams[at] = np.frombuffer(b"".join(g for _, _, g in of), "<u2")[gram]
+        own = [pa.array([r[c] for r in texts], _SCORED_ARROW.field(c).type) for c in _OWN]
+        return _scores(model, t, found, different, which, own, frequent, logs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, texts, answers = None, [], []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["block"] != block:
+                    if texts:
+                        yield close(texts, answers)
+                    block, texts, answers = r["block"], [], []
+                (answers if r["row"] is None else texts).append(r)
+        if texts:
+            yield close(texts, answers)
 
     return run
 
 
+def _looked_up(rows: DataFrame, sums: DataFrame, sent, base: float, parts: int) -> DataFrame:
+    """Texts and answers, in order of their blocks."""
+    asks = stored(rows.mapInArrow(tidy(asked(sent, parts)), _ASKED), "lm-asked")
+    none = F.lit(None)
+    counts = sums.select(none.cast("long").alias("block"), "part", "kind", "keys",
+                         none.cast("binary").alias("sizes"), "words", "counts")
+    told = (asks.where("part is not null").select("block", "part", "kind", "keys", "sizes", "words",
+                                                  none.cast("binary").alias("counts"))
+            .unionByName(counts).repartition("part").sortWithinPartitions("part", "kind", "block")
+            .mapInArrow(tidy(answered(base)), _ANSWERED))
+    texts = asks.where("part is null").select("block", "row", "doc_id", "held_out", "body")
+    return (texts.unionByName(told, allowMissingColumns=True)
+            .repartition("block").sortWithinPartitions("block", "row"))
+
+
 def lm_scores(docs: DataFrame, order: int = ORDER, base: float = BASE, bits: int = BITS,
               hashes: int = HASHES, max_bytes: int = MAX_BYTES, most_frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
@@ -503,8 +710,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, base: float = BASE, bits: int
     rows = docs.select(F.monotonically_increasing_id().alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held_out"),
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
-    model, counts, words = train(rows.where(~F.col("held_out")), order, base, bits, hashes, max_bytes)
-    counts = stored(counts, "lm-words")
+    model, sums, words, parts = train(rows.where(~F.col("held_out")), order, base, bits, hashes, max_bytes)
+    counts = stored(sums.where("kind = 1").select("keys", "counts")
+                    .mapInArrow(_unpacked, "token long, n long"), "lm-words")
     # the lowest level from which on the words fit the table
     fits = np.flatnonzero(words[::-1].cumsum()[::-1] <= most_frequent)
     floor = math.ceil(base ** (max(int(fits[0]), 1) - 1) - 1e-9) if len(fits) else 1 << 62
@@ -513,8 +721,12 @@ def lm_scores(docs: DataFrame, order: int = ORDER, base: float = BASE, bits: int
     by_token = np.argsort(token)
     logs = np.log10(top.column("n").to_numpy()[by_token] + ADDED)
     sent = spark.sparkContext.broadcast(model)
-    out = stored(rows.mapInArrow(
-        tidy(scored(sent, token[by_token], logs)), _SCORED), "lm-scored")
+    if model.least == 1:
+        out = rows.mapInArrow(tidy(scored(sent, token[by_token], logs)), _SCORED)
+    else:
+        out = _looked_up(rows, sums, sent, base, parts).mapInArrow(
+            tidy(scored_blocks(sent, token[by_token], logs)), _SCORED)
+    out = stored(out, "lm-scored")
     sent.destroy()
     rare = (out.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
             .select("row", F.col("w.rare").alias("token"), F.col("w.times").alias("times"))
