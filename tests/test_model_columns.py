@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from twinreach.operators import model_columns as mc
@@ -93,3 +94,16 @@ def test_what_is_not_compiled_is_refused(rows):
                              PCA(k=1, inputCol="v", outputCol="features"), md.gbt()]).fit(clean)
     with pytest.raises(ValueError, match="PCA"):
         mc.score_columns(other, clean)
+
+
+@pytest.mark.parametrize("name", ["Logistic Regression", "Random Forest", "SVM"])
+def test_scored_in_a_session_that_has_observed_a_frame(spark, rows, name):
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3
+    assert seen.get == {"n": 3}
+    est = md.candidate_classifiers()[name]
+    assert_same(fitted(rows, est), rows)
+    metrics, models = md.compare_classifiers(rows.drop("probability"), rows.drop("probability"), ["genre"],
+                                             ["hours", "age"], candidates={name: est})
+    assert [r["model"] for r in metrics.collect()] == [name]
+    assert_same(models[name], rows)

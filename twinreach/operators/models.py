@@ -24,7 +24,7 @@ from twinreach.operators.frames import align_to, dedupe_rows, drop_helper_column
 from twinreach.operators.metrics import classification_metrics
 from twinreach.operators.prep import cast_numeric, feature_stages
 from twinreach.operators.sampling import undersample
-from twinreach.session import cut_lineage
+from twinreach.session import cut_lineage, scratch_path
 
 
 def candidate_classifiers(label: str = "label", features: str = "features", seed: int = 42) -> dict:
@@ -44,11 +44,23 @@ def gbt(label: str = "label", features: str = "features", max_iter: int = 10, se
     return GBTClassifier(labelCol=label, featuresCol=features, maxIter=max_iter, seed=seed)
 
 
+def without_summary(model, spark):
+    """The fitted ``model`` as read back from storage, without the summary of
+    its training.  Scoring tasks carry the model, the summary refers to the
+    session, and a session that has observed a frame cannot be serialised."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def fit(train: DataFrame, estimator, cat, num, impute: bool = True,
         scale: bool = False) -> PipelineModel:
     """Preparation stages + ``estimator`` fitted as one pipeline."""
     pipe = Pipeline(stages=feature_stages(cat, num, impute=impute, scale=scale) + [estimator])
-    return pipe.fit(cast_numeric(train, num))
+    fitted = pipe.fit(cast_numeric(train, num))
+    return PipelineModel(stages=[without_summary(m, train.sparkSession) for m in fitted.stages])
 
 
 def score(model: PipelineModel, df: DataFrame, num, keep=None, digits: int | None = None) -> DataFrame:
@@ -89,7 +101,7 @@ def compare_classifiers(train: DataFrame, test: DataFrame, cat, num, candidates=
     held = cut_lineage(prep.transform(cast_numeric(test, num)).select("features", label))
     models, rows = {}, None
     for name, est in candidates.items():
-        fitted = est.fit(vectors)
+        fitted = without_summary(est.fit(vectors), train.sparkSession)
         models[name] = PipelineModel(stages=[*prep.stages, fitted])
         scored = fitted.transform(held).select(label, F.col("prediction").cast("int").alias("prediction"))
         r = classification_metrics(scored, label, "prediction").select(F.lit(name).alias("model"), "*")
