@@ -3,6 +3,7 @@ nulls, empty and very long texts, ties, repeated rows, empty tables, and
 columns whose names an operator uses itself."""
 
 import hashlib
+import json
 import math
 import random
 import zlib
@@ -605,6 +606,52 @@ def test_memo_starts_anew():
         assert ids == tk.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_pieces_have_the_ids_of_the_library():
+    raw, tk = token_counts.vocabulary(queries.vocabulary_path()), library()
+    encode = token_counts.PieceEncoder(raw, keep_ids=True)
+    letters = [chr(c) for c in (*range(0x21, 0x180), 0x301, 0x3A3)]
+    pieces = [a + b + c for a in ("", "a", "Zu") for b in letters for c in ("", "s", "T9", "...", *letters[64:190:9])]
+    pieces += ["thousand", "THOUSAND", "stößt", "ÉTÉ", "x" * 5000, "it's", "a<|endoftext|>b", "<|x|>", "e.g.,", "12ab34"]
+    want = [e.ids for e in tk.encode_batch_fast(pieces, add_special_tokens=False)]
+    plain = [encode._plain(p) for p in pieces]
+    assert all(got in (None, ids) for got, ids in zip(plain, want))
+    for p in pieces:
+        # what may be spoilt by its neighbours, or has a letter of unknown case, goes the whole way
+        whole = any(c in "'<|\xd7\xf7" or "\x7f" <= c <= "\xbf" or c > "\xff" for c in p)
+        assert (encode._plain(p) is None) == whole, p
+
+
+def test_only_pieces_that_are_not_plain_go_through_the_whole_tokenizer():
+    encode = token_counts.PieceEncoder(token_counts.vocabulary(queries.vocabulary_path()), keep_ids=True)
+    whole, seen = encode.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, pieces, **kw):
+            seen.extend(pieces)
+            return whole.encode_batch_fast(pieces, **kw)
+
+    encode.tokenizer = Counted()
+    text = "Plain words, über 20 of them; it's \u0130 <|endoftext|> end..."
+    ids = [i for _, _, sizes, begins in encode(pa.array([text.encode()], pa.binary()))
+           for b, n in zip(begins.tolist(), sizes.tolist()) for i in encode.ids[b:b + n].tolist()]
+    assert ids == whole.encode(text, add_special_tokens=False).ids
+    assert sorted(seen) == sorted(["it's", "\u0130", "<|endoftext|>"])
+
+
+def test_another_vocabulary_is_encoded_by_its_own_settings():
+    other = json.loads(token_counts.vocabulary(queries.vocabulary_path()))
+    other["normalizer"] = None
+    raw = json.dumps(other).encode()
+    encode = token_counts.PieceEncoder(raw, keep_ids=True)
+    assert not token_counts.plain_settings(raw) and encode.model is None
+    from tokenizers import Tokenizer
+
+    text = "plain words, über all"
+    ids = [i for _, _, sizes, begins in encode(pa.array([text.encode()], pa.binary()))
+           for b, n in zip(begins.tolist(), sizes.tolist()) for i in encode.ids[b:b + n].tolist()]
+    assert ids == Tokenizer.from_str(raw.decode()).encode(text, add_special_tokens=False).ids
+
+
 # -- pipeline -------------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark):

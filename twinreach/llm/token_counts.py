@@ -12,14 +12,19 @@ once, for the rows that stand for a missing content.
 
 Inside a task a text is encoded piece by piece: the vocabulary's split
 pattern never crosses white-space, so the pieces' ids in a row are the
-text's ids.  A bounded memo keeps the ids of pieces seen.
+text's ids.  A bounded memo keeps the ids of pieces seen.  A new piece of
+plain letters, digits and marks goes to the vocabulary's model at once: what
+the normalizer and the split pattern do to it is known.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,35 @@ MEMO_PIECES = 600_000
 MEMO_IDS = 4 << 20
 RECENT = 1 << 15  # pieces learned before they join the others
 
+# settings for which ``PLAIN`` parts are what the split pattern gives, and
+# ``LETTERS`` what the normalizer and the byte alphabet make of them
+SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+# runs of ASCII and Latin-1 letters, single digits, runs of ASCII marks; no
+# apostrophe (it begins 's, 't ...), and no < or | (special strings have them)
+PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+|[0-9]|[!-&(-/:;=-@\[-`{}~]+")
+
+
+def _byte_alphabet(n: int) -> str:
+    own = 33 <= n <= 126 or 161 <= n <= 172 or 174 <= n <= 255
+    return chr(n) if own else chr(256 + (n if n <= 32 else n - 127 + 33 if n <= 160 else 67))
+
+
+LETTERS = {c: "".join(map(_byte_alphabet, chr(c).lower().encode())) for c in (*range(0x41, 0x5B), *range(0xC0, 0x100))}
+
+
+def plain_settings(raw: bytes) -> bool:
+    """Whether a vocabulary splits and normalizes by ``SETTINGS``."""
+    known = json.loads(raw)
+    return (all(known.get(k) == v for k, v in SETTINGS.items()) and known["model"].get("type") == "BPE"
+            and all("<" in t["content"] or "|" in t["content"] for t in known.get("added_tokens", ())))
+
 
 def vocabulary(path: str) -> bytes:
     if os.path.getsize(path) > MAX_VOCABULARY:
@@ -70,6 +104,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
+        self.model = self.tokenizer.model if plain_settings(raw) else None
         self.keep_ids, self.most = keep_ids, most
         self._reset()
 
@@ -84,14 +119,26 @@ class PieceEncoder:
         order = np.argsort(keys, kind="stable")
         return keys[order], *(np.concatenate((a, b))[order] for a, b in zip(some[1:], more[1:]))
 
+    def _plain(self, piece: str) -> list[int] | None:
+        """Ids of a piece that ``PLAIN`` covers."""
+        if piece.isascii() and piece.isalpha():
+            return [t.id for t in self.model.tokenize(piece.lower())]
+        parts = PLAIN.findall(piece)
+        if sum(map(len, parts)) < len(piece):
+            return None
+        return [t.id for part in parts for t in self.model.tokenize(part.translate(LETTERS))]
+
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         """Encode new pieces; ``keys`` are in order."""
-        sizes, ids = [], []
-        for at in range(0, len(pieces), 4096):
-            for e in self.tokenizer.encode_batch_fast(pieces[at:at + 4096], add_special_tokens=False):
-                sizes.append(len(e.ids))
-                if self.keep_ids:
-                    ids.extend(e.ids)
+        found = [self._plain(p) for p in pieces] if self.model else [None] * len(pieces)
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for at in range(0, len(others), 4096):
+            some = others[at:at + 4096]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([pieces[i] for i in some],
+                                                                   add_special_tokens=False)):
+                found[i] = e.ids
+        sizes = list(map(len, found))
+        ids = list(chain.from_iterable(found)) if self.keep_ids else []
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         self.ids[self.used:self.used + len(ids)] = ids
