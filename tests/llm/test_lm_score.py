@@ -209,3 +209,67 @@ def test_whole_table(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9)
     assert_near(plain, docs, got)
+
+
+def small_model(order=2):
+    counted = pa.Table.from_batches(lm.counted(order, 3)([pa.RecordBatch.from_arrays(
+        [pa.array([t.encode() for _, t in DOCS if t], pa.binary())], ["body"])]))
+    sums = list(lm.merged(1.5)(counted.sort_by([("part", "ascending"), ("kind", "ascending")]).combine_chunks().to_batches()))
+    made = [tuple(v[0] for v in b.to_pydict().values()) for b in lm.built(1.5, 1, 8, 4)(sums)]
+    return lm.Model(order, 1.5, len(DOCS), 1000, 100, {}, 1, lm.Filter(made, order, 4, 1.5))
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_an_n_gram_of_a_run_is_looked_up_once(monkeypatch, order):
+    model, asked = small_model(order), []
+    levels = lm.Filter.levels
+    monkeypatch.setattr(lm.Filter, "levels", lambda self, key, where: (asked.append(len(key)), levels(self, key, where))[1])
+    texts = [t for _, t in DOCS if t][:30]
+    body = pa.array([t.encode() for t in texts * 20], pa.binary())
+    tokens_of = lm.tokens
+    monkeypatch.setattr(lm, "tokens", lambda column, order: tokens_of(column, order, 1000))
+    grams = set()
+    for t in texts:
+        tokens = [b"begin"] * (order - 1) + token_list(t)
+        for k in range(1, order + 1):
+            for i in range(order - 1, len(tokens)):
+                grams |= {tuple(tokens[i - j] for j in range(k)), (k, *(tokens[i - j] for j in range(1, k)))}
+    list(lm.scored(type("Sent", (), {"value": model}), np.empty(0, np.uint64), np.empty(0))(
+        [pa.RecordBatch.from_arrays([pa.array(range(len(body))), pa.array(range(len(body))),
+                                     pa.array([False] * len(body)), body], ["row", "doc_id", "held_out", "body"])]))
+    assert len(asked) == 1 and asked[0] <= len(grams)
+
+
+def test_levels_are_those_of_each_key_alone(monkeypatch):
+    """Against probes of one key at a time, level by level and hash by hash."""
+    model = small_model()
+    found = model.filter
+    rng = np.random.default_rng(5)
+    (t, *_) = lm.tokens(pa.array([b" ".join(t.encode() for _, t in DOCS if t)], pa.binary()), 2, 1 << 30)
+    history = np.sort(np.concatenate((t.histories[0], rng.integers(1, 1 << 63, 300, dtype=np.uint64))))
+    where = found.where(2, history)
+    key = lm.mix(history ^ lm._KINDS)
+    bits = np.unpackbits(np.frombuffer(found.raw, np.uint8), bitorder="little")
+    want = []
+    for k, w in zip(key[:2000], where[:2000]):
+        level = 0
+        while all(bits[int(found.begin[w] + lm.places(np.array([k]), level + 1, found.size[w], i)[0])]
+                  for i in range(found.hashes)):
+            level += 1
+        want.append(level)
+    for probed in (1 << 40, 7):
+        monkeypatch.setattr(lm, "PROBED", probed)
+        assert found.levels(key[:2000], where[:2000]).tolist() == want
+    assert max(want) > 3 and min(want) == 0
+
+
+def test_sums_are_sorted_and_whole():
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 6, 500).astype(np.uint64) << np.uint64(61)
+    word, n = rng.integers(0, 9, 500).astype("<u4"), rng.integers(1, 9, 500)
+    want = defaultdict(int)
+    for k, w, c in zip(key.tolist(), word.tolist(), n.tolist()):
+        want[k, w] += c
+    got = lm._summed(key, word, n)
+    assert list(zip(*(c.tolist() for c in got))) == [(*k, c) for k, c in sorted(want.items())]
+    assert [len(c) for c in lm._summed(key[:0], word[:0], n[:0])] == [0, 0, 0]

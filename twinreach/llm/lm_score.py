@@ -52,7 +52,8 @@ ADDED = 0.1
 FREQUENT = 1 << 18  # most words looked up in the task
 PART_BYTES = 32 << 20  # of text per range of histories
 SEGMENT = 1 << 16  # n-grams of a segment, and those of its last history
-RUN = 1 << 19  # bytes of text scored at once
+RUN = 3 << 17  # tokens scored at once
+PROBED = 1 << 14  # keys looked up in the filter at once
 BLOCK = 1 << 21  # bytes of text that ask together for what the filter lacks
 FLUSH = 1 << 19  # tokens counted in a task before they are sent on
 
@@ -60,6 +61,7 @@ BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
 _WORD, _KINDS = np.uint64(0x165667B19E3779F9), np.uint64(0x85EBCA77C2B2AE63)
 _32 = np.uint64(32)
 _LOW32 = np.uint64(0xFFFFFFFF)
+_SORTED = np.uint64((1 << 20) - 1)  # bits of a word by which n-grams of a history are sorted
 
 
 # -- tokens and n-grams ----------------------------------------------------------
@@ -99,6 +101,26 @@ def tokens(column: pa.Array, order: int, size: int = SLICE) -> Iterator[Tokens]:
         yield Tokens(base, texts, np.repeat(np.arange(texts), counts + 1), stream[at], histories)
 
 
+def runs(column: pa.Array, order: int) -> Iterator[Tokens]:
+    """Tokens of about RUN tokens together, found slice by slice."""
+
+    def joined(held: list[Tokens]) -> Tokens:
+        before = np.cumsum([0, *(t.texts for t in held)]).tolist()
+        return Tokens(held[0].first_row, before[-1],
+                      np.concatenate([t.text + n for t, n in zip(held, before)]),
+                      np.concatenate([t.token for t in held]),
+                      [np.concatenate(h) for h in zip(*(t.histories for t in held))])
+
+    held: list[Tokens] = []
+    for t in tokens(column, order):
+        held.append(t)
+        if sum(len(t.token) for t in held) >= RUN:
+            yield joined(held)
+            held = []
+    if held:
+        yield joined(held)
+
+
 def gram_key(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Key of an n-gram, from its history and the low half of its word."""
     return mix(history ^ (word * STEP[12]))
@@ -111,14 +133,18 @@ def part_of(key: np.ndarray, parts: int) -> np.ndarray:
 
 # -- counts ----------------------------------------------------------------------
 
-def _summed(kind: np.ndarray, key: np.ndarray, word: np.ndarray, n: np.ndarray):
-    """Sorted by kind, key and word, counts of the same added up."""
-    order = np.lexsort((word, key, kind))
-    kind, key, word, n = kind[order], key[order], word[order], n[order]
+def _summed(key: np.ndarray, word: np.ndarray, n: np.ndarray):
+    """Sorted by key and word, counts of the same added up."""
+    order = np.argsort(key)
+    key, word, n = key[order], word[order], n[order]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (word[1:] != word[:-1]) | (kind[1:] != kind[:-1])
+    new[1:] = key[1:] != key[:-1]
+    pair = ((np.cumsum(new) - 1).astype(np.uint64) << _32) | word
+    order = np.argsort(pair)
+    pair, word, n = pair[order], word[order], n[order]
+    new[1:] = pair[1:] != pair[:-1]
     first = np.flatnonzero(new)
-    return kind[first], key[first], word[first], (np.add.reduceat(n, first) if len(first) else n)
+    return key[first], word[first], (np.add.reduceat(n, first) if len(first) else n)
 
 
 _COUNTED = "part int, kind int, keys binary, words binary, counts binary"
@@ -143,7 +169,7 @@ def counted(order: int, parts: int):
                     key = np.concatenate([t.histories[kind - 2] for t in held])
                     word = token & _LOW32
                 one = np.ones(len(key), np.int64)
-                _, key, word, n = _summed(np.zeros(len(key), np.int8), key, word, one)
+                key, word, n = _summed(key, word, one)
                 edges = np.searchsorted(part_of(key, parts), np.arange(parts + 1, dtype=np.uint64))
                 some = np.flatnonzero(np.diff(edges))
                 columns = [c.astype(t) for c, t in zip((key, word, n), _TYPES)]
@@ -206,7 +232,7 @@ def merged(base: float):
 
     def close(part: int, kind: int, held) -> Iterator[pa.RecordBatch]:
         key, word, n = (np.frombuffer(b"".join(c), t) for c, t in zip(held, _TYPES))
-        _, *sums = _summed(np.zeros(len(key), np.int8), key, word, n)
+        sums = _summed(key, word, n)
         cuts = sums[0][::SEGMENT][1:]
         cuts = np.unique(np.searchsorted(sums[0], cuts, side="right"))
         for key, word, n in zip(*(np.split(c, cuts) for c in sums)):
@@ -243,6 +269,9 @@ def merged(base: float):
 
 # -- filter ----------------------------------------------------------------------
 
+_BIT = np.uint8(1) << np.arange(8, dtype=np.uint8)
+
+
 def places(key: np.ndarray, level: np.ndarray | int, size: np.ndarray, i: int) -> np.ndarray:
     """Bit of the i-th hash of (key, level), within a segment of ``size``."""
     h = mix(key + np.asarray(level, np.uint64) * STEP[13])
@@ -320,28 +349,37 @@ class Filter:
 
     def levels(self, key: np.ndarray, where: np.ndarray) -> np.ndarray:
         """The highest level up to which every level of a key is there, in
-        the segments ``where``.  Keys of a segment should stand together: it
-        is small enough for the cache."""
+        the segments ``where``.  Keys of a segment should stand together:
+        PROBED keys at a time, with the segments they lie in, fit the cache."""
+        out = np.zeros(len(key), np.int64)
+        for at in range(0, len(key), PROBED):
+            part = slice(at, at + PROBED)
+            self._levels(key[part], where[part], out[part])
+        return out
+
+    def _levels(self, key: np.ndarray, where: np.ndarray, out: np.ndarray) -> None:
         data = np.frombuffer(self.raw, np.uint8)
         begin, size = self.begin[where], self.size[where]
-        out = np.zeros(len(key), np.int64)
         left = np.arange(len(key))
         for level in range(1, self.most + 1):
             if not len(left):
                 break
             h = mix(key + np.full(1, level, np.uint64) * STEP[13])
-            low, step = h & _LOW32, (h >> _32) | np.uint64(1)
+            low, step = h.astype(np.uint32), (h >> _32).astype(np.uint32) | np.uint32(1)
             for i in range(self.hashes):
                 if i:
-                    low = (low + step) & _LOW32
-                bit = begin + ((low * size) >> _32)
+                    low = low + step  # modulo 2^32
+                bit = ((low * size) >> _32) + begin
                 byte = data[(bit >> np.uint64(3)).view(np.int64)]
-                there = np.flatnonzero((byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
-                if len(there) < len(left):
+                hit = (byte & _BIT[bit.astype(np.uint8) & np.uint8(7)]) != 0
+                found = found & hit if i else hit
+                # keys that miss go when they are many, or the level is done
+                some = np.count_nonzero(found)
+                if some < (len(left) if i == self.hashes - 1 else 0.8 * len(left)):
+                    there = np.flatnonzero(found)
                     key, begin, size, left = key[there], begin[there], size[there], left[there]
-                    low, step = low[there], step[there]
+                    low, step, found = low[there], step[there], found[there]
             out[left] = level
-        return out
 
 
 # -- model -----------------------------------------------------------------------
@@ -351,8 +389,8 @@ class Found:
     """Levels that the filter has for the words (kind 1) or n-grams of a run."""
 
     kind: int
-    keys: np.ndarray  # different words or histories, in order
-    order: np.ndarray | None = None  # tokens by history
+    keys: np.ndarray  # different words or histories, in order of their upper 32 bits
+    order: np.ndarray | None = None  # tokens by history and word
     of: np.ndarray | None = None  # place of the history, per token in that order
     low: np.ndarray | None = None  # low half of the token, in that order
     levels: np.ndarray | None = None  # per key: of the word, or of how many words follow
@@ -389,23 +427,26 @@ class Model:
         """What the filter tells of the different tokens ``word``, in order,
         and of the n-grams of each kind from 2."""
         out = [Found(1, word)]
-        keys, where = [mix(word ^ _WORD)], [self.filter.where(1, word)]
+        keys, where, grams = [mix(word ^ _WORD)], [self.filter.where(1, word)], []
         for kind, h in enumerate(t.histories, 2):
-            order = np.argsort(h)
-            own = h[order]
+            # the same n-grams stand together and are looked up once; where the
+            # sorted bits of two are the same, they are looked up more often
+            order = np.argsort((h & ~_SORTED) | (t.token & _SORTED))
+            own, low = h[order], t.token[order] & _LOW32
             new = np.concatenate(([True], own[1:] != own[:-1]))
+            gram = new.copy()
+            gram[1:] |= low[1:] != low[:-1]
             history, of = own[new], np.cumsum(new) - 1
-            low = t.token[order] & _LOW32
             place = self.filter.where(kind, history)
-            keys += [mix(history ^ _KINDS), gram_key(own, low)]
-            where += [place, place[of]]
+            keys += [mix(history ^ _KINDS), gram_key(own[gram], low[gram])]
+            where += [place, place[of[gram]]]
+            grams.append(np.cumsum(gram) - 1)
             out.append(Found(kind, history, order, of, low))
         levels = self.filter.levels(np.concatenate(keys), np.concatenate(where))
         levels = iter(np.split(levels, np.cumsum([len(k) for k in keys])[:-1]))
-        for f in out:
-            f.levels = next(levels)
-            if f.kind > 1:
-                f.grams = next(levels)
+        out[0].levels = next(levels)
+        for f, gram in zip(out[1:], grams):
+            f.levels, f.grams = next(levels), next(levels)[gram]
         return out
 
     def log10(self, t: Tokens, found: list[Found], which: np.ndarray) -> np.ndarray:
@@ -524,7 +565,7 @@ def scored(sent, frequent: np.ndarray, logs: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for batch in batches:
-            for t in tokens(batch.column("body"), model.order, RUN):
+            for t in runs(batch.column("body"), model.order):
                 different, which = np.unique(t.token, return_inverse=True)
                 own = [batch.column(c).slice(t.first_row, t.texts) for c in _OWN]
                 yield _scores(model, t, model.found(t, different), different, which, own, frequent, logs)
